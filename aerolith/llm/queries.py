@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from aerolith.llm.common import read_table
 from aerolith.llm.fingerprints import paired_fingerprints
+from aerolith.llm.language import identify_language
 from aerolith.llm.packing import pack_documents
+from aerolith.llm.quality import score_quality
 from aerolith.llm.sharding import shard_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +21,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(read_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(read_table(spark, sf_dir, "documents"), shards=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
