@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm.common import read_table
+from aerolith.llm.decontamination import contamination
 from aerolith.llm.fingerprints import paired_fingerprints
 from aerolith.llm.language import identify_language
 from aerolith.llm.packing import pack_documents
@@ -25,6 +26,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(read_table(spark, sf_dir, "documents"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
