@@ -11,6 +11,7 @@ from aerolith.llm.common import read_table
 from aerolith.llm.decontamination import contamination
 from aerolith.llm.fingerprints import paired_fingerprints
 from aerolith.llm.language import identify_language
+from aerolith.llm.line_dedup import dedup_lines
 from aerolith.llm.packing import pack_documents
 from aerolith.llm.quality import score_quality
 from aerolith.llm.sharding import shard_documents
@@ -39,6 +40,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read_table(spark, sf_dir, "documents"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paired_fingerprints(read_table(spark, sf_dir, "documents"))
 
