@@ -12,6 +12,7 @@ from aerolith.llm.decontamination import contamination
 from aerolith.llm.fingerprints import paired_fingerprints
 from aerolith.llm.language import identify_language
 from aerolith.llm.line_dedup import dedup_lines
+from aerolith.llm.lm_scoring import score_documents
 from aerolith.llm.packing import pack_documents
 from aerolith.llm.quality import score_quality
 from aerolith.llm.sharding import shard_documents
@@ -40,6 +41,13 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is made of the documents that are labelled good and not toxic."""
+    labels = read_table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id", F.lit(True).alias("target")).distinct()
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_documents(docs.join(labels.hint("shuffle_hash"), "doc_id", "left"), F.col("target"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read_table(spark, sf_dir, "documents"))
 
