@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from aerolith.llm.common import read_table
 from aerolith.llm.decontamination import contamination
 from aerolith.llm.fingerprints import paired_fingerprints
+from aerolith.llm.html_text import extract_text
 from aerolith.llm.language import identify_language
 from aerolith.llm.line_dedup import dedup_lines
 from aerolith.llm.lm_scoring import score_documents
@@ -41,6 +42,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target is made of the documents that are labelled good and not toxic."""
     labels = read_table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id", F.lit(True).alias("target")).distinct()
