@@ -14,6 +14,7 @@ from aerolith.llm.html_text import extract_text
 from aerolith.llm.language import identify_language
 from aerolith.llm.line_dedup import dedup_lines
 from aerolith.llm.lm_scoring import score_documents
+from aerolith.llm.ngram_join import near_duplicate_groups
 from aerolith.llm.packing import pack_documents
 from aerolith.llm.quality import score_quality
 from aerolith.llm.sharding import shard_documents
@@ -33,6 +34,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -48,9 +53,7 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target is made of the documents that are labelled good and not toxic."""
-    labels = read_table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id", F.lit(True).alias("target")).distinct()
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score_documents(docs.join(labels.hint("shuffle_hash"), "doc_id", "left"), F.col("target"))
+    return score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
