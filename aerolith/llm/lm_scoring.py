@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.llm.common import sum_arrays
@@ -107,8 +107,8 @@ class Models:
         return np.diff(begins), total
 
 
-def fit_models(docs: DataFrame, vocabulary_size: int = VOCABULARY, bits: int = BIGRAM_BITS) -> Models:
-    """Count both models over columns text and target (boolean): target rows for the one, all rows for the other."""
+def fit_models(docs: DataFrame, marked: DataFrame, vocabulary_size: int = VOCABULARY, bits: int = BIGRAM_BITS) -> Models:
+    """Count both models over `marked` (text, target): target rows for the one, all rows for the other; `docs` has the same texts."""
     vocabulary = shared_vocabulary(docs, vocabulary_size)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     v = len(vocabulary)
@@ -129,20 +129,24 @@ def fit_models(docs: DataFrame, vocabulary_size: int = VOCABULARY, bits: int = B
                         np.add.at(out[f"b{m}"], at, 1)
         return out
 
-    sums = sum_arrays(docs.select("text", "target"), partial)
+    sums = sum_arrays(marked.select("text", "target"), partial)
     get = lambda kind, n: np.stack([sums.get(f"{kind}{m}", np.zeros(n, np.int64)) for m in (0, 1)])
     return Models(vocabulary, get("u", v + 1), get("c", v + 2), get("b", 1 << bits).astype(np.int32 if not len(sums) or max(x.max() for x in sums.values()) < 2**31 else np.int64), bits)
 
 
-def score_documents(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text", vocabulary_size: int = VOCABULARY, bits: int = BIGRAM_BITS) -> DataFrame:
+def score_documents(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary_size: int = VOCABULARY, bits: int = BIGRAM_BITS) -> DataFrame:
     """Columns doc_id, n_tokens, target_loss, background_loss, score: one row per row of `docs`.
 
-    `target` says which rows make the target model (null counts as false).  Losses are bits per token, score is
-    target_loss - background_loss; all three are null for a text without words (null, empty, blank).  Repeated rows
-    count as often as they occur.  An empty table gives no rows; other columns are ignored.
+    The rows of `docs` whose id stands in `target` (its column `id_col`; repeats and nulls do not count) make the target
+    model.  Losses are bits per token, score is target_loss - background_loss; all three are null for a text without
+    words (null, empty, blank).  Repeated rows count as often as they occur.  An empty table gives no rows; other
+    columns are ignored.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(target.cast("boolean"), F.lit(False)).alias("target"))
-    models = docs.sparkSession.sparkContext.broadcast(fit_models(slim, vocabulary_size, bits))  # of fixed size
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    ids = target.select(F.col(id_col).cast("long").alias("doc_id"), F.lit(True).alias("target")).distinct()
+    # Only the counts need to know the target's rows, so texts are shuffled once.
+    marked = slim.join(ids.hint("shuffle_hash"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    models = docs.sparkSession.sparkContext.broadcast(fit_models(slim, marked, vocabulary_size, bits))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,4 +159,4 @@ def score_documents(docs: DataFrame, target: Column, id_col: str = "doc_id", tex
             columns = [batch.column(0), pa.array(n), *(pa.array(x, mask=none) for x in (per[0], per[1], per[0] - per[1]))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    return slim.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    return slim.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
