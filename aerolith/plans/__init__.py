@@ -1,0 +1 @@
+"""Compositions: table registry, silver and gold builds, registered queries."""

@@ -1,0 +1 @@
+"""Readers of text, JSON, CSV, file inventories and streams."""
