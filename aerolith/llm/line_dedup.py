@@ -12,13 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import checkpointed
+from aerolith.llm.common import checkpointed, written
 
 LINE_END = r"(?<=\n)|(?<=[.!?] )"
 #: Lines under a rolling hash; one boundary in MEAN lines; characters of the least chunk that is looked up.
 WIDTH, MEAN, LEAST_CHARS = 2, 2, 24
 #: Lines around a run that are looked at when it is extended.
-CONTEXT = 16
+CONTEXT = 6
+#: The key of a null id, and of this id itself.
+NO_ID = -(2**63)
 
 
 def _lines(text: Column) -> Column:
@@ -30,32 +32,31 @@ def _bare(lines: str) -> Column:
 
 
 def _chunks(docs: DataFrame) -> DataFrame:
-    """Columns doc_id, k, a (first line), n (lines), ch (hash): all chunks of some length."""
-    lines = docs.select("doc_id", "k", _bare("lines").alias("b"))
-    lines = lines.select("doc_id", "k", "b", F.transform("b", lambda x: F.xxhash64(x)).alias("h"))
+    """Columns d (document key), k, a (first line), n (lines), ch (hash): all chunks of some length."""
+    lines = docs.select("d", "k", _bare("lines").alias("b"))
+    lines = lines.select("d", "k", "b", F.transform("b", lambda x: F.xxhash64(x)).alias("h"))
     rolled = lambda x, i: F.xxhash64(*(F.get("h", i - j) for j in range(WIDTH - 1, 0, -1)), x)
     last = F.size("h") - 1
     ends = F.filter(F.transform("h", lambda x, i: F.when((i == last) | (F.pmod(rolled(x, i), F.lit(MEAN)) == 0), i)), lambda e: e.isNotNull())
-    lines = lines.select("doc_id", "k", "b", "h", ends.alias("ends"))
+    lines = lines.select("d", "k", "b", "h", ends.alias("ends"))
     parts = F.transform("ends", lambda e, j: F.struct((F.coalesce(F.get("ends", j - 1), F.lit(-1)) + 1).alias("a"), e.alias("e")))
-    rows = lines.select("doc_id", "k", "b", "h", parts.alias("parts"))
+    rows = lines.select("d", "k", "b", "h", parts.alias("parts"))
     piece = lambda c, p: F.slice(F.col(c), p["a"] + 1, p["e"] - p["a"] + 1)
-    made = F.transform("parts", lambda p: F.struct(p["a"].alias("a"), (p["e"] - p["a"] + 1).alias("n"), F.xxhash64(piece("h", p)).alias("ch"), F.length(F.array_join(piece("b", p), "")).alias("chars")))
-    rows = rows.select("doc_id", "k", F.inline(F.filter(made, lambda c: c["chars"] >= LEAST_CHARS)))
-    return rows.select("doc_id", "k", "a", "n", "ch")
+    made = F.transform("parts", lambda p: F.struct(p["a"].alias("a"), (p["e"] - p["a"] + 1).alias("n"), F.xxhash64(p["e"] - p["a"], piece("h", p)).alias("ch"), F.length(F.array_join(piece("b", p), "")).alias("chars")))
+    rows = rows.select("d", "k", F.inline(F.filter(made, lambda c: c["chars"] >= LEAST_CHARS)))
+    return rows.select("d", "k", "a", "n", "ch")
 
 
 def _runs(chunks: DataFrame) -> DataFrame:
-    """Columns doc_id, k, a, n, and kd, kk, ka: runs of lines with the place where their chunks occur first."""
-    place = F.struct("doc_id", "k", "a")
-    first = chunks.groupBy("ch", "n").agg(F.min(place).alias("p"), F.count("*").alias("times")).where("times > 1").select("ch", "n", "p")
-    hits = chunks.join(first, ["ch", "n"]).where(~place.eqNullSafe(F.col("p")))
+    """Columns d, k, a, n, and kd, kk, ka: runs of lines with the place where their chunks occur first."""
+    first = chunks.groupBy("ch").agg(F.min(F.struct("d", "k", "a")).alias("p"), F.count("*").alias("times")).where("times > 1").select("ch", "p")
+    hits = chunks.join(first, "ch").where(F.struct("d", "k", "a") != F.col("p"))
     # A document's hits, in order; a hit goes on its predecessor's run where both documents go on.
-    per = hits.groupBy("doc_id", "k").agg(F.array_sort(F.collect_set(F.struct("a", "n", F.col("p.doc_id").alias("kd"), F.col("p.k").alias("kk"), F.col("p.a").alias("ka")))).alias("hits"))
+    per = hits.groupBy("d", "k").agg(F.array_sort(F.collect_set(F.struct("a", "n", F.col("p.d").alias("kd"), F.col("p.k").alias("kk"), F.col("p.a").alias("ka")))).alias("hits"))
 
     def follows(x: Column, i: Column) -> Column:
         y = F.get("hits", i - 1)
-        return (i > 0) & (y["a"] + y["n"] == x["a"]) & y["kd"].eqNullSafe(x["kd"]) & (y["kk"] == x["kk"]) & (y["ka"] + y["n"] == x["ka"])
+        return (i > 0) & (y["a"] + y["n"] == x["a"]) & (y["kd"] == x["kd"]) & (y["kk"] == x["kk"]) & (y["ka"] + y["n"] == x["ka"])
 
     per = per.withColumn("heads", F.filter(F.transform("hits", lambda x, i: F.when(~follows(x, i), i)), lambda i: i.isNotNull()))
 
@@ -64,7 +65,7 @@ def _runs(chunks: DataFrame) -> DataFrame:
         y = F.get("hits", F.coalesce(F.get("heads", j + 1), F.size("hits")) - 1)
         return F.struct(x["a"].alias("a"), (y["a"] + y["n"] - x["a"]).alias("n"), x["kd"].alias("kd"), x["kk"].alias("kk"), x["ka"].alias("ka"))
 
-    return per.select("doc_id", "k", F.inline(F.transform("heads", run)))
+    return per.select("d", "k", F.inline(F.transform("heads", run)))
 
 
 def _words(lines: Column) -> Column:
@@ -79,32 +80,37 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     around them.  A null text stays null, with no lines; equal rows (id and text) are one document and get the same
     result.  An empty table gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("k"), F.col(text_col).cast("string").alias("text"))
-    return _deduped(rows, least_words, lone_words).select("doc_id", "text", "n_lines", "n_removed")
+    rows = docs.select(_key(id_col), F.xxhash64(F.col(text_col)).alias("k"), F.col(text_col).cast("string").alias("text"))
+    doc_id = F.when(F.col("d") != NO_ID, F.col("d"))
+    return _deduped(rows, least_words, lone_words).select(doc_id.alias("doc_id"), "text", "n_lines", "n_removed")
+
+
+def _key(id_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d")
 
 
 def _deduped(rows: DataFrame, least_words: int, lone_words: int) -> DataFrame:
-    """`rows` (doc_id, k, text and more) with the text changed, and n_lines, n_removed."""
-    chunks = checkpointed(_chunks(rows.select("doc_id", "k", _lines(F.col("text")).alias("lines"))))
+    """`rows` (d, k, text and more) with the text changed, and n_lines, n_removed."""
+    chunks = written(_chunks(rows.select("d", "k", _lines(F.col("text")).alias("lines"))))
     runs = checkpointed(_runs(chunks))
-    # The first occurrence's lines go to the document that repeats them.
-    texts = rows.select(F.col("doc_id").alias("kd"), F.col("k").alias("kk"), F.col("text").alias("first_text")).dropDuplicates(["kd", "kk"])
-    same = F.col("r.kd").eqNullSafe(F.col("t.kd")) & (F.col("r.kk") == F.col("t.kk"))
-    kept = runs.alias("r").join(texts.alias("t"), same).select("doc_id", "k", "a", "n", "ka", _lines(F.col("first_text")).alias("f")).withColumn("f", _bare("f"))
-    low = F.greatest(F.col("ka") - CONTEXT, F.lit(0))
-    kept = kept.select(
-        F.col("doc_id").alias("d"),
-        F.col("k").alias("t"),
-        F.struct(
-            "a",
-            "n",
-            F.slice("f", low + 1, F.col("ka") - low).alias("before"),
-            F.slice("f", F.col("ka") + 1, F.col("n")).alias("same"),
-            F.slice("f", F.col("ka") + F.col("n") + 1, F.lit(CONTEXT)).alias("after"),
-        ).alias("run"),
-    )
-    lists = kept.groupBy("d", "t").agg(F.collect_list("run").alias("runs"))
-    joined = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("t")), "left").drop("d", "t")
+    # A first occurrence is asked once for each range of lines that is wanted of it.  Both joins with the texts
+    # have the same keys, so one shuffle of the texts serves both.
+    ranges = runs.groupBy(F.col("kd").alias("d"), F.col("kk").alias("k")).agg(F.collect_set(F.struct("ka", "n")).alias("ranges"))
+    asked = rows.join(ranges.hint("shuffle_hash"), ["d", "k"]).select("d", "k", "ranges", _lines(F.col("text")).alias("f")).withColumn("f", _bare("f"))
+
+    def cut(r: Column) -> Column:
+        low = F.greatest(r["ka"] - CONTEXT, F.lit(0))
+        return F.struct(
+            r["ka"].alias("ka"),
+            r["n"].alias("n"),
+            F.slice("f", low + 1, r["ka"] - low).alias("before"),
+            F.slice("f", r["ka"] + 1, r["n"]).alias("same"),
+            F.slice("f", r["ka"] + r["n"] + 1, F.lit(CONTEXT)).alias("after"),
+        )
+
+    slices = asked.select(F.col("d").alias("kd"), F.col("k").alias("kk"), "f", "ranges").select("kd", "kk", F.inline(F.transform("ranges", cut)))
+    lists = runs.join(slices, ["kd", "kk", "ka", "n"]).groupBy("d", "k").agg(F.collect_set(F.struct("a", "n", "before", "same", "after")).alias("runs"))
+    joined = rows.join(lists.hint("shuffle_hash"), ["d", "k"], "left")
     joined = joined.withColumn("lines", _lines(F.col("text"))).withColumn("b", F.when(F.col("runs").isNotNull(), _bare("lines")))
 
     def grown(length: Column, equal) -> Column:
@@ -139,7 +145,7 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     `size_col`, if given, becomes the characters of a changed text; all other columns stay as they are.
     """
     columns = docs.columns
-    packed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("k"), F.col(text_col).cast("string").alias("text"), F.struct(*(c for c in columns if c != text_col)).alias("rest"))
+    packed = docs.select(_key(id_col), F.xxhash64(F.col(text_col)).alias("k"), F.col(text_col).cast("string").alias("text"), F.struct(*(c for c in columns if c != text_col)).alias("rest"))
     out = _deduped(packed, options.get("least_words", 25), options.get("lone_words", 50)).where((F.col("n_removed") == 0) | (F.length(F.trim(F.col("text"), F.lit(" \n\r\t"))) > 0))
     size = F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
     return out.select(*(F.col("text").alias(c) if c == text_col else F.coalesce(size, F.col("rest")[c]).alias(c) if c == size_col else F.col("rest")[c].alias(c) for c in columns))
