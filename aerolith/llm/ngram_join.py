@@ -164,22 +164,79 @@ def first_pairs(groups: DataFrame, percent: int) -> DataFrame:
     return groups.mapInArrow(run, "a long, b long").distinct()
 
 
+def stored(rows: DataFrame, place: DataFrame, k: int) -> DataFrame:
+    """Columns s, size, bits (signature), z (compressed text) of the documents that `place` (s, x, y) names among `rows` (x, y, text).
+
+    Texts are compressed before they are shuffled.  Repeated rows of a document come once.
+    """
+
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            z = [packer.compress((t.as_py() or "").encode()) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(z, pa.binary())], ["x", "y", "z"])
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(len(s), signature(s, 1 << max(6, int(4 * len(s) - 1).bit_length())).tobytes()) for s in shingle_sets(texts_of(batch.column(1)), k)]
+            size, bits = zip(*made, strict=True) if made else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(bits, pa.binary()), batch.column(1)], ["s", "size", "bits", "z"])
+
+    packed = rows.select("x", "y", "text").mapInArrow(compress, "x long, y long, z binary")
+    found = packed.join(place.hint("shuffle_hash"), ["x", "y"]).dropDuplicates(["x", "y"])
+    return found.select("s", "z").mapInArrow(sign, "s long, size long, bits binary, z binary")
+
+
+def texts_of(z: pa.Array) -> pa.Array:
+    import zstandard
+
+    unpacker = zstandard.ZstdDecompressor()
+    return pa.array([unpacker.decompress(x.as_py()).decode() for x in z], pa.string())
+
+
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose signatures leave the threshold in reach."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "n", "m"))
+            keep = np.zeros(len(a), bool)
+            for i, (p, q) in enumerate(zip(batch.column("p"), batch.column("q"), strict=True)):
+                x, y = (np.frombuffer(v.as_py(), np.uint8)[None, :] for v in (p, q))
+                size = 8 * min(x.shape[1], y.shape[1])
+                x, y = fold(x, size), fold(y, size)
+                excess = min(int(n[i]) - int(np.bitwise_count(x).sum()), int(m[i]) - int(np.bitwise_count(y).sum()))
+                keep[i] = reachable(min(int(np.bitwise_count(x & y).sum()) + excess, int(n[i]), int(m[i])), int(n[i]) + int(m[i]), percent)
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
+
+    one = pairs.join(sets.select(F.col("s").alias("a"), F.col("bits").alias("p"), F.col("size").alias("n")), "a")
+    both = one.join(sets.select(F.col("s").alias("b"), F.col("bits").alias("q"), F.col("size").alias("m")), "b")
+    return both.select("a", "b", "n", "m", "p", "q").mapInArrow(run, "a long, b long")
+
+
+def reachable(overlap, sizes, percent: int):
+    """Whether an overlap is enough for sets of these sizes together: overlap / union reaches the threshold."""
+    return (100 + percent) * overlap >= percent * sizes
+
+
 def true_links(pairs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose exact Jaccard likeness reaches the threshold; `sets` has s, text."""
+    """Columns u, v: the pairs (a, b) whose exact Jaccard likeness reaches the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, None
         for batch in batches:
             a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
             texts, keep = batch.column("x"), np.zeros(len(a), bool)
-            for i, s in enumerate(shingle_sets(batch.column("y"), k)):
+            for i, s in enumerate(shingle_sets(texts_of(batch.column("y")), k)):
                 if a[i] != last:  # rows of one document follow each other
-                    last, own = a[i], next(shingle_sets(texts.slice(i, 1), k))
+                    last, own = a[i], next(shingle_sets(texts_of(texts.slice(i, 1)), k))
                 keep[i] = linked(own, s, percent)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["u", "v"])
 
-    right = pairs.join(sets.select(F.col("s").alias("b"), F.col("text").alias("y")), "b")
-    both = right.join(sets.select(F.col("s").alias("a"), F.col("text").alias("x")), "a")
+    right = pairs.join(sets.select(F.col("s").alias("b"), F.col("z").alias("y")), "b")
+    both = right.join(sets.select(F.col("s").alias("a"), F.col("z").alias("x")), "a")
     return both.select("a", "b", "x", "y").mapInArrow(run, "u long, v long")
 
 
@@ -238,8 +295,7 @@ def traverse(a: Node | None, b: Node | None, percent: int) -> Iterator[tuple[np.
         if x.component is not None and x.component == y.component:
             continue
         overlap = min(x.high, y.high, int(np.bitwise_count(x.bits & y.bits).sum()) + min(x.excess, y.excess))
-        # overlap / union reaches the threshold only if (100 + percent) * overlap >= percent * (both sizes)
-        if (100 + percent) * overlap < percent * (x.low + y.low) or 100 * x.high < percent * y.low or 100 * y.high < percent * x.low:
+        if not reachable(overlap, x.low + y.low, percent) or 100 * x.high < percent * y.low or 100 * y.high < percent * x.low:
             continue
         if x.rows is not None and y.rows is not None:
             yield x.rows, y.rows
@@ -263,14 +319,14 @@ def tree_pairs(asking: pd.DataFrame, held: pd.DataFrame, percent: int) -> np.nda
     (s, n, c, bits, e), (s2, n2, c2, bits2, e2) = sides
     for x, y in traverse(grow(n, bits, c), grow(n2, bits2, c2), percent):
         overlap = np.bitwise_count(bits[x][:, None, :] & bits2[y][None, :, :]).sum(2, dtype=np.int64) + np.minimum(e[x][:, None], e2[y][None, :])
-        ok = ((100 + percent) * np.minimum(overlap, np.minimum(n[x][:, None], n2[y][None, :])) >= percent * (n[x][:, None] + n2[y][None, :])) & (c[x][:, None] != c2[y][None, :]) & fits(n[x][:, None], n2[y][None, :], percent)
+        ok = reachable(np.minimum(overlap, np.minimum(n[x][:, None], n2[y][None, :])), n[x][:, None] + n2[y][None, :], percent) & (c[x][:, None] != c2[y][None, :]) & fits(n[x][:, None], n2[y][None, :], percent)
         i, j = np.nonzero(ok)
         p, q = s[x][i], s2[y][j]
         out.append(np.stack([np.minimum(p, q), np.maximum(p, q)], 1))
     return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
 
 
-def later_pairs(groups: DataFrame, labels: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
+def later_pairs(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of large groups, of different components, that the signature trees leave.
 
     Members outside a group's largest component ask; all members are held.  Both are dealt out in blocks that meet
@@ -283,13 +339,7 @@ def later_pairs(groups: DataFrame, labels: DataFrame, sets: DataFrame, k: int, p
     rows = rows.join(parts, "h").where("most < members")
     blocks, asks = F.ceil(F.col("members") / BLOCK).cast("int"), F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int")
 
-    def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [signature(s, 1 << max(9, int(8 * len(s) - 1).bit_length())).tobytes() for s in shingle_sets(batch.column(1), k)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["s", "bits"])
-
-    signed = sets.join(rows.select("s").distinct(), "s", "left_semi").select("s", "text").mapInArrow(bitmaps, "s long, bits binary")
-    rows = rows.join(signed, "s")
+    rows = rows.join(sets.select("s", "bits"), "s")
     base = ["h", "s", "n", "component", "bits"]
     held = rows.select(*base, F.pmod(F.xxhash64("s"), blocks).alias("block"), F.explode(F.sequence(F.lit(0), asks - 1)).alias("ask"), F.lit(False).alias("asks"))
     asking = rows.where("component != largest").select(*base, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.pmod(F.xxhash64("s", F.lit(1)), asks).alias("ask"), F.lit(True).alias("asks"))
@@ -310,17 +360,18 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     nothing.  Repeated rows are rows of their own with equal sets; a null id is never the smallest unless all are null.
     An empty table gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(F.col(text_col)).alias("t"), F.col(text_col).cast("string").alias("text"))
+    d = F.col(id_col).cast("long")
+    rows = docs.select(d.alias("d"), F.xxhash64(F.col(text_col)).alias("t"), F.col(text_col).cast("string").alias("text"))
     known = checkpointed(described(rows, k))
     groups = checkpointed(routes(rows.select("text"), k, percent, order_bits))
     pairs = checkpointed(first_pairs(groups, percent))
-    # The texts of one document of each set that is to be compared.
+    # One document of each set that is to be compared.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
-    place = known.join(wanted, "s").groupBy("s").agg(F.min(F.struct(F.coalesce("d", F.lit(-(2**63))).alias("x"), "t")).alias("p")).select("s", F.col("p.x").alias("x"), F.col("p.t").alias("y"))
-    there = (F.coalesce(F.col("d"), F.lit(-(2**63))) == F.col("x")) & (F.col("t") == F.col("y"))
-    sets = checkpointed(rows.join(place.hint("shuffle_hash"), there).select("s", "text").dropDuplicates(["s"]))
-    links = checkpointed(true_links(pairs, sets, k, percent))
-    later = checkpointed(later_pairs(groups, components(links), sets, k, percent))
+    keyed = F.coalesce("d", F.lit(-(2**63))).alias("x")
+    place = known.join(wanted, "s").groupBy("s").agg(F.min(F.struct(keyed, F.col("t").alias("y"))).alias("p"))
+    sets = checkpointed(stored(rows.select(keyed, F.col("t").alias("y"), "text"), place.select("s", "p.x", "p.y"), k))
+    links = checkpointed(true_links(possible(pairs, sets, percent), sets, k, percent))
+    later = checkpointed(later_pairs(groups, components(links), sets, percent))
     links = links.unionByName(true_links(later, sets, k, percent))
     labels = components(links)
     # The smallest id of each set, then of each component; copies are counted before they shuffle.
