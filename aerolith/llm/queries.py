@@ -69,5 +69,31 @@ def queries() -> dict[str, Query]:
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP3_SQL = rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT item_id, w, least(10, len(w)) AS n FROM (SELECT item_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS t FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM items)),
+places AS (SELECT rid, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS t FROM (SELECT rid, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT rid, i, places.n AS n, item_id FROM places JOIN windows ON places.n = windows.n AND places.t = windows.t),
+covered AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT rid, i, n FROM hits)) GROUP BY 1),
+named AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)"""
+
+OP4_SQL = rf"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT rid, array_to_string(list_slice(w, i, i + 3), ' ') AS t FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT rid, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.t = b.t AND a.rid < b.rid GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.rid = a JOIN sizes y ON y.rid = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rid, rid AS o FROM docs UNION SELECT reach.rid, edges.b FROM reach JOIN edges ON edges.a = reach.o)
+SELECT d.doc_id, coalesce(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM docs d JOIN reach ON reach.rid = d.rid JOIN docs o ON o.rid = reach.o LEFT JOIN sizes ON sizes.rid = d.rid GROUP BY d.rid, d.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The queries that SQL can express; the others are held against plain Python, round trips or held-out rows in tests."""
+    return {"op3_benchmark_decontamination": OP3_SQL, "op4_ngram_jaccard_join": OP4_SQL}
