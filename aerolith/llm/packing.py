@@ -39,6 +39,27 @@ def load_encoding(name: str):
     return tiktoken.Encoding("documents", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=2)
+def load_tokenizer(name: str):
+    """The same vocabulary in the other library's form."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file((name if "/" in name else public_tokenizers.path(name)).removesuffix(".tiktoken") + ".json")
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def token_ids(text: str, name: str) -> list[int]:
+    """Ids of a text.  The faster library's pattern cannot take very long runs of white space; the other one then does it."""
+    try:
+        return load_encoding(name).encode_ordinary(text)
+    except BaseException as error:
+        if type(error).__name__ != "PanicException":
+            raise
+        return load_tokenizer(name).encode(text, add_special_tokens=False).ids
+
+
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     """Start and length of a document's pieces: all but the first are full."""
     first = (length - 1) % capacity + 1
@@ -53,13 +74,12 @@ def tokenized(docs: DataFrame, capacity: int, vocabulary: str, id_col: str, text
 
         from pyspark import TaskContext
 
-        encoding, bucket = load_encoding(vocabulary), TaskContext.get().partitionId()
+        bucket = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
             rows, kept = [], []
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = encoding.encode_ordinary(text.as_py() or "")
-                ids.append(END_ID)
+                ids = [*token_ids(text.as_py() or "", vocabulary), END_ID]
                 raw = memoryview(array("I", ids)).cast("B")
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
                     rows.append((doc.as_py(), k, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), bucket, seen[length]))

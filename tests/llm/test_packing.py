@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from aerolith.llm.packing import END_ID, cut, load_encoding, pack_documents, plan
+from aerolith.llm.packing import END_ID, cut, load_encoding, pack_documents, plan, token_ids
 from aerolith.llm.queries import op1_best_fit_packing
 from tests.llm.fixtures import ROWS, empty, odd
 
@@ -85,3 +85,8 @@ def test_plan_holds_every_rank_once(counts):
             assert held[s] == offset
             held[s] += length * per
     assert dict(at) == counts and all(v <= 40 for v in held.values())
+
+
+def test_very_long_runs(tokenizer):
+    for text in (" " * 1_000_000 + "x", "a" * 200_000, "\n" * 200_000, "word " * 100_000):
+        assert token_ids(text, "byte_bpe_50k.tiktoken") == tokenizer.encode(text, add_special_tokens=False).ids
