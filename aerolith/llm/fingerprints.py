@@ -90,17 +90,17 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     slim = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("key"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     # One bound per block reaches the driver; a block begins at the smallest id that is not below its bound.
-    cuts = slim.select(F.percentile_approx("key", [i / blocks for i in range(blocks)], 100 * blocks).alias("at"), F.min("key").alias("low")).first()
+    cuts = slim.select(F.percentile_approx("key", [i / blocks for i in range(blocks)], max(10_000, 10 * blocks)).alias("at"), F.min("key").alias("low")).first()
     bounds = np.unique(np.array([cuts["low"], *(cuts["at"] or [])] if cuts["low"] is not None else [0], np.int64))
 
     @F.pandas_udf("array<struct<block:int,tail:boolean>>")
-    def routes(key: pd.Series, first: pd.Series) -> pd.Series:
-        block = np.searchsorted(bounds, key.to_numpy(), "right") - 1
+    def routes(key: pd.Series) -> pd.Series:
+        key = key.to_numpy()
+        block = np.searchsorted(bounds, key, "right") - 1
+        first = bounds[block] == key  # the quantiles are values of the column, so every bound is the id of a block's first document
         return pd.Series([[{"block": int(b), "tail": False}] + ([{"block": int((b - 1) % len(bounds)), "tail": True}] if f else []) for b, f in zip(block, first, strict=True)])
 
-    # percentile_approx returns values of the column, so every bound is the id of a block's first document.
-    first = F.col("key").isin([int(b) for b in bounds])
-    routed = slim.select("key", "doc_id", "text", F.explode(routes("key", first)).alias("to")).select("key", "doc_id", "text", "to.*")
+    routed = slim.select("key", "doc_id", "text", F.explode(routes("key")).alias("to")).select("key", "doc_id", "text", "to.*")
     return routed.repartition("block").sortWithinPartitions("block", "tail", "key", "text")
 
 
