@@ -23,7 +23,7 @@ from aerolith.llm.common import checkpointed, sum_arrays
 from aerolith.llm.components import components
 from aerolith.llm.hashing import mix, shingle_sets
 
-K, PERCENT = 4, 85
+K, PERCENT = 5, 80
 #: Shingles are counted in so many buckets (a power of two) to tell rare ones from frequent ones.
 ORDER_BITS = 22
 #: Documents in a leaf, children of a node, leaders of a group, documents of a group that meet in one task.
@@ -33,7 +33,10 @@ _SALT = np.uint64(0x632BE59BD9B4E019)
 
 def set_key(s: np.ndarray) -> int:
     """Hash of a set of shingle hashes, as a signed 64-bit number."""
-    return int((mix(s ^ _SALT).sum(dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(len(s))).view(np.int64)) if len(s) else 0
+    if not len(s):
+        return 0
+    total = int(mix(s ^ _SALT).sum(dtype=np.uint64)) * 0x9E3779B97F4A7C15 % 2**64 ^ len(s)
+    return total - 2**64 if total >= 2**63 else total
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -98,27 +101,29 @@ def routes(texts: DataFrame, k: int, percent: int, bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(ss)), pa.array(np.concatenate(ns))], ["h", "s", "n"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Drop repeated rows and the rows that are alone with their shingle, from rows sorted by h, s."""
-        held = None
+        """Drop repeated rows and the rows that are alone with their shingle, from rows sorted by h, s; one row is held back."""
+        held, met = np.zeros((0, 3), np.int64), False  # the last row so far, and whether its shingle had one before it
         for batch in _with_end(batches):
-            rows = np.zeros((0, 3), np.int64) if batch is None else np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], 1)
-            if held is not None:
-                rows = np.concatenate([held, rows])
+            rows = held
+            if batch is not None:
+                rows = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], 1)])
             if not len(rows):
                 continue
             new = np.ones(len(rows), bool)
             new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(1)
             rows = rows[new]
-            # The last group may go on in the next batch.
-            last = len(rows) if batch is None else int(np.searchsorted(rows[:, 0], rows[-1, 0], "left"))
-            done, held = rows[:last], rows[last:]
-            same = done[1:, 0] == done[:-1, 0]
-            keep = np.zeros(len(done), bool)
+            same = rows[1:, 0] == rows[:-1, 0]
+            keep = np.zeros(len(rows), bool)
+            keep[0] = met
             keep[1:] |= same
             keep[:-1] |= same
-            done = done[keep]
-            if len(done):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(done[:, j])) for j in range(3)], ["h", "s", "n"])
+            if batch is None:
+                rows = rows[keep]
+            else:
+                held, met = rows[-1:], bool(keep[-1]) if len(rows) > 1 else met
+                rows = rows[:-1][keep[:-1]]
+            if len(rows):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, j])) for j in range(3)], ["h", "s", "n"])
 
     rows = texts.select("text").mapInArrow(prefixes, "h long, s long, n long")
     return rows.repartition("h").sortWithinPartitions("h", "s").mapInArrow(shared, "h long, s long, n long")
@@ -134,13 +139,12 @@ def first_pairs(groups: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
-        own: list[tuple[int, int]] = []
-        at = None
+        own: list[tuple[int, int]] = []  # the group's first rows, as many as a leaf holds
+        at, large = None, False
 
-        def pair() -> None:
-            heads = own if len(own) <= LEAF else own[:LEADERS]  # rows come sorted by s, so groups of the same members share leaders
+        def pair(heads: list[tuple[int, int]], others: list[tuple[int, int]]) -> None:
             for i, (s, n) in enumerate(heads):
-                for t, m in own[i + 1 :]:
+                for t, m in others[i + 1 :] if others is own else others:
                     if 100 * min(n, m) >= percent * max(n, m):
                         found.append((s, t))
 
@@ -152,12 +156,20 @@ def first_pairs(groups: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for h, s, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if h != at:
-                    pair()
-                    own, at = [], h
-                own.append((s, n))
-            if len(found) > 500_000:
+                    if not large:
+                        pair(own, own)
+                    own, at, large = [], h, False
+                if len(own) < LEAF:
+                    own.append((s, n))
+                    continue
+                if not large:  # rows come sorted by s, so groups of the same members share leaders
+                    large = True
+                    pair(own[:LEADERS], own)
+                pair(own[:LEADERS], [(s, n)])
+            if len(found) > 200_000:
                 yield emit()
-        pair()
+        if not large:
+            pair(own, own)
         if found:
             yield emit()
 

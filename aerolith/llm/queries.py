@@ -35,7 +35,7 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicate_groups(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return near_duplicate_groups(read_table(spark, sf_dir, "documents"), k=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from aerolith.llm.queries import op4_ngram_jaccard_join
 from tests.llm.fixtures import empty, odd
 
 
-def brute(docs, k=4):
+def brute(docs, k=4, percent=85):
     """Rows (doc_id, n_shingles, component_id) by comparing all pairs that share a shingle."""
     sets, homes = [], {}
     for i, (_, text) in enumerate(docs):
@@ -33,7 +33,7 @@ def brute(docs, k=4):
 
     for a, b in {p for h in homes.values() for p in combinations(h, 2)}:
         both = len(sets[a] & sets[b])
-        if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
             parent[root(a)] = root(b)
     least = {}
     for i, (d, _) in enumerate(docs):
@@ -74,7 +74,8 @@ def test_threshold_groups_equal_brute_force(spark, monkeypatch, leaf, block):
     docs = near_copies(random.Random(leaf), 6, 40) + near_copies(random.Random(9), 40, 3, 25)
     docs = [(i, t) for i, (_, t) in enumerate(docs)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    assert rows_of(near_duplicate_groups(df, order_bits=12)) == brute(docs)
+    assert rows_of(near_duplicate_groups(df, k=4, percent=85, order_bits=12)) == brute(docs)
+    assert rows_of(near_duplicate_groups(df, order_bits=12)) == brute(docs, 5, 80)
 
 
 def test_trees_lose_no_pair():
@@ -99,7 +100,7 @@ def test_components(spark):
 
 
 def test_odd_rows(spark):
-    assert rows_of(near_duplicate_groups(odd(spark), order_bits=8)) == brute([(r["doc_id"], r["text"]) for r in odd(spark).collect()])
+    assert rows_of(near_duplicate_groups(odd(spark), order_bits=8)) == brute([(r["doc_id"], r["text"]) for r in odd(spark).collect()], 5, 80)
     assert near_duplicate_groups(empty(spark), order_bits=8).count() == 0
     kept = keep_one_of_each(odd(spark), order_bits=8)
     assert kept.columns == odd(spark).columns and kept.where("doc_id in (1, 6)").count() == 1

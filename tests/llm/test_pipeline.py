@@ -47,7 +47,7 @@ def test_line_dedup_takes_effect(tables):
 
 def test_one_of_each_group_stays(tables):
     _, out = tables
-    groups = groups_of(pairs(out["line_dedup"]))
+    groups = groups_of(pairs(out["line_dedup"]), 5, 80)
     assert [d for d, _ in pairs(out["near_duplicates"])] == sorted(d for d, _, c in groups if d == c)
 
 
