@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Entries of a dense array that travel in one row of :func:`sum_arrays`.
 CHUNK = 1 << 16
+#: Partitions that are summed in one group, and levels of the tree of sums.
+FAN, LEVELS = 64, 3
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -60,39 +62,38 @@ def _packed(part: np.ndarray) -> tuple[str, bytes]:
 
 
 def sum_arrays(df: DataFrame, partial: Callable[[Iterator[pd.DataFrame]], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
-    """Sum fixed-size int64 arrays that `partial` makes of each partition.
+    """Sum fixed-size arrays of counts that `partial` makes of each partition.
 
-    The arrays have a size that does not depend on the data.  Every partition sends them as
-    compressed chunks; a group holds one row per partition, and only the sums reach the driver.
+    The arrays have a size that does not depend on the data.  Every partition sends them as compressed chunks, which
+    are added in a tree: a group holds the chunks of at most FAN partitions, and only the sums reach the driver.
     """
+    import zlib
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import zlib
+        from pyspark import TaskContext
 
-        rows = []
+        lane, rows = TaskContext.get().partitionId(), []
         for name, array in partial(batches).items():
             for at in range(0, len(array), CHUNK):
                 part = np.ascontiguousarray(array[at : at + CHUNK], dtype="<i8")
                 if part.any():
-                    rows.append((name, at, len(array), *_packed(part)))
-        yield pd.DataFrame(rows, columns=["name", "at", "size", "kind", "data"])
+                    rows.append((name, at, lane, len(array), *_packed(part)))
+        yield pd.DataFrame(rows, columns=["name", "at", "lane", "size", "kind", "data"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        import zlib
-
         total = 0
         for kind, data in zip(pdf["kind"], pdf["data"], strict=True):
             total = total + np.frombuffer(zlib.decompress(data), kind).astype("<i8")
         kind, data = _packed(total)
-        return pd.DataFrame({"name": [pdf["name"][0]], "at": [pdf["at"][0]], "size": [pdf["size"][0]], "kind": [kind], "data": [data]})
-
-    import zlib
+        return pd.DataFrame({**{c: [pdf[c][0]] for c in ("name", "at", "lane", "size")}, "kind": [kind], "data": [data]})
 
-    parts = df.mapInPandas(split, "name string, at long, size long, kind string, data binary")
-    sums = parts.groupBy("name", "at").applyInPandas(add, "name string, at long, size long, kind string, data binary").collect()
+    shape = "name string, at long, lane long, size long, kind string, data binary"
+    parts = df.mapInPandas(split, shape)
+    for _ in range(LEVELS):
+        parts = parts.withColumn("lane", F.floor(F.col("lane") / FAN)).groupBy("name", "at", "lane").applyInPandas(add, shape)
     out: dict[str, np.ndarray] = {}
-    for r in sums:
+    for r in parts.collect():
         array = out.setdefault(r["name"], np.zeros(r["size"], np.int64))
         part = np.frombuffer(zlib.decompress(r["data"]), r["kind"])
-        array[r["at"] : r["at"] + len(part)] = part
+        array[r["at"] : r["at"] + len(part)] += part
     return out
