@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, OneHotEncoderModel, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,20 +33,25 @@ def fit_horizon(df: DataFrame, features: Sequence[str], target: str, categories:
     return model, regression_errors(model.transform(rows), target, "prediction", ["split"])
 
 
-def importance(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    """feature, importance, greatest first; a category's parts are summed."""
+def importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """feature, importance, greatest first; the parts of a category are summed."""
     assembler, trees = model.stages[-2], model.stages[-1]
+    # With unknown categories kept and the last one dropped, a category is as wide as its known values.
+    wide = {s.getOutputCol(): s.categorySizes[0] for s in model.stages if isinstance(s, OneHotEncoderModel)}
     values = trees.featureImportances.toArray()
-    names = assembler.getInputCols()
-    wide = len(values) - len(names) + 1
     rows, at = [], 0
-    for name in names:
-        step = 1 if name in (f"__{c}" for c in features) and not any(s.uid.startswith("OneHot") and s.getOutputCol() == name for s in model.stages if hasattr(s, "getOutputCol")) else max(1, wide)
-        rows.append((name.removeprefix("__"), float(values[at : at + step].sum())))
-        at += step
+    for name in assembler.getInputCols():
+        width = wide.get(name, 1)
+        rows.append((name.removeprefix("__"), float(values[at : at + width].sum())))
+        at += width
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def predicted(model: PipelineModel, df: DataFrame, key: str = "hour") -> DataFrame:
+    """key and prediction of each row, without its target."""
+    return model.transform(df).select(key, "prediction")
+
+
 def run_record(spark: SparkSession, name: str, horizon: int, errors: DataFrame, path: str) -> DataFrame:
     """One row of a model's registry: its name, horizon, path, time and errors by split."""
     by = errors.groupBy().agg(*(F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}") for s in ("validation", "test") for m in ("mae", "rmse", "mape")))

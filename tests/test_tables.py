@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aerolith.checks.checks import compact, freshness, maintain, null_ratio_check, reconcile, schema_hash
 from aerolith.ml.cluster import clusters, cost_by_k
-from aerolith.ml.forecast import fit_horizon, importance, run_record
+from aerolith.ml.forecast import fit_horizon, importance, predicted, run_record
 from aerolith.plans.gold import MASTER_COLUMNS, TRAINING_COLUMNS, master, training
 from aerolith.plans.registry import TABLES, Table, ensure
 from aerolith.plans.silver import aerosol_daily, city_hourly, gradient_hourly, station_hourly, surface_hourly, swath_daily, weather_hourly
@@ -232,8 +232,9 @@ def test_silver_to_training(spark):
     assert train.columns == [c for c, _ in TRAINING_COLUMNS] and train.count() == 24 * 11
     model, errors = fit_horizon(train, ["pm25_mean", "pm25_lag_1h", "hour_of_day", "season"], "pm25_next_6h", ["season"], trees=3, depth=2)
     assert {r["split"] for r in errors.collect()} == {"train", "validation", "test"}
-    ranked = importance(spark, model, ["pm25_mean", "pm25_lag_1h", "hour_of_day", "season"])
+    ranked = importance(spark, model)
     assert ranked.count() == 4 and abs(ranked.agg(F.sum("importance")).first()[0] - 1) < 1e-6
+    assert predicted(model, train).count() == train.count()
     assert run_record(spark, "m", 6, errors, "p").first()["test_mae"] > 0
 
 
