@@ -2,7 +2,7 @@
 
 from aerolith.functions.calendar import calendar_columns, season
 from aerolith.functions.geo import degrees_between, inverse_distance, sinusoidal_tile
-from aerolith.functions.text import alias_product, normalized_name, run_id, safe_id
+from aerolith.functions.text import alias_product, first_link, label_of, normalized_name, run_id, safe_id
 from aerolith.functions.times import at_utc, iso_time, tile_name_parts
 from aerolith.functions.units import celsius, coverage_pct, guarded_ratio, millimetres, wind_direction, wind_speed
 
@@ -13,9 +13,11 @@ __all__ = [
     "celsius",
     "coverage_pct",
     "degrees_between",
+    "first_link",
     "guarded_ratio",
     "inverse_distance",
     "iso_time",
+    "label_of",
     "millimetres",
     "normalized_name",
     "run_id",

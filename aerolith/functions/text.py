@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,3 +26,15 @@ def safe_id(raw: Column) -> Column:
 
 def run_id(direction: Column, init: Column, lat: Column, lon: Column, alt: Column) -> Column:
     return safe_id(F.format_string("%s_%s_lat%.3f_lon%.3f_alt%d", direction, F.date_format(init, "yyyyMMddHH"), lat, lon, F.round(alt).cast("long")))
+
+
+def label_of(code: Column, labels: Mapping[int, str], other: str = "unknown") -> Column:
+    """The label of a code; codes without one, and null, get `other`."""
+    pairs = F.create_map(*(F.lit(x) for kv in labels.items() for x in kv))
+    return F.coalesce(F.try_element_at(pairs, code), F.lit(other))
+
+
+def first_link(links: Column) -> Column:
+    """href of the first of an array of links (href, inherited, ..) that is not inherited, or null."""
+    own = F.filter(links, lambda x: x["href"].isNotNull() & ~F.coalesce(x["inherited"], F.lit(False)))
+    return F.get(own, F.lit(0))["href"]

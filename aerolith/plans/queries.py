@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from aerolith.checks.checks import cluster_report, freshness, null_ratio_check, reconcile, schema_hash
 from aerolith.config import BBox, Center, Quality, Runs
-from aerolith.functions import calendar_columns, celsius, coverage_pct, guarded_ratio, millimetres, normalized_name, safe_id, wind_direction, wind_speed
+from aerolith.functions import calendar_columns, celsius, coverage_pct, guarded_ratio, label_of, millimetres, normalized_name, safe_id, wind_direction, wind_speed
 from aerolith.ml.cluster import clusters
 from aerolith.operators.asof import asof_join
 from aerolith.operators.dedup import duplicate_count, insert_new, latest_per_key, newest
@@ -448,6 +448,48 @@ def nulled_outliers(spark, sf_dir):
     return null_out_of_range(table(spark, sf_dir, "events"), "event_type", "value", {"click": 50.0, "view": 120.0}).select("event_id", "value")
 
 
+@query("SELECT event_id, CASE user_id % 4 WHEN 0 THEN 'local' WHEN 1 THEN 'north' ELSE 'unknown' END AS source FROM events")
+def labelled_codes(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", label_of((F.col("user_id") % 4).cast("int"), {0: "local", 1: "north"}).alias("source"))
+
+
+@query("SELECT event_id, date_trunc('hour', ts)::TIMESTAMP AS window_start, (date_trunc('hour', ts) + INTERVAL 1 HOUR)::TIMESTAMP AS window_end FROM events WHERE event_id % 50 = 0")
+def tumbling_windows(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").where("event_id % 50 = 0").withColumn("w", F.window("ts", "1 hour"))
+    return rows.select("event_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"))
+
+
+@query("""WITH o AS (SELECT user_id, ts, value, CASE WHEN epoch(ts) - epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts)) < 7200 THEN 0 ELSE 1 END AS first FROM events),
+s AS (SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM o) SELECT user_id, min(ts) AS started, count(*) AS events, round(sum(value), 4) AS total FROM s GROUP BY user_id, n""")
+def station_sessions(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumn("t", F.col("ts").cast("timestamp"))
+    out = rows.groupBy("user_id", F.session_window("t", "2 hours")).agg(F.min("ts").alias("started"), F.count("*").alias("events"), F.round(F.sum("value"), 4).alias("total"))
+    return out.select("user_id", "started", "events", "total")
+
+
+def _drained(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """Run a stream over the events to its end, and read what it wrote in the shared folder."""
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="aerolith-stream-")
+    folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    make(stream).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query("SELECT event_id, ts, event_type, (props->>'$.k')::BIGINT AS k, year(ts)::INT AS year FROM events")
+def stream_to_table(spark, sf_dir):
+    """JSON parsed and appended by a stream that ends with what is there."""
+
+    def make(df: DataFrame) -> DataFrame:
+        return df.select("event_id", "ts", "event_type", F.from_json("props", "k BIGINT").getField("k").alias("k"), F.year("ts").alias("year"))
+
+    return _drained(spark, sf_dir, "append", make)
+
+
 @query("SELECT DISTINCT date_trunc('hour', ts)::TIMESTAMP AS hour FROM events WHERE value >= 75")
 def hours_over_threshold(spark, sf_dir):
     return threshold_hours(events(spark, sf_dir), "hour", "value", 75.0)
