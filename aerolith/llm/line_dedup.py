@@ -136,7 +136,8 @@ def _deduped(rows: DataFrame, least_words: int, lone_words: int) -> DataFrame:
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long")
     joined = joined.withColumn("n_lines", n).withColumn("n_removed", F.when(F.col("left").isNull(), 0).otherwise(n - F.size("left")).cast("long"))
     joined = joined.withColumn("text", F.when(F.col("left").isNull(), F.col("text")).otherwise(F.array_join("left", "")))
-    return joined.drop("runs", "lines", "b", "spans", "left")
+    # A filter on the new columns must not be pushed below, where it would evaluate their expressions once for each use.
+    return joined.select(F.inline(F.array(F.struct(*(c for c in joined.columns if c not in ("runs", "lines", "b", "spans", "left"))))))
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = "n_chars", **options) -> DataFrame:
