@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from aerolith.llm.hashing import shingle_sets
 
-K, FRACTION, FLOOR = 5, 1 / 32, 48
+K, FRACTION, FLOOR = 5, 1 / 16, 96
 _TOP = np.uint64(2**64 - 1)
 PAIRED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 

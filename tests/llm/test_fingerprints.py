@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from aerolith.llm.fingerprints import compare, decode, fingerprints, merge, paired_fingerprints, sketch
+from aerolith.llm.fingerprints import FLOOR, compare, decode, fingerprints, merge, paired_fingerprints, sketch
 from aerolith.llm.hashing import shingle_sets
 from aerolith.llm.queries import op10_document_fingerprints
 from tests.llm.fixtures import empty, odd
@@ -35,9 +35,9 @@ def test_query(spark, sf_dir):
         assert (r["n_chars"], r["edited_sha256"]) == (n, hashlib.sha256(edited.encode()).hexdigest())
         a, b = shingles(text), shingles(edited)
         errors.append(abs(len(a & b) / len(a | b) - r["near_edited"]))
-        if len(a) <= 48 and len(b) <= 48:
+        if len(a) < FLOOR and len(b) < FLOOR:
             assert errors[-1] < 1e-9
-    assert np.mean(errors) < 0.06
+    assert np.mean(errors) < 0.03
     prints = {}
     for doc_id, text in docs:
         assert prints.setdefault(text, rows[doc_id]["fingerprint"]) == rows[doc_id]["fingerprint"]
