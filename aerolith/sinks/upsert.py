@@ -28,12 +28,21 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """The keys that several rows have; null is a key only if nulls are to match."""
+    rows = df if null_safe else df.dropna(subset=list(keys))
+    return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
 def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), null_safe: bool = False) -> None:
     """Merge `source` into the table at `path`; only the partitions of source rows are read and rewritten.
 
-    A key must not move between partitions (partition columns are part of it or follow from it).
+    A key that the source repeats is an error, as in MERGE.  A key must not move between partitions (partition columns
+    are part of it or follow from it).
     """
     spark = source.sparkSession
+    if keys and not repeated_keys(source, keys, null_safe).isEmpty():
+        raise ValueError(f"the source repeats a key of {', '.join(keys)}")
     target = read_or_none(spark, path)
     if target is not None and partition_by:
         touched = source.select(*partition_by).distinct()

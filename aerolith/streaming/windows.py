@@ -1,10 +1,13 @@
-"""Ingest windows and flags of collectors: pure functions."""
+"""Ingest windows of collectors."""
 
 from __future__ import annotations
 
+import json
 from dataclasses import asdict, dataclass
 from datetime import UTC, date, datetime, timedelta
 
+from pyspark.sql import SparkSession
+
 
 @dataclass(frozen=True)
 class IngestWindow:
@@ -16,6 +19,10 @@ class IngestWindow:
     def state(self) -> dict:
         return {k: v.isoformat() if isinstance(v, datetime) else v for k, v in asdict(self).items()}
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One JSON line, by Spark's writer, so that any of its file systems will do."""
+        spark.createDataFrame([(json.dumps(self.state()),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
 
 def ingest_window(mode: str, now: datetime, lookback_days: int = 1, lookback_minutes: int = 10, start: datetime | None = None, end: datetime | None = None) -> IngestWindow:
     """The span to ask for: days back in batch mode, minutes back in real time, or the given bounds.

@@ -50,6 +50,8 @@ def test_upsert_is_idempotent_and_touches_its_partitions(spark, tmp_path):
         upsert(new, path, ["k"], ["p"])
         assert sorted(map(tuple, spark.read.parquet(path).select("k", "p", "v").collect())) == [(1, "a", 1), (2, "a", 9), (3, "b", 1), (4, "a", 9)]
     assert {f for f in spark.read.parquet(path).inputFiles() if "p=b" in f} == before
+    with pytest.raises(ValueError):
+        upsert(new.unionByName(new), path, ["k"], ["p"])
     delete_where(spark, path, F.col("v") == 9, ["p"])
     assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == [1, 3]
     append_new(spark.createDataFrame([(1, "a", 5), (7, "c", 5)], "k int, p string, v int").select("k", "v", "p"), f"{tmp_path}/u", ["k"])
@@ -196,10 +198,12 @@ def test_windows_equal_batch(spark, sf_dir, tmp_path, kind):
         assert want.exceptAll(got).count() == 0 == got.exceptAll(want).count()
 
 
-def test_ingest_windows():
+def test_ingest_windows(spark, tmp_path):
     now = datetime(2024, 3, 1, 12, tzinfo=UTC)
     w = ingest_window("batch", now, lookback_days=0)
     assert w.start == now - timedelta(days=1) and len(days_of(w)) == 2
+    w.save(spark, f"{tmp_path}/state")
+    assert json.loads(spark.read.text(f"{tmp_path}/state").first()[0]) == w.state()
     assert ingest_window("realtime", now, lookback_minutes=0).start == now - timedelta(minutes=1)
     assert months_of(datetime(2023, 12, 5).date(), datetime(2024, 2, 1).date()) == [(2023, 12), (2024, 1), (2024, 2)]
     with pytest.raises(ValueError):
