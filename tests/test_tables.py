@@ -23,7 +23,7 @@ from aerolith.streaming.windows import days_of, ingest_window, months_of
 T0 = datetime(2024, 3, 1)
 
 
-def test_registry_has_every_table():
+def test_registry_has_every_table(spark):
     assert len(TABLES) == 22 and len(MASTER_COLUMNS) == 74 and len(TRAINING_COLUMNS) == 79
     for t in TABLES.values():
         names = t.schema().fieldNames()
