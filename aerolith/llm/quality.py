@@ -8,8 +8,10 @@ a probability scale that is fitted on a histogram of all training scores.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,11 +21,33 @@ from pyspark.sql import functions as F
 from aerolith.llm.common import checkpointed, held_out
 
 FEATURES = ["chars", "words", "word_length", "word_spread", "upper", "digits", "blanks", "stops", "symbols", "closing_symbols", "distinct_words", "top_word", "echoes", "distinct_pairs", "short_words", "line_length", "distinct_lines", "squeeze"]
-_STOPS = str.maketrans("", "", ".,;:'\"()-?")
 #: Histogram of log-density differences: bins of this width, up to this many on either side.
 BIN, BINS = 0.25, 400
 
 
+#: Flags of a character.
+ALNUM, STOP, DIGIT, SPACE, PLAIN_END = 1, 2, 4, 8, 16
+
+
+@lru_cache(maxsize=1)
+def character_flags() -> np.ndarray:
+    """Flags by code point: letters and digits, stops, 0-9, white space, what may end a word without being a symbol."""
+    flags = np.zeros(0x110000, np.uint8)
+    for c in range(0x110000):
+        x = chr(c)
+        if x.isalnum():
+            flags[c] = ALNUM | PLAIN_END
+        elif x.isspace():
+            flags[c] = SPACE
+    for x in ".,;:'\"()-?":
+        flags[ord(x)] |= STOP
+    for x in ".,;:?'\")-":
+        flags[ord(x)] |= PLAIN_END
+    for x in "0123456789":
+        flags[ord(x)] |= DIGIT
+    return flags
+
+
 def statistics(text: str) -> list[float]:
     """Transformed statistics of a whole text: logarithms of sizes, log odds of shares."""
     import zlib
@@ -32,39 +56,38 @@ def statistics(text: str) -> list[float]:
         return math.log((part + 0.5) / (max(whole - part, 0) + 0.5))
 
     n = len(text)
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+    lower = text.lower()
+    upper = int((points != np.frombuffer(lower.encode("utf-32-le", "replace"), "<u4")).sum()) if len(lower) == n else 0
+    flags = character_flags()[points]
+    kinds = np.bincount(flags, minlength=32)
+    of = lambda flag: int(kinds[(np.arange(32) & flag) > 0].sum())
+    stops, spaces = of(STOP), of(SPACE)
+    space = (flags & SPACE) > 0
+    ends = ~space
+    ends[:-1] &= space[1:]
+    closing = int(((flags[ends] & PLAIN_END) == 0).sum())
     words = text.split()
     lines = text.split("\n")
     w = len(words)
     lengths = np.fromiter(map(len, words), np.int64, w) if w else np.zeros(1, np.int64)
     mean = float(lengths.mean())
-    letters = sum(lengths) if w else 0
-    bare = text.translate(_STOPS)
-    alnum = sum(map(len, _runs(bare)))
-    stops = n - len(bare)
-    symbols = max(0, len(bare) - alnum - (n - int(letters)))
-    counts: dict[str, int] = {}
-    for x in words:
-        counts[x] = counts.get(x, 0) + 1
-    closing = sum(1 for x in words if not x[-1].isalnum() and x[-1] not in ".,;:?'\")-")
-    echoes = sum(map(str.__eq__, words, words[1:]))
+    counts = Counter(words)
     raw = text.encode("utf-8", "replace")
-    lower = text.lower()
-    upper = sum(map(str.__ne__, text, lower)) if len(lower) == n else 0
-    digits = n - len(text.translate(_DIGITS))
     return [
         math.log1p(n),
         math.log1p(w),
         math.log1p(mean),
         math.log1p(float(lengths.std())),
         odds(upper, n),
-        odds(digits, n),
-        odds(n - letters, n),
+        odds(of(DIGIT), n),
+        odds(spaces, n),
         odds(stops, n),
-        odds(symbols, n),
+        odds(n - stops - of(ALNUM) - spaces, n),
         odds(closing, w),
         math.log1p(len(counts)) - 0.8 * math.log1p(w),
         odds(max(counts.values(), default=0), w),
-        odds(echoes, w),
+        odds(sum(map(str.__eq__, words, words[1:])), w),
         odds(len(set(zip(words, words[1:]))), max(w - 1, 0)),
         odds(int((lengths <= 3).sum()) if w else 0, w),
         math.log1p(n / len(lines)),
@@ -73,15 +96,6 @@ def statistics(text: str) -> list[float]:
     ]
 
 
-_DIGITS = str.maketrans("", "", "0123456789")
-
-
-def _runs(text: str) -> list[str]:
-    import re
-
-    return re.findall(r"[^\W_]+", text)
-
-
 def features(text: Column) -> Column:
     """array<double> of :func:`statistics`; a null text counts as empty."""
 
