@@ -35,7 +35,7 @@ def parse_dump(lines: DataFrame, run: str = "run_id", direction: str = "directio
     fields = fields.withColumn("year", dump_year(F.col("year")))
     stamp = F.try_make_timestamp(*(F.col(c) for c in ("year", "month", "day", "hour", "minute")), F.lit(0))
     first = fields.withColumn("timestamp", stamp.cast("timestamp_ntz"))
-    iso = rows.withColumn("__time", F.concat_ws(" ", F.nullif(F.regexp_extract("__text", ISO_LINE, 1), F.lit("")), F.nullif(F.regexp_extract("__text", ISO_LINE, 2), F.lit(""))))
+    iso = rows.where(F.col("__text").rlike(ISO_LINE)).withColumn("__time", F.concat_ws(" ", F.nullif(F.regexp_extract("__text", ISO_LINE, 1), F.lit("")), F.nullif(F.regexp_extract("__text", ISO_LINE, 2), F.lit(""))))
     rest = F.filter(F.transform(F.split(F.trim(F.regexp_replace("__text", ISO_LINE, " ")), r"\s+"), lambda x: x.try_cast("double")), lambda x: x.isNotNull())
     second = iso.withColumn("timestamp", F.try_to_timestamp("__time", F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")).where("timestamp is not null").withColumn("__v", rest)
     second = second.select(

@@ -504,6 +504,7 @@ def dump_points(spark, sf_dir):
     iso = f"concat_ws(' ', date_format(ts, 'yyyy-MM-dd HH:mm'), {place})"
     junk = "CASE event_id % 8 WHEN 3 THEN '# note' ELSE '  12 PRESSURE 1 2 3 4 5 6 7 8 9 10 11' END"
     lines = table(spark, sf_dir, "events").selectExpr("CAST(user_id AS STRING) AS run_id", "'backward' AS direction", f"CASE event_id % 4 WHEN 2 THEN {iso} WHEN 3 THEN {junk} ELSE {numeric} END AS value")
+    lines = lines.select("run_id", "direction", F.explode(F.array("value")).alias("value"))  # made once, as a text scan would give them
     return parse_dump(lines).select("traj_id", "age_h", F.round("lat", 3).alias("lat"), F.round("lon", 3).alias("lon"), F.round("alt_m", 2).alias("alt_m"), "timestamp")
 
 
