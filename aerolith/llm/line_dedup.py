@@ -1,10 +1,11 @@
-"""Line dedup by content-defined chunks of lines, with DataFrame functions alone.
+"""Line dedup by content-defined windows of lines, with DataFrame functions alone.
 
 A line here ends at a newline or at the blank after a sentence's end, as whole paragraphs often stand on
-one physical line.  A rolling hash over the hashes of neighbouring lines chooses chunk boundaries, so the same lines
-fall into the same chunks wherever they stand.  Chunks that occur again are matched with their first
-occurrence; neighbouring matches form runs, runs are compared byte for byte with the first occurrence, and extended
-by the equal lines before and after them.  Runs that are long enough are removed.
+one physical line.  From each line with words a window goes on, and one goes back, until it is long enough to be
+removed; a window's bounds depend on nothing but the lines inside it, so a repeated run holds the same windows wherever it
+stands, and every line with words of a run that is long enough lies in one of them.  All windows are looked up by their hash.
+Those that occur again are matched with their first occurrence; neighbouring matches form runs, which are compared
+byte for byte with the first occurrence and removed.
 """
 
 from __future__ import annotations
@@ -15,10 +16,6 @@ from pyspark.sql import functions as F
 from aerolith.llm.common import checkpointed, written
 
 LINE_END = r"(?<=\n)|(?<=[.!?] )"
-#: Lines under a rolling hash; one boundary in MEAN lines; characters of the least chunk that is looked up.
-WIDTH, MEAN, LEAST_CHARS = 2, 2, 24
-#: Lines around a run that are looked at when it is extended.
-CONTEXT = 6
 #: The key of a null id, and of this id itself.
 NO_ID = -(2**63)
 
@@ -27,45 +24,94 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), LINE_END)
 
 
-def _bare(lines: str) -> Column:
+def _bare(lines: Column | str) -> Column:
     return F.transform(lines, lambda x: F.trim(x, F.lit(" \n\r\t")))
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """Columns d (document key), k, a (first line), n (lines), ch (hash): all chunks of some length."""
-    lines = docs.select("d", "k", _bare("lines").alias("b"))
-    lines = lines.select("d", "k", "b", F.transform("b", lambda x: F.xxhash64(x)).alias("h"))
-    rolled = lambda x, i: F.xxhash64(*(F.get("h", i - j) for j in range(WIDTH - 1, 0, -1)), x)
-    last = F.size("h") - 1
-    ends = F.filter(F.transform("h", lambda x, i: F.when((i == last) | (F.pmod(rolled(x, i), F.lit(MEAN)) == 0), i)), lambda e: e.isNotNull())
-    lines = lines.select("d", "k", "b", "h", ends.alias("ends"))
-    parts = F.transform("ends", lambda e, j: F.struct((F.coalesce(F.get("ends", j - 1), F.lit(-1)) + 1).alias("a"), e.alias("e")))
-    rows = lines.select("d", "k", "b", "h", parts.alias("parts"))
-    piece = lambda c, p: F.slice(F.col(c), p["a"] + 1, p["e"] - p["a"] + 1)
-    made = F.transform("parts", lambda p: F.struct(p["a"].alias("a"), (p["e"] - p["a"] + 1).alias("n"), F.xxhash64(p["e"] - p["a"], piece("h", p)).alias("ch"), F.length(F.array_join(piece("b", p), "")).alias("chars")))
-    rows = rows.select("d", "k", F.inline(F.filter(made, lambda c: c["chars"] >= LEAST_CHARS)))
-    return rows.select("d", "k", "a", "n", "ch")
-
-
-def _runs(chunks: DataFrame) -> DataFrame:
-    """Columns d, k, a, n, and kd, kk, ka: runs of lines with the place where their chunks occur first."""
-    first = chunks.groupBy("ch").agg(F.min(F.struct("d", "k", "a")).alias("p"), F.count("*").alias("times")).where("times > 1").select("ch", "p")
-    hits = chunks.join(first, "ch").where(F.struct("d", "k", "a") != F.col("p"))
-    # A document's hits, in order; a hit goes on its predecessor's run where both documents go on.
-    per = hits.groupBy("d", "k").agg(F.array_sort(F.collect_set(F.struct("a", "n", F.col("p.d").alias("kd"), F.col("p.k").alias("kk"), F.col("p.a").alias("ka")))).alias("hits"))
+def _windows(docs: DataFrame, least_words: int, lone_words: int) -> DataFrame:
+    """Columns d (document key), k, a (first line), n (lines), ch (hash): the least windows from and to each line with words.
+
+    With a run [i, j] that is long enough goes each longer one.  So if a line of a run is in no window that starts or ends at
+    it and lies in the run, the window from the run's first line passes it and lies in the run.
+    """
+    # What the split leaves after the last line's end is no line.  Blank lines at a run's edge are taken by windows that also hold the blank lines before or after their last line.
+    lines = docs.select("d", "k", _bare(F.filter("lines", lambda x: x != "")).alias("b"))
+    unit = lambda x, i: F.when(x != "", F.struct(i.alias("i"), _words(F.array(x)).alias("w")))
+    lines = lines.select("d", "k", F.transform("b", lambda x: F.xxhash64(x)).alias("h"), F.filter(F.transform("b", unit), lambda u: u.isNotNull()).alias("u"))
+
+    def search(u: Column, j: Column, step: int) -> Column:
+        """The other end of the least window of two lines or more; every line counts one word at least."""
+        y = F.get("u", j + step)
+
+        def reach(most: int) -> Column:
+            """Words and last line of the window after at most so many more lines with words."""
+            if step > 0:
+                rest = F.slice("u", j + 2, F.lit(most))
+            else:
+                low = F.greatest(j - most, F.lit(0))
+                rest = F.reverse(F.slice("u", low + 1, j - low))
+            return F.aggregate(rest, u, lambda s, x: F.when(s["w"] >= least_words, s).otherwise(F.struct(x["i"].alias("i"), (s["w"] + x["w"]).alias("w"))))
+
+        enough = lambda s, other: F.when(s["w"] >= least_words, s["i"]).otherwise(other)
+        far = F.transform(F.array(reach(least_words)), lambda s: enough(s, None))[0]
+        near = F.transform(F.array(reach(5)), lambda s: enough(s, far))[0]
+        return F.when(y.isNull(), None).when(u["w"] + y["w"] >= least_words, y["i"]).otherwise(near)
+
+    def ends(u: Column, j: Column) -> Column:
+        alone = u["w"] >= least_words
+        last = F.size("h") - 1
+        ahead = F.when(u["w"] >= lone_words, u["i"]).when(alone, F.when(u["i"] < last, u["i"] + 1)).otherwise(search(u, j, 1))
+        back = F.when(u["w"] >= lone_words, u["i"]).when(alone, F.when(u["i"] > 0, u["i"] - 1)).otherwise(search(u, j, -1))
+        before = F.when(j > 0, F.get("u", j - 1)["i"] + 1).otherwise(0)
+        after = F.coalesce(F.get("u", j + 1)["i"], last + 1) - 1
+        return F.struct(u["i"].alias("i"), alone.alias("alone"), ahead.alias("ahead"), back.alias("back"), before.alias("before"), after.alias("after"))
+
+    # First and last line in one number, as only numbers are made distinct by hashing.
+    span = lambda lo, hi: F.shiftleft(lo.cast("long"), 32) + hi.cast("long")
+
+    def spans(e: Column) -> Column:
+        return F.array(
+            span(e["i"], e["ahead"]),
+            span(e["back"], e["i"]),
+            F.when(e["before"] < e["i"], span(e["before"], F.when(e["alone"], e["i"]).otherwise(e["ahead"]))),
+            F.when(e["after"] > e["i"], span(F.when(e["alone"], e["i"]).otherwise(e["back"]), e["after"])),
+        )
+
+    lines = lines.select("d", "k", "h", F.transform("u", ends).alias("e"))
+    lines = lines.select("d", "k", "h", F.array_distinct(F.array_compact(F.flatten(F.transform("e", spans)))).alias("found"))
+    low_bits = lambda s: s.bitwiseAND(F.lit(2**31 - 1))
+    lines = lines.select("d", "k", "h", F.transform("found", lambda s: F.struct(F.shiftright(s, 32).cast("int").alias("a"), (low_bits(s) - F.shiftright(s, 32) + 1).cast("int").alias("n"))).alias("found"))
+    made = F.transform("found", lambda s: F.struct(s["a"].alias("a"), s["n"].alias("n"), F.xxhash64(s["n"], F.slice("h", s["a"] + 1, s["n"])).alias("ch")))
+    return lines.select("d", "k", F.inline(made))
+
+
+def _runs(windows: DataFrame) -> DataFrame:
+    """Columns d, k, a, n, and kd, kk, ka: runs of lines with the place where their windows occur first."""
+    # A table of its own, so that a common window's rows in the join can be split among tasks.
+    first = written(windows.groupBy("ch").agg(F.min(F.struct("d", "k", "a")).alias("p"), F.count("*").alias("times")).where("times > 1").select("ch", "p"))
+    hits = windows.join(first, "ch").where(F.struct("d", "k", "a") != F.col("p"))
+    # A document's hits by the distance to their first occurrence, in order; a hit goes on its predecessor's run where both
+    # documents go on.
+    hit = F.struct(F.col("p.d").alias("kd"), F.col("p.k").alias("kk"), (F.col("a") - F.col("p.a")).alias("off"), "a", "n")
+    per = hits.groupBy("d", "k").agg(F.array_sort(F.collect_set(hit)).alias("hits"))
 
     def follows(x: Column, i: Column) -> Column:
         y = F.get("hits", i - 1)
-        return (i > 0) & (y["a"] + y["n"] == x["a"]) & (y["kd"] == x["kd"]) & (y["kk"] == x["kk"]) & (y["ka"] + y["n"] == x["ka"])
+        return (i > 0) & (y["kd"] == x["kd"]) & (y["kk"] == x["kk"]) & (y["off"] == x["off"]) & (x["a"] <= y["a"] + y["n"])
 
     per = per.withColumn("heads", F.filter(F.transform("hits", lambda x, i: F.when(~follows(x, i), i)), lambda i: i.isNotNull()))
 
     def run(i: Column, j: Column) -> Column:
         x = F.get("hits", i)
-        y = F.get("hits", F.coalesce(F.get("heads", j + 1), F.size("hits")) - 1)
-        return F.struct(x["a"].alias("a"), (y["a"] + y["n"] - x["a"]).alias("n"), x["kd"].alias("kd"), x["kk"].alias("kk"), x["ka"].alias("ka"))
+        members = F.slice("hits", i + 1, F.coalesce(F.get("heads", j + 1), F.size("hits")) - i)
+        end = F.array_max(F.transform(members, lambda y: y["a"] + y["n"]))
+        return F.struct(x["a"].alias("a"), (end - x["a"]).alias("n"), x["kd"].alias("kd"), x["kk"].alias("kk"), (x["a"] - x["off"]).alias("ka"))
 
-    return per.select("d", "k", F.inline(F.transform("heads", run)))
+    runs = per.select("d", "k", F.array_sort(F.transform("heads", run)).alias("runs"))
+    # A run inside another one says nothing more.  Of runs with one first line, the longest comes last.
+    end = lambda r: r["a"] + r["n"]
+    runs = runs.withColumn("out", F.filter("runs", lambda r, i: (i == F.size("runs") - 1) | (F.get("runs", i + 1)["a"] != r["a"])))
+    return runs.select("d", "k", F.inline(F.filter("out", lambda r, i: (i == 0) | (end(r) > end(F.get("out", i - 1))))))
 
 
 def _words(lines: Column) -> Column:
@@ -76,8 +122,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Columns doc_id, text, n_lines, n_removed: one row per row of `docs`, its text without repeated runs of lines.
 
     The first occurrence, by id, then text hash, then place, stays; a null id comes first.  A run is removed if it has
-    two lines or more and `least_words` words, or one line of `lone_words`.  Lines are compared without the blanks
-    around them.  A null text stays null, with no lines; equal rows (id and text) are one document and get the same
+    two lines or more and `least_words` words, or one line of `lone_words`, and occurs before; blank lines at its edges may stay.
+    Lines are compared without the blanks around them.  A null text stays null, with no lines; equal rows (id and text) are one document and get the same
     result.  An empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(_key(id_col), F.xxhash64(F.col(text_col)).alias("k"), F.col(text_col).cast("string").alias("text"))
@@ -91,47 +137,23 @@ def _key(id_col: str) -> Column:
 
 def _deduped(rows: DataFrame, least_words: int, lone_words: int) -> DataFrame:
     """`rows` (d, k, text and more) with the text changed, and n_lines, n_removed."""
-    chunks = written(_chunks(rows.select("d", "k", _lines(F.col("text")).alias("lines"))))
-    runs = checkpointed(_runs(chunks))
+    windows = written(_windows(rows.select("d", "k", _lines(F.col("text")).alias("lines")), least_words, lone_words))
+    runs = checkpointed(_runs(windows))
     # A first occurrence is asked once for each range of lines that is wanted of it.  Both joins with the texts
     # have the same keys, so one shuffle of the texts serves both.
     ranges = runs.groupBy(F.col("kd").alias("d"), F.col("kk").alias("k")).agg(F.collect_set(F.struct("ka", "n")).alias("ranges"))
     asked = rows.join(ranges.hint("shuffle_hash"), ["d", "k"]).select("d", "k", "ranges", _lines(F.col("text")).alias("f")).withColumn("f", _bare("f"))
 
-    def cut(r: Column) -> Column:
-        low = F.greatest(r["ka"] - CONTEXT, F.lit(0))
-        return F.struct(
-            r["ka"].alias("ka"),
-            r["n"].alias("n"),
-            F.slice("f", low + 1, r["ka"] - low).alias("before"),
-            F.slice("f", r["ka"] + 1, r["n"]).alias("same"),
-            F.slice("f", r["ka"] + r["n"] + 1, F.lit(CONTEXT)).alias("after"),
-        )
-
-    slices = asked.select(F.col("d").alias("kd"), F.col("k").alias("kk"), "f", "ranges").select("kd", "kk", F.inline(F.transform("ranges", cut)))
-    lists = runs.join(slices, ["kd", "kk", "ka", "n"]).groupBy("d", "k").agg(F.collect_set(F.struct("a", "n", "before", "same", "after")).alias("runs"))
+    same = lambda r: F.struct(r["ka"].alias("ka"), r["n"].alias("n"), F.slice("f", r["ka"] + 1, r["n"]).alias("same"))
+    slices = asked.select(F.col("d").alias("kd"), F.col("k").alias("kk"), "f", "ranges").select("kd", "kk", F.inline(F.transform("ranges", same)))
+    lists = runs.join(slices, ["kd", "kk", "ka", "n"]).groupBy("d", "k").agg(F.collect_set(F.struct("a", "n", "same")).alias("runs"))
     joined = rows.join(lists.hint("shuffle_hash"), ["d", "k"], "left")
     joined = joined.withColumn("lines", _lines(F.col("text"))).withColumn("b", F.when(F.col("runs").isNotNull(), _bare("lines")))
-
-    def grown(length: Column, equal) -> Column:
-        """How many of the first `length` steps are equal without a break."""
-        return F.aggregate(F.sequence(F.lit(0), F.least(length, F.lit(CONTEXT))), F.lit(0), lambda acc, j: F.when((j == acc) & (j < length) & equal(j), acc + 1).otherwise(acc))
-
-    def span(r: Column) -> Column:
-        back = grown(F.least(F.size(r["before"]), r["a"]), lambda j: F.get("b", r["a"] - 1 - j) == F.get(r["before"], F.size(r["before"]) - 1 - j))
-        end = r["a"] + r["n"]
-        ahead = grown(F.least(F.size(r["after"]), F.size("b") - end), lambda j: F.get("b", end + j) == F.get(r["after"], j))
-        return F.struct((r["a"] - back).alias("lo"), (end - 1 + ahead).alias("hi"))
-
-    true = F.filter("runs", lambda r: F.slice("b", r["a"] + 1, r["n"]) == r["same"])
-    joined = joined.withColumn("spans", F.transform(true, span))
-
-    def long(s: Column) -> Column:
-        words = _words(F.slice("b", s["lo"] + 1, s["hi"] - s["lo"] + 1))
-        return ((s["hi"] > s["lo"]) & (words >= least_words)) | (words >= lone_words)
-
-    joined = joined.withColumn("spans", F.filter("spans", long))
-    left = F.filter("lines", lambda x, i: ~F.exists("spans", lambda s: i.between(s["lo"], s["hi"])))
+    # As a variable, lest the optimizer put the expression of b into the lambda, to be evaluated for each run.
+    true = F.transform(F.array("b"), lambda b: F.filter("runs", lambda r: F.slice(b, r["a"] + 1, r["n"]) == r["same"]))[0]
+    joined = joined.withColumn("spans", F.transform(true, lambda r: F.struct(r["a"].alias("lo"), (r["a"] + r["n"] - 1).alias("hi"))))
+    gone = F.flatten(F.transform("spans", lambda s: F.sequence(s["lo"], s["hi"])))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone), lambda i: F.get("lines", i))
     joined = joined.withColumn("left", F.when(F.size("spans") > 0, left))
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long")
     joined = joined.withColumn("n_lines", n).withColumn("n_removed", F.when(F.col("left").isNull(), 0).otherwise(n - F.size("left")).cast("long"))

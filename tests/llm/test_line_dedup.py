@@ -94,3 +94,48 @@ def test_odd_rows(spark):
     assert dedup_lines(empty(spark)).count() == 0
     assert without_repeated_lines(odd(spark)).columns == odd(spark).columns
     assert all(x <= y for x, y in pairwise(sorted(r["n_removed"] for r in rows)))
+
+
+def brute(docs, least_words=25, lone_words=50):
+    """Texts without every line of a run that is long enough and stands in the same order before: all runs, all places."""
+    seen, out = set(), {}
+    for d, text in docs:
+        b = bare(text)
+        b = b[:-1] if b[-1] == "" and not lines(text)[-1] else b  # nothing stands after the last line's end
+        gone = set()
+        for i in range(len(b)):
+            for j in range(i, len(b)):
+                n = sum(len(x.split()) for x in b[i : j + 1])
+                if n >= lone_words or (j > i and n >= least_words):
+                    if tuple(b[i : j + 1]) in seen:
+                        gone |= set(range(i, j + 1))
+                    seen.add(tuple(b[i : j + 1]))
+        out[d] = [x for i, x in enumerate(lines(text)) if i not in gone and x.strip()]
+    return out
+
+
+def test_two_document_plants_are_all_cut(spark):
+    """A passage of one to five sentences that stands once each in two documents, between other neighbours."""
+    rng = random.Random(11)
+    docs, plants = [], []
+    for m in range(1, 6):
+        for _ in range(40):
+            passage = "".join(sentence(rng, max(13, -(-50 // m)) + rng.randint(0, 4)) for _ in range(m))
+            for _ in range(2):
+                docs.append((len(docs), "".join(sentence(rng, rng.randint(3, 20)) for _ in range(4)) + passage + "".join(sentence(rng, rng.randint(3, 20)) for _ in range(4))))
+            plants.append((len(docs) - 1, m, passage))
+    rows = {r["doc_id"]: (r["text"], r["n_removed"]) for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    texts = dict(docs)
+    for d, m, passage in plants:
+        assert rows[d] == (texts[d].replace(passage, ""), m)
+        assert rows[d - 1] == (texts[d - 1], 0)
+
+
+def test_equals_all_runs_by_brute_force(spark):
+    """Short and long lines, blank lines and newlines from a small stock, so that runs of all kinds repeat."""
+    rng = random.Random(3)
+    stock = [sentence(rng, n) for n in (1, 1, 2, 3, 5, 8, 11, 12, 13, 24, 25, 26, 30, 49, 50, 51)] + ["\n", "\n", "One line.\n"]
+    docs = [(d, "".join(rng.choice(stock) for _ in range(rng.randint(1, 14)))) for d in range(150)]
+    rows = dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = {r["doc_id"]: [x for x in lines(r["text"]) if x.strip()] for r in rows}
+    assert got == brute(docs)
