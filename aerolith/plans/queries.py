@@ -568,9 +568,11 @@ def trajectory_clusters(spark, sf_dir):
 
 @query()
 def embedding_clusters(spark, sf_dir):
-    """KMeans of the embeddings' first parts: no SQL; tests hold its invariants."""
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", *(F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(8)))
-    return clusters(rows, [f"x{i}" for i in range(8)], k=8, k_max=10).select("vec_id", "cluster_id")
+    """KMeans of the whole embeddings: no SQL; tests hold its invariants."""
+    rows = table(spark, sf_dir, "embeddings")
+    names = [f"x{i}" for i in range(max(rows.agg(F.max(F.size("embedding"))).first()[0] or 0, 1))]
+    rows = rows.select("vec_id", *(F.get("embedding", F.lit(i)).cast("double").alias(x) for i, x in enumerate(names)))
+    return clusters(rows, names, k=8, k_max=10).select("vec_id", "cluster_id")
 
 
 def air_series(spark, sf_dir):

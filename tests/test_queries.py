@@ -52,3 +52,13 @@ def test_the_entry_runs(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_embedding_clusters_see_the_whole_vector(spark, tmp_path):
+    """Two groups that are equal but for the last parts of their vectors share no cluster."""
+    rng = np.random.default_rng(1)
+    rows = [(i, [*rng.normal(size=8).tolist(), *([10.0 * (i % 2)] * 56)]) for i in range(120)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = QUERIES["embedding_clusters"](spark, str(tmp_path)).collect()
+    assert len(got) == 120
+    assert not {r["cluster_id"] for r in got if r["vec_id"] % 2} & {r["cluster_id"] for r in got if not r["vec_id"] % 2}
