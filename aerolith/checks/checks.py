@@ -47,7 +47,7 @@ def compact(spark: SparkSession, path: str, partition_by: Sequence[str] = (), ta
     """Rewrite a Parquet table in files of about `target_mb`; gives files before and after."""
     df = spark.read.parquet(path)
     before = len(df.inputFiles())
-    size = sum(r["length"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select("length").toLocalIterator())
+    size = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).agg(F.sum("length")).first()[0] or 0
     parts = max(1, round(size / (target_mb * 1e6)))
     replace_partitions(df.repartition(parts, *partition_by) if partition_by else df.repartition(parts), path, partition_by)
     return {"path": path, "files_before": before, "files_after": len(spark.read.parquet(path).inputFiles())}

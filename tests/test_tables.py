@@ -265,3 +265,10 @@ def test_clusters(spark):
     assert {r["cluster_id"] for r in clusters(df.withColumn("y", F.lit(None).cast("double")), ["x", "y"]).collect()} == {0}
     costs = cost_by_k(df, ["x", "y"], [2, 3])
     assert costs[1][1] < costs[0][1]
+
+
+def test_compact_sums_lengths_in_spark(spark, tmp_path, monkeypatch):
+    """No row of the list of files comes to the driver."""
+    spark.range(100).repartition(20).write.parquet(f"{tmp_path}/small")
+    monkeypatch.setattr(type(spark.range(1)), "toLocalIterator", lambda *_, **__: pytest.fail("rows come to the driver"))
+    assert compact(spark, f"{tmp_path}/small")["files_after"] == 1 and spark.read.parquet(f"{tmp_path}/small").count() == 100
