@@ -48,6 +48,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns in one struct, so that names used inside an operator cannot clash with theirs."""
+    return F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in df.columns))
+
+
+def without_keys(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of `docs`, all columns, whose id and text hash do not stand in `gone` (d, t)."""
+    rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).cast("long").alias("doc"), F.xxhash64(F.col(text_col)).alias("hash"))
+    left = rows.join(gone.select("d", "t").hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("t")), "left_anti")
+    return left.select("row.*")
+
+
 def held_out(id_col: Column) -> Column:
     """True where crc32 of the id as text leaves no remainder by 5 (a null id counts as the text '')."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5 == 0

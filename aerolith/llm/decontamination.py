@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import checkpointed
+from aerolith.llm.common import checkpointed, without_keys
 
 #: Characters that are no part of a word, before and after A-Z are lowered.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -125,6 +125,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, in which no benchmark window occurs."""
+    """The rows of `docs`, all columns, in which no benchmark window occurs; the rules are those of :func:`contamination`.
+
+    Null, empty and blank texts stay, null ids and repeated rows are judged by their texts, texts are read whole at any
+    length, an empty table stays empty and an empty benchmark removes nothing; columns may have any names.
+    """
     found = find_windows(docs, benchmark, id_col, text_col, item_col, item_text_col).select(F.col("doc_id").alias("d"), F.col("k").alias("t")).distinct()
-    return docs.join(found.hint("shuffle_hash"), F.col(id_col).cast("long").eqNullSafe(F.col("d")) & (F.xxhash64(F.col(text_col)) == F.col("t")), "left_anti")
+    return without_keys(docs, found, id_col, text_col)

@@ -15,13 +15,13 @@ ROWS = [
 ]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside.
-CLASHING = ["piece", "bucket", "rank", "block", "tail", "h", "part", "start", "size", "n", "key", "words", "chunk", "score", "features", "id"]
+CLASHING = ["piece", "bucket", "rank", "block", "tail", "h", "part", "start", "size", "n", "key", "words", "chunk", "score", "features", "id", "t", "d", "k", "x", "y", "s", "z", "u", "v", "__d", "__t", "row", "doc", "hash", "lane", "item", "items", "fp", "words2", "a.b", "cell", "kind"]
 
 
 def odd(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     for c in CLASHING:
-        df = df.selectExpr("*", f"'x' AS `{c}`")
+        df = df.selectExpr("*", f"'x' AS `{c}`")  # "a.b" must be quoted by whoever names it
     return df
 
 

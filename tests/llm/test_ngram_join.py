@@ -10,7 +10,7 @@ import pytest
 from aerolith.llm import ngram_join
 from aerolith.llm.components import components
 from aerolith.llm.hashing import shingle_sets
-from aerolith.llm.ngram_join import keep_one_of_each, linked, near_duplicate_groups, signature, tree_pairs
+from aerolith.llm.ngram_join import count_links, keep_one_of_each, linked, near_duplicate_groups, set_links, tree_links
 from aerolith.llm.queries import op4_ngram_jaccard_join
 from tests.llm.fixtures import empty, odd
 
@@ -67,25 +67,73 @@ def near_copies(rng, groups, copies, words=60):
     return docs
 
 
-@pytest.mark.parametrize("leaf, block", [(32, 2048), (3, 5)])
-def test_threshold_groups_equal_brute_force(spark, monkeypatch, leaf, block):
-    monkeypatch.setattr(ngram_join, "LEAF", leaf)
-    monkeypatch.setattr(ngram_join, "BLOCK", block)
-    docs = near_copies(random.Random(leaf), 6, 40) + near_copies(random.Random(9), 40, 3, 25)
+def test_threshold_groups_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LEAF", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK", 5)
+    docs = near_copies(random.Random(3), 6, 40) + near_copies(random.Random(9), 40, 3, 25)
     docs = [(i, t) for i, (_, t) in enumerate(docs)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     assert rows_of(near_duplicate_groups(df, k=4, percent=85, order_bits=12)) == brute(docs)
-    assert rows_of(near_duplicate_groups(df, order_bits=12)) == brute(docs, 5, 80)
 
 
-def test_trees_lose_no_pair():
+@pytest.mark.parametrize("every", [True, False])
+def test_trees_lose_no_link(every):
     rng = random.Random(4)
     texts = [t for _, t in near_copies(rng, 8, 30)]
     sets = list(shingle_sets(pa.array(texts), 4))
-    f = pd.DataFrame({"s": range(len(sets)), "n": [len(s) for s in sets], "component": [i % 50 for i in range(len(sets))], "bits": [signature(s, rng.choice([256, 512])).tobytes() for s in sets]})
-    got = {tuple(p) for p in tree_pairs(f[f["component"] < 20], f, 85)}
-    true = {(i, j) for i, j in combinations(range(len(sets)), 2) if linked(sets[i], sets[j], 85) and i % 50 != j % 50 and min(i % 50, j % 50) < 20}
-    assert true <= got and len(got) < len(sets) ** 2 / 20
+    f = pd.DataFrame({"s": range(len(sets)), "component": [i % 50 for i in range(len(sets))], "set": sets})
+    asking = f[f["component"] < 20]
+    got = {tuple(map(int, p)) for p in tree_links(asking, f, 85, every)}
+    true = {(i, j) for i in asking["s"] for j in f["s"] if i != j and linked(sets[i], sets[j], 85)}
+    if every:
+        assert got == {(i, j) for i, j in true if i < j}
+        return
+    assert got <= true and len(got) < len(sets)
+
+    def parts(links):
+        label = dict(enumerate(f["component"]))
+        for i, j in links:
+            old, new = label[i], label[j]
+            label = {k: new if v == old else v for k, v in label.items()}
+        return {frozenset(k for k in label if label[k] == v) for v in label.values()}
+
+    assert parts(got) == parts(true)
+
+
+def test_all_links_equal_brute_force(spark, monkeypatch):
+    """With small leaves, blocks and lanes."""
+    monkeypatch.setattr(ngram_join, "LEAF", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    monkeypatch.setattr(ngram_join, "LANE", 4)
+    docs = [t for _, t in near_copies(random.Random(3), 5, 25)]
+    docs = [(i, t) for i, t in enumerate([*docs, docs[0], docs[0], "", None, "a b c", "A B C"])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    sets = list(shingle_sets(pa.array([t for _, t in docs], pa.string()), 5))
+    near = {i: sum(j != i and len(sets[i]) > 0 and len(sets[j]) > 0 and linked(sets[i], sets[j], 80) for j in range(len(docs))) for i in range(len(docs))}
+    links, members = set_links(df, order_bits=10)
+    assert {r["doc_id"]: r["n_links"] for r in count_links(links, members).collect()} == near
+    assert rows_of(near_duplicate_groups(df, order_bits=10)) == brute(docs, 5, 80)
+
+
+def test_members_that_fit_no_leader_are_compared(spark, monkeypatch):
+    """A group whose leaders are all short must still hold the links of its long members."""
+    monkeypatch.setattr(ngram_join, "LEAF", 3)
+    same = " ".join(f"c{i}" for i in range(9))
+    short = [f"{same} s{i} t{i}" for i in range(12)]
+    tail = " ".join(f"e{i}" for i in range(60))
+    long = [f"{same} {tail} l{i}" for i in range(12)]
+    docs = list(enumerate(short + long))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows_of(near_duplicate_groups(df, order_bits=4)) == brute(docs, 5, 80)
+
+
+def test_counts_keep_their_order_in_sixteen_bits():
+    counts = np.unique(np.concatenate([np.arange(40_000), np.geomspace(4e4, 1e14, 5000).astype(np.int64)]))
+    codes = ngram_join.count_codes(counts).astype(int)
+    assert (np.diff(codes) >= 0).all() and (codes[:32_768] == counts[:32_768]).all()
+    hot = counts[(counts > 1 << 15) & (counts < 2**46)]
+    lanes = ngram_join.lanes_of(ngram_join.count_codes(hot))
+    assert (lanes * ngram_join.LANE >= hot).all() and (lanes * ngram_join.LANE <= hot * 1.01 + 2 * ngram_join.LANE).all()
 
 
 def test_components(spark):
