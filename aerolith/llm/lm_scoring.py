@@ -1,162 +1,140 @@
 """LM scoring: cross-entropy difference of a target and a background bigram model.
 
-Both models share one vocabulary (the most frequent words of the whole corpus; its size is a parameter),
-one order and one smoothing, and are counted over all documents.  Unigrams are counted by word and bigrams by a
-hash into a table of fixed size, so what every task holds does not grow with the corpus.  A document's score is the
-difference of its losses per token: the lower, the closer it is to the target.
+Both models share one vocabulary, all words of the corpus, one order and one smoothing, and are counted exactly over all documents:
+the counts are a distributed table that grows with the corpus.  Texts are dealt out in cells of bounded size.  A cell
+sends its own counts of words and pairs of words, Spark adds them up, and the sums of those that other cells have too come
+back to it; what no other cell has, the cell knows already.  A document is scored by the counts of all others, so none is
+close to a model because it is a part of it.  A document's score is the difference of its losses per token: the
+lower, the closer it is to the target.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import sum_arrays
 from aerolith.llm.hashing import buffers, mix, spans, words
 
-VOCABULARY, BIGRAM_BITS = 1 << 16, 22
-#: Weight of the bigram's relative frequency against the unigram's, and added counts of a unigram.
-BIGRAM_WEIGHT, ADDED = 0.7, 0.5
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """Columns word (hash), n: how often each word occurs in the column `text`."""
+#: Weight of the pair's relative frequency against the word's, and added counts of a word.
+BIGRAM_WEIGHT, ADDED = 0.7, 0.05
+#: Bytes of text that a cell holds on average; there are more cells where tasks would have less than four.
+CELL_BYTES = 8 << 20
+#: Items other than words and pairs, which are even and odd hashes: all tokens, and documents with words, which are the pairs' context at a text's start.
+TOKENS, STARTS = np.uint64(0x5851F42D4C957F2E), np.uint64(0x14057B7EF767814E)
+COUNTED = "cell int, item long, n int, t int"
+SCORED = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, counts = [], []
-        size = 0
 
-        def flush() -> pa.RecordBatch:
-            at, back = np.unique(np.concatenate(held), return_inverse=True)
-            n = np.bincount(back, np.concatenate(counts), len(at)).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(at.view(np.int64)), pa.array(n)], ["word", "n"])
+class Cell:
+    """Words and pairs of the texts of a cell: each by its place among the cell's distinct ones."""
 
-        for batch in batches:
-            raw, offsets = buffers(batch.column(0))
+    def __init__(self, texts: pa.ChunkedArray):
+        hashes, begins, at = [], [np.zeros(1, np.int64)], 0
+        for chunk in texts.chunks:
+            raw, offsets = buffers(chunk)
             for a, b in spans(offsets):
-                at, n = np.unique(words(raw, offsets[a : b + 1])[0], return_counts=True)
-                held.append(at)
-                counts.append(n)
-                size += len(at)
-                if size > 4_000_000:  # counts of a partition go on in parts
-                    yield flush()
-                    held, counts, size = [], [], 0
-        if size:
-            yield flush()
-
-    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def shared_vocabulary(docs: DataFrame, size: int) -> np.ndarray:
-    """Sorted hashes of the `size` most frequent words over all documents; ties go to the smaller hash."""
-    top = word_counts(docs).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
-    return np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
-
-
-def token_ids(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Place of each word in the vocabulary; all other words share the place after its end."""
-    if not len(vocabulary):
-        return np.zeros(len(hashes), np.int64)
-    at = np.searchsorted(vocabulary, hashes)
-    return np.where(vocabulary[np.minimum(at, len(vocabulary) - 1)] == hashes, at, len(vocabulary))
-
-
-def contexts(ids: np.ndarray, begins: np.ndarray, start: int) -> np.ndarray:
-    """The token before each token; `start` before a document's first."""
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    before[begins[:-1][np.diff(begins) > 0]] = start
-    return before
-
-
-def buckets(before: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
-    return (mix((before.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
-
-
-@dataclass
-class Models:
-    """Counts of the target (row 0) and the background (row 1) over one vocabulary."""
-
-    vocabulary: np.ndarray
-    unigrams: np.ndarray  # 2 x (words, unknown)
-    contexts: np.ndarray  # 2 x (words, unknown, start of a document)
-    bigrams: np.ndarray  # 2 x 2**bits
-    bits: int
-
-    def losses(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of each document, and 2 x documents sums of their negative binary logarithms."""
-        hashes, begins = words(raw, offsets)
-        ids = token_ids(hashes, self.vocabulary)
-        before = contexts(ids, begins, len(self.vocabulary) + 1)
-        at = buckets(before, ids, self.bits)
-        total = np.zeros((2, len(begins) - 1))
-        for m in (0, 1):
-            uni = (self.unigrams[m] + ADDED) / (self.unigrams[m].sum() + ADDED * len(self.unigrams[m]))
-            seen = self.contexts[m][before]
-            share = np.where(seen > 0, np.minimum(self.bigrams[m][at] / np.maximum(seen, 1), 1.0), 0.0)
-            weight = np.where(seen > 0, BIGRAM_WEIGHT, 0.0)
-            bits = np.zeros(len(ids) + 1)
-            np.cumsum(-np.log2(weight * share + (1 - weight) * uni[ids]), out=bits[1:])
-            total[m] = bits[begins[1:]] - bits[begins[:-1]]
-        return np.diff(begins), total
-
-
-def fit_models(docs: DataFrame, marked: DataFrame, vocabulary_size: int = VOCABULARY, bits: int = BIGRAM_BITS) -> Models:
-    """Count both models over `marked` (text, target): target rows for the one, all rows for the other; `docs` has the same texts."""
-    vocabulary = shared_vocabulary(docs, vocabulary_size)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    v = len(vocabulary)
-
-    def partial(batches: Iterator[pd.DataFrame]) -> dict[str, np.ndarray]:
-        out = {f"{kind}{m}": np.zeros(n, np.int64) for m in (0, 1) for kind, n in (("u", v + 1), ("c", v + 2), ("b", 1 << bits))}
-        for pdf in batches:
-            for goal in (True, False):
-                raw, offsets = buffers(pa.array(pdf["text"][pdf["target"] == goal], pa.string(), from_pandas=True))
-                for a, b in spans(offsets):
-                    hashes, begins = words(raw, offsets[a : b + 1])
-                    ids = token_ids(hashes, shared.value)
-                    before = contexts(ids, begins, v + 1)
-                    at = buckets(before, ids, bits)
-                    for m in (0, 1) if goal else (1,):
-                        out[f"u{m}"] += np.bincount(ids, minlength=v + 1)
-                        out[f"c{m}"] += np.bincount(before, minlength=v + 2)
-                        np.add.at(out[f"b{m}"], at, 1)
-        return out
-
-    sums = sum_arrays(marked.select("text", "target"), partial)
-    get = lambda kind, n: np.stack([sums.get(f"{kind}{m}", np.zeros(n, np.int64)) for m in (0, 1)])
-    return Models(vocabulary, get("u", v + 1), get("c", v + 2), get("b", 1 << bits).astype(np.int32 if not len(sums) or max(x.max() for x in sums.values()) < 2**31 else np.int64), bits)
-
-
-def score_documents(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary_size: int = VOCABULARY, bits: int = BIGRAM_BITS) -> DataFrame:
+                found, to = words(raw, offsets[a : b + 1])
+                hashes.append(found & ~np.uint64(1))
+                begins.append(to[1:] + at)
+                at += len(found)
+        self.begins = np.concatenate(begins)
+        self.doc = np.repeat(np.arange(len(self.begins) - 1), np.diff(self.begins))
+        self.word_items, self.word = np.unique(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), return_inverse=True)
+        size = len(self.word_items)
+        self.first = np.zeros(len(self.word), bool)
+        self.first[self.begins[:-1][np.diff(self.begins) > 0]] = True
+        before = np.where(self.first, size, np.roll(self.word, 1))
+        pairs, self.pair = np.unique(before * (size + 1) + self.word, return_inverse=True)
+        known = np.append(self.word_items, STARTS)
+        self.pair_items = mix(known[pairs // (size + 1)] * np.uint64(0x9E3779B97F4A7C15) + known[pairs % (size + 1)]) | np.uint64(1)
+
+    def items(self) -> np.ndarray:
+        return np.concatenate([self.word_items, self.pair_items, [TOKENS, STARTS]])
+
+    def counts(self, docs: np.ndarray) -> np.ndarray:
+        """How often each item occurs in the documents that are marked."""
+        own = docs[self.doc]
+        started = int((docs & (np.diff(self.begins) > 0)).sum())
+        return np.concatenate([np.bincount(self.word[own], minlength=len(self.word_items)), np.bincount(self.pair[own], minlength=len(self.pair_items)), [int(own.sum()), started]])
+
+    def own(self, places: np.ndarray, size: int) -> np.ndarray:
+        """For each token, how often its own document has the item of `places` at it."""
+        _, back, n = np.unique(self.doc * size + places, return_inverse=True, return_counts=True)
+        return n[back]
+
+
+def _losses(cell: Cell, totals: np.ndarray, docs: np.ndarray, vocabulary: float, weight: float, added: float) -> np.ndarray:
+    """Sums over each document of the tokens' negative binary logarithms, by the counts `totals` less the document's own if it is among `docs`."""
+    w, p = len(cell.word_items), len(cell.pair_items)
+    mine = docs[cell.doc]
+    word = totals[cell.word] - mine * cell.own(cell.word, w)
+    pair = totals[w + cell.pair] - mine * cell.own(cell.pair, p)
+    context = np.where(cell.first, totals[w + p + 1] - mine, np.roll(word, 1))
+    size = (totals[w + p] - docs * np.diff(cell.begins))[cell.doc]
+    alone = (word + added) / (size + added * vocabulary)
+    share = np.where(context > 0, weight * pair / np.maximum(context, 1) + (1 - weight) * alone, alone)
+    return np.bincount(cell.doc, -np.log2(share), len(cell.begins) - 1)
+
+
+def _among(ids: pa.ChunkedArray, wanted: np.ndarray) -> np.ndarray:
+    """Which ids are wanted; a null one never is."""
+    return np.isin(ids.fill_null(0).to_numpy(), wanted) & ids.is_valid().to_numpy(zero_copy_only=False)
+
+
+def _count(key: tuple, texts: pa.Table, target: pa.Table) -> pa.Table:
+    """A cell's counts of each item in all its texts and in those of the target, and as rows without a count the ids of the target."""
+    wanted = np.unique(target.column("doc_id").to_numpy())
+    cell = Cell(texts.column("text"))
+    n, t = cell.counts(np.ones(texts.num_rows, bool)), cell.counts(_among(texts.column("doc_id"), wanted))
+    rest = np.zeros(len(wanted), np.int64)
+    items = np.concatenate([cell.items().view(np.int64), wanted.astype(np.int64)])
+    columns = [pa.array(np.full(len(items), key[0].as_py(), np.int32)), pa.array(items), *(pa.array(np.concatenate([x, rest]).astype(np.int32)) for x in (n, t))]
+    return pa.Table.from_arrays(columns, ["cell", "item", "n", "t"])
+
+
+def score_documents(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", weight: float = BIGRAM_WEIGHT, added: float = ADDED, cell_bytes: int = CELL_BYTES) -> DataFrame:
     """Columns doc_id, n_tokens, target_loss, background_loss, score: one row per row of `docs`.
 
     The rows of `docs` whose id stands in `target` (its column `id_col`; repeats and nulls do not count) make the target
-    model.  Losses are bits per token, score is target_loss - background_loss; all three are null for a text without
-    words (null, empty, blank).  Repeated rows count as often as they occur.  An empty table gives no rows; other
-    columns are ignored.
+    model, all rows the background.  Each row is scored by the counts of the other rows.  A word's chance is `weight` parts its share
+    after the word before it and the rest its share of all tokens, with `added` counts for each word there can be, of which there are
+    no more than tokens in the corpus; the text's start is a context of its own.  Losses are bits per token, score is
+    target_loss - background_loss; all three are null for a text without words (null, empty, blank).  Repeated rows count
+    as often as they occur and serve as each other's context; equal texts of one kind score alike.  Very long texts are read
+    whole and lie in one cell.  Rows that share one id lie in one cell too, as ids name documents; null ids do not.  An empty table gives no
+    rows; other columns are ignored.
     """
+    spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ids = target.select(F.col(id_col).cast("long").alias("doc_id"), F.lit(True).alias("target")).distinct()
-    # Only the counts need to know the target's rows, so texts are shuffled once.
-    marked = slim.join(ids.hint("shuffle_hash"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    models = docs.sparkSession.sparkContext.broadcast(fit_models(slim, marked, vocabulary_size, bits))  # of fixed size
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, offsets = buffers(batch.column(1))
-            parts = [models.value.losses(raw, offsets[a : b + 1]) for a, b in spans(offsets)]
-            n = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
-            total = np.concatenate([p[1] for p in parts], 1) if parts else np.zeros((2, 0))
-            none = n == 0
-            per = total / np.maximum(n, 1)
-            columns = [batch.column(0), pa.array(n), *(pa.array(x, mask=none) for x in (per[0], per[1], per[0] - per[1]))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return slim.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    total = slim.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    cells = max(-(-total // cell_bytes), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(cells)).cast("int").alias("cell")
+    placed = slim.select(F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(cells))).otherwise(cell).cast("int").alias("cell"), "doc_id", "text")
+    ids = target.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id is not null").distinct().select(cell, "doc_id")
+
+    counted = placed.groupBy("cell").cogroup(ids.groupBy("cell")).applyInArrow(_count, COUNTED)
+    alike = Window.partitionBy("item")
+    sums = counted.select("cell", "item", F.sum("n").over(alike).alias("all_n"), F.sum("t").over(alike).alias("all_t"), F.count("*").over(alike).alias("cells"), (F.col("n") == 0).alias("mark"))
+    answers = sums.where("cells > 1 or mark").select("cell", "item", "all_n", "all_t", "mark")
+
+    def score(texts: pa.Table, answer: pa.Table) -> pa.Table:
+        mark = answer.column("mark").to_numpy(zero_copy_only=False)
+        marked = _among(texts.column("doc_id"), answer.column("item").to_numpy()[mark])
+        held = Cell(texts.column("text"))
+        every = np.ones(texts.num_rows, bool)
+        items = held.items().view(np.int64)
+        found = answer.column("item").to_numpy()[~mark]
+        order = np.argsort(found)
+        at = np.minimum(np.searchsorted(found, items, sorter=order), max(len(found) - 1, 0))
+        at = order[at] if len(found) else at
+        told = found[at] == items if len(found) else np.zeros(len(items), bool)
+        totals = [np.where(told, answer.column(c).to_numpy()[~mark][at] if len(found) else 0, held.counts(own)).astype(float) for c, own in (("all_n", every), ("all_t", marked))]
+        vocabulary = totals[0][-2]
+        n = np.diff(held.begins)
+        both = [_losses(held, totals[m], own, vocabulary, weight, added) / np.maximum(n, 1) for m, own in ((1, marked), (0, every))]
+        columns = [texts.column("doc_id"), pa.array(n), *(pa.array(x, mask=n == 0) for x in (*both, both[0] - both[1]))]
+        return pa.Table.from_arrays(columns, ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    return placed.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(score, SCORED)
