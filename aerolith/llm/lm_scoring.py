@@ -2,8 +2,8 @@
 
 Both models share one vocabulary, all words of the corpus, one order and one smoothing, and are counted exactly over all documents:
 the counts are a distributed table that grows with the corpus.  Texts are dealt out in cells of bounded size.  A cell
-sends its own counts of words and pairs of words, Spark adds them up, and the sums of those that other cells have too come
-back to it; what no other cell has, the cell knows already.  A document is scored by the counts of all others, so none is
+sends its own counts of words and pairs of words, in order of their hashes, to ranges of hashes; a range adds up what all cells
+send and answers each cell with what the others have.  A document is scored by the counts of all others, so none is
 close to a model because it is a part of it.  A document's score is the difference of its losses per token: the
 lower, the closer it is to the target.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.llm.hashing import buffers, mix, spans, words
@@ -21,12 +21,28 @@ from aerolith.llm.hashing import buffers, mix, spans, words
 BIGRAM_WEIGHT, ADDED = 0.7, 0.05
 #: Bytes of text that a cell holds on average; there are more cells where tasks would have less than four.
 CELL_BYTES = 8 << 20
+#: Bytes of text for which there is one range of items; a range holds about a quarter as many.
+RANGE_BYTES = 16 << 20
 #: Items other than words and pairs, which are even and odd hashes: all tokens, and documents with words, which are the pairs' context at a text's start.
 TOKENS, STARTS = np.uint64(0x5851F42D4C957F2E), np.uint64(0x14057B7EF767814E)
-COUNTED = "cell int, item long, n int, t int"
+COUNTED = "range int, cell int, items binary, n binary, t binary"
+ANSWERED = "cell int, range int, n binary, t binary, ids binary"
 SCORED = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
 
+def packed(x: np.ndarray) -> bytes:
+    """64-bit numbers compressed byte by byte of their places, as the high bytes are mostly alike."""
+    import zstandard
+
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    import zstandard
+
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
 class Cell:
     """Words and pairs of the texts of a cell: each by its place among the cell's distinct ones."""
 
@@ -50,8 +66,12 @@ class Cell:
         known = np.append(self.word_items, STARTS)
         self.pair_items = mix(known[pairs // (size + 1)] * np.uint64(0x9E3779B97F4A7C15) + known[pairs % (size + 1)]) | np.uint64(1)
 
-    def items(self) -> np.ndarray:
-        return np.concatenate([self.word_items, self.pair_items, [TOKENS, STARTS]])
+    def items(self, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Items in order, their places before that, and where each range begins and the last one ends."""
+        items = np.concatenate([self.word_items, self.pair_items, [TOKENS, STARTS]])
+        order = np.argsort(items)
+        steps = (np.arange(1, ranges, dtype=object) * 2**64 // ranges).astype(np.uint64)
+        return items[order], order, np.concatenate([[0], np.searchsorted(items[order], steps), [len(items)]])
 
     def counts(self, docs: np.ndarray) -> np.ndarray:
         """How often each item occurs in the documents that are marked."""
@@ -83,18 +103,30 @@ def _among(ids: pa.ChunkedArray, wanted: np.ndarray) -> np.ndarray:
     return np.isin(ids.fill_null(0).to_numpy(), wanted) & ids.is_valid().to_numpy(zero_copy_only=False)
 
 
-def _count(key: tuple, texts: pa.Table, target: pa.Table) -> pa.Table:
-    """A cell's counts of each item in all its texts and in those of the target, and as rows without a count the ids of the target."""
-    wanted = np.unique(target.column("doc_id").to_numpy())
-    cell = Cell(texts.column("text"))
-    n, t = cell.counts(np.ones(texts.num_rows, bool)), cell.counts(_among(texts.column("doc_id"), wanted))
-    rest = np.zeros(len(wanted), np.int64)
-    items = np.concatenate([cell.items().view(np.int64), wanted.astype(np.int64)])
-    columns = [pa.array(np.full(len(items), key[0].as_py(), np.int32)), pa.array(items), *(pa.array(np.concatenate([x, rest]).astype(np.int32)) for x in (n, t))]
-    return pa.Table.from_arrays(columns, ["cell", "item", "n", "t"])
+def _table(rows: list[tuple], names: list[str]) -> pa.Table:
+    kinds = {"range": pa.int32(), "cell": pa.int32()}
+    columns = zip(*rows, strict=True) if rows else [()] * len(names)
+    return pa.Table.from_arrays([pa.array(c, kinds.get(k, pa.binary())) for c, k in zip(columns, names, strict=True)], names)
+
+
+def _sum(key: tuple, rows: pa.Table) -> pa.Table:
+    """For each cell of a range, how much more of its items all cells have; rows of ids go on as they are."""
+    cells, sent = rows.column("cell").to_pylist(), [unpacked(x) for x in rows.column("items").to_pylist()]
+    counts = [rows.column(c).to_pylist() for c in ("n", "t")]
+    counted = [i for i, x in enumerate(counts[0]) if x is not None]
+    out = [(cells[i], -1, None, None, packed(x)) for i, x in enumerate(sent) if counts[0][i] is None]
+    if counted:
+        ends = np.cumsum([len(sent[i]) for i in counted])[:-1]
+        _, back = np.unique(np.concatenate([np.cumsum(sent[i].view(np.uint64)) for i in counted]), return_inverse=True)
+        more = []
+        for c in counts:
+            own = np.concatenate([unpacked(c[i]) for i in counted])
+            more.append(np.split(np.bincount(back, own).astype(np.int64)[back] - own, ends))
+        out += [(cells[i], key[0].as_py(), packed(n), packed(t), None) for i, n, t in zip(counted, *more, strict=True)]
+    return _table(out, ["cell", "range", "n", "t", "ids"])
 
 
-def score_documents(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", weight: float = BIGRAM_WEIGHT, added: float = ADDED, cell_bytes: int = CELL_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", weight: float = BIGRAM_WEIGHT, added: float = ADDED, cell_bytes: int = CELL_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Columns doc_id, n_tokens, target_loss, background_loss, score: one row per row of `docs`.
 
     The rows of `docs` whose id stands in `target` (its column `id_col`; repeats and nulls do not count) make the target
@@ -106,35 +138,37 @@ def score_documents(docs: DataFrame, target: DataFrame, id_col: str = "doc_id",
     whole and lie in one cell.  Rows that share one id lie in one cell too, as ids name documents; null ids do not.  An empty table gives no
     rows; other columns are ignored.
     """
-    spark = docs.sparkSession
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = slim.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    cells = max(-(-total // cell_bytes), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cells, ranges = max(-(-total // cell_bytes), 4 * tasks), max(-(-total // range_bytes), tasks)
     cell = F.pmod(F.xxhash64("doc_id"), F.lit(cells)).cast("int").alias("cell")
     placed = slim.select(F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(cells))).otherwise(cell).cast("int").alias("cell"), "doc_id", "text")
     ids = target.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id is not null").distinct().select(cell, "doc_id")
 
-    counted = placed.groupBy("cell").cogroup(ids.groupBy("cell")).applyInArrow(_count, COUNTED)
-    alike = Window.partitionBy("item")
-    sums = counted.select("cell", "item", F.sum("n").over(alike).alias("all_n"), F.sum("t").over(alike).alias("all_t"), F.count("*").over(alike).alias("cells"), (F.col("n") == 0).alias("mark"))
-    answers = sums.where("cells > 1 or mark").select("cell", "item", "all_n", "all_t", "mark")
-
-    def score(texts: pa.Table, answer: pa.Table) -> pa.Table:
-        mark = answer.column("mark").to_numpy(zero_copy_only=False)
-        marked = _among(texts.column("doc_id"), answer.column("item").to_numpy()[mark])
-        held = Cell(texts.column("text"))
-        every = np.ones(texts.num_rows, bool)
-        items = held.items().view(np.int64)
-        found = answer.column("item").to_numpy()[~mark]
-        order = np.argsort(found)
-        at = np.minimum(np.searchsorted(found, items, sorter=order), max(len(found) - 1, 0))
-        at = order[at] if len(found) else at
-        told = found[at] == items if len(found) else np.zeros(len(items), bool)
-        totals = [np.where(told, answer.column(c).to_numpy()[~mark][at] if len(found) else 0, held.counts(own)).astype(float) for c, own in (("all_n", every), ("all_t", marked))]
-        vocabulary = totals[0][-2]
-        n = np.diff(held.begins)
+    def count(key: tuple, texts: pa.Table, target: pa.Table) -> pa.Table:
+        """A cell's items by range with their counts in all its texts and in those of the target, and the ids of the target."""
+        wanted, held, own = np.unique(target.column("doc_id").to_numpy()).astype(np.int64), Cell(texts.column("text")), key[0].as_py()
+        items, order, at = held.items(ranges)
+        n, t = (held.counts(docs)[order] for docs in (np.ones(texts.num_rows, bool), _among(texts.column("doc_id"), wanted)))
+        rows = [(r, own, packed(np.diff(items[a:b], prepend=np.uint64(0))), packed(n[a:b]), packed(t[a:b])) for r, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if a < b]
+        return _table([*rows, (own % ranges, own, packed(wanted), None, None)], ["range", "cell", "items", "n", "t"])
+
+    def score(key: tuple, texts: pa.Table, answer: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(answer.column(c).to_pylist() for c in ("range", "n", "t", "ids")), strict=True), key=lambda r: r[0])
+        marked = _among(texts.column("doc_id"), np.concatenate([unpacked(r[3]) for r in rows if r[3] is not None]))
+        held, every = Cell(texts.column("text")), np.ones(texts.num_rows, bool)
+        _, order, _ = held.items(ranges)
+        totals = []
+        for own, c in ((every, 1), (marked, 2)):
+            total = held.counts(own).astype(float)
+            total[order] += np.concatenate([unpacked(r[c]) for r in rows if r[c] is not None])
+            totals.append(total)
+        vocabulary, n = totals[0][-2], np.diff(held.begins)
         both = [_losses(held, totals[m], own, vocabulary, weight, added) / np.maximum(n, 1) for m, own in ((1, marked), (0, every))]
         columns = [texts.column("doc_id"), pa.array(n), *(pa.array(x, mask=n == 0) for x in (*both, both[0] - both[1]))]
         return pa.Table.from_arrays(columns, ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
+    counted = placed.groupBy("cell").cogroup(ids.groupBy("cell")).applyInArrow(count, COUNTED)
+    answers = counted.groupBy("range").applyInArrow(_sum, ANSWERED)
     return placed.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(score, SCORED)
