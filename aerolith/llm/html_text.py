@@ -1,27 +1,30 @@
 """HTML extraction: nearest-URL page differencing.
 
 Pages are ordered by host and path; each is paired with the neighbour of its host whose path shares the longest prefix,
-their lines of text are aligned by longest common subsequence, and shared lines go.  What the markup
-itself declares wins over the differences: menus, forms, adverts and the like go even if they are unique, and
-the lines of an article element stay even if the neighbour has them, because copies and shared passages of articles are
-common and deleting them loses text.
+their lines of text are aligned by longest common subsequence, and shared lines go.  The markup is a guard on both
+sides.  Shared lines inside an article element stay, because copies of articles and passages that articles share are
+common and deleting them would lose text.  Lines that the markup declares to be menus, forms, adverts and the like go even where the
+neighbour does not have them, as adverts and readers' comments seldom repeat.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: No alternative reads past the next "<" outside quotes, so unclosed tags cost no more than their length.
+_INSIDE = r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|textarea|select|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
+    rf"|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|select|title)\b{_INSIDE}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>{_INSIDE})>"
+    r"|<[!?][^<>]*>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -39,20 +42,16 @@ PLAIN_WORDS = frozenset(
 PLAIN_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 #: Where a line stands: in what the markup declares no text, elsewhere, in an article.
 DECLARED, ELSEWHERE, ARTICLE = 0, 1, 2
-_SAFE = frozenset(["html", "body", "article", "main"])
+_SAFE = frozenset(["html", "body", "main"])
 
 
-def _is_plain(tag: str, rest: str) -> bool:
-    if tag in PLAIN_TAGS:
+def _is_plain(tag: str, rest: str, inside: bool) -> bool:
+    if tag in PLAIN_TAGS and not (tag == "header" and inside):  # an article's own header holds its headline
         return True
-    if not rest.strip(" /\n\t\r"):
+    if tag in _SAFE or not rest.strip(" /\n\t\r"):
         return False
     for m in ATTRIBUTE.finditer(rest):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if tag in _SAFE:
-            continue
         if name in ("class", "id") and not PLAIN_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value)) or name == "role" and value in PLAIN_ROLES:
             return True
     return False
@@ -103,7 +102,7 @@ def page_lines(html: str) -> list[tuple[str, int]]:
         elif tag not in VOID:
             if tag in BLOCKS and stack and stack[-1][0] == "p":  # a paragraph ends where a block begins
                 plain -= stack.pop()[1]
-            p, c = _is_plain(tag, m["rest"]), tag in CONTAINERS
+            p, c = _is_plain(tag, m["rest"], inside > 0), tag in CONTAINERS
             if p or c:
                 close()
             if (p or c or tag in BLOCKS) and not m["rest"].endswith("/"):
@@ -118,33 +117,64 @@ def page_lines(html: str) -> list[tuple[str, int]]:
     return out
 
 
-def common_lines(a: list[int], b: list[int]) -> set[int]:
-    """Places in `a` of a longest common subsequence of `a` and `b`, by the matches' longest increasing chain."""
+def _steps(a: list[int], b: list[int]) -> Iterator[int]:
+    """After each of `b`: a number whose bit i is unset where a longest common subsequence with a[: i + 1] is longer than with a[:i]."""
+    where: dict[int, int] = {}
+    for i, x in enumerate(a):
+        where[x] = where.get(x, 0) | 1 << i
+    every = (1 << len(a)) - 1
+    v = every
+    for y in b:
+        u = v & where.get(y, 0)
+        v = ((v + u) | (v - u)) & every
+        yield v
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Lengths of the longest common subsequences of `b` with each beginning of `a`."""
+    v = (1 << len(a)) - 1
+    for v in _steps(a, b):  # noqa: B007
+        pass
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(a) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(a)]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
+def common_lines(a: list[int], b: list[int], limit: int = 1 << 28) -> set[int]:
+    """Places in `a` of a longest common subsequence of `a` and `b`, found in whole numbers of len(a) bits.
+
+    Repeated lines cost no more than others.  Where the numbers together would exceed `limit` bits, `b` is halved and `a` cut where
+    both halves fit best.
+    """
     n = min(len(a), len(b))
     lo = next((i for i in range(n) if a[i] != b[i]), n)
     hi = next((i for i in range(n - lo) if a[-1 - i] != b[-1 - i]), n - lo)
     kept = set(range(lo)) | set(range(len(a) - hi, len(a)))
-    places: dict[int, list[int]] = {}
-    for j in range(len(b) - hi - 1, lo - 1, -1):
-        places.setdefault(b[j], []).append(j)
-    ends: list[int] = []
-    chains: list[tuple | None] = []
-    for i in range(lo, len(a) - hi):
-        for j in places.get(a[i], ()):
-            k = bisect_left(ends, j)
-            node = (i, chains[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                chains.append(node)
-            else:
-                ends[k], chains[k] = j, node
-    node = chains[-1] if chains else None
-    while node:
-        kept.add(node[0])
-        node = node[1]
+    a, b = a[lo : len(a) - hi], b[lo : len(b) - hi]
+    if not a or not b:
+        return kept
+    if len(a) * len(b) > limit and len(b) > 1:
+        half = len(b) // 2
+        k = int((_lengths(a, b[:half]) + _lengths(a[::-1], b[half:][::-1])[::-1]).argmax())
+        return kept | {lo + i for i in common_lines(a[:k], b[:half], limit)} | {lo + k + i for i in common_lines(a[k:], b[half:], limit)}
+    steps = list(_steps(a, b))
+    i, j = len(a), len(b)
+    while i and j:
+        if steps[j - 1] >> (i - 1) & 1:
+            i -= 1
+        else:
+            j -= 1
+            if not j or steps[j - 1] >> (i - 1) & 1:
+                i -= 1
+                kept.add(lo + i)
     return kept
 
 
+def kept_lines(zones: list[int], shared: set[int]) -> list[int]:
+    """The lines that are left of a page whose lines in `shared` the nearest page has too."""
+    new = [i for i, z in enumerate(zones) if z == ARTICLE or z == ELSEWHERE and i not in shared]
+    return new or [i for i, z in enumerate(zones) if z == ELSEWHERE]
+
+
 def url_key(url: str | None) -> tuple[str, str]:
     """Host and path of a URL; query and fragment do not count."""
     rest = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "", url or "")
@@ -166,7 +196,7 @@ def _nearer(path: str, before: str | None, after: str | None) -> int | None:
 
 def _block_bounds(pages: DataFrame) -> list[tuple[tuple, tuple]]:
     """Smallest and largest key of each range of pages, in order; two keys per range reach the driver."""
-    parts = 4 * int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 2 * int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct("host", "path", "url", "page_id")
     ranged = pages.select("host", "path", "url", "page_id").repartitionByRange(parts, "host", "path", "url", "page_id")
     found = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min(key).alias("low"), F.max(key).alias("high")).collect()
@@ -177,11 +207,12 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """Columns page_id, url, text, n_chars: one row per row of `pages`.
 
     Blocks hold decoded text with white space as one blank; text joins the kept blocks, in page order, by two newlines.
-    If the page has an article or main element, its lines make the text, less what the markup inside declares to be
-    menus, headers, footers, sidebars, notices, adverts, forms or comments.  On other pages all lines do that are not so
-    declared and not shared with the nearest page of the host (a page whose lines are all shared, as of a copy, keeps
-    them).  A null html is empty and gives an empty text; a null URL is of the empty host; repeated rows are pages of their
-    own.  An empty table gives no rows; other columns are ignored.
+    A line goes if the nearest page of the host has it too, unless it stands in an article or main element, or if the markup
+    declares it to be of menus, headers, footers, sidebars, notices, adverts, forms or comments.  Where nothing would be left
+    of a page without an article, as of a copy, its shared lines stay.  Of two neighbours that are as near, the one before counts.  A null
+    html is empty and gives an empty text; a null URL is of the empty host; repeated rows are pages of their
+    own, and copies of each other.  Very long pages are read whole, in time that grows with their length, or for the
+    alignment with the product of the numbers of lines that differ, by 64.  An empty table gives no rows; other columns are ignored.
     """
 
     @F.pandas_udf("host string, path string")
@@ -220,18 +251,14 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     parsed = slim.mapInArrow(parse, "block int, kind int, host string, path string, url string, page_id long, id long, link string, lines array<string>, hashes array<long>, zones array<int>")
-    routed = parsed.repartition("block").sortWithinPartitions("block", "kind", "host", "path", "url", "page_id")
+    routed = parsed.repartitionById(max(len(bounds), 1), F.col("block")).sortWithinPartitions("block", "kind", "host", "path", "url", "page_id")
 
     def text_of(page: tuple, before: tuple | None, after: tuple | None) -> str:
         lines, hashes, zones = page[4], page[5], page[6]
-        if ARTICLE in zones:
-            return "\n\n".join(t for t, z in zip(lines, zones, strict=True) if z == ARTICLE)
         same = [None if p is None or p[:2] != page[:2] else p for p in (before, after)]
         side = _nearer(page[2], *(p and p[2] for p in same))
         shared = common_lines(hashes, same[side][5]) if side is not None else set()
-        open_lines = [i for i, z in enumerate(zones) if z == ELSEWHERE]
-        kept = [i for i in open_lines if i not in shared] or open_lines
-        return "\n\n".join(lines[i] for i in kept)
+        return "\n\n".join(lines[i] for i in kept_lines(zones, shared))
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = page = None

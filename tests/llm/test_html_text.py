@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from aerolith.llm.html_text import ARTICLE, common_lines, extract_text, page_lines, url_key
+from aerolith.llm.html_text import ARTICLE, DECLARED, ELSEWHERE, common_lines, extract_text, kept_lines, page_lines, url_key
 from aerolith.llm.queries import op7_html_extraction
 
 
@@ -23,7 +23,34 @@ def test_declared_parts_go():
         "<nav>menu</nav><div class='side-bar ad'>buy</div><article><header>by me</header><h1>T</h1><p>one</p><aside>x</aside><form>f</form>"
         "<section id=comments><p>reader</p></section><p class=notice>n<p>two</article><footer>foot</footer>"
     )
-    assert texts(html, ARTICLE) == ["T", "one", "two"]
+    assert texts(html, ARTICLE) == ["by me", "T", "one", "two"]
+    assert texts("<article class='teaser related'>x</article><div>y</div>", ELSEWHERE) == ["y"]
+    assert texts("<article><math>a = b</math><p hidden>h</article>") == ["a = b", "h"]
+
+
+def test_what_decides():
+    assert kept_lines([DECLARED, ELSEWHERE, ARTICLE, ARTICLE, ELSEWHERE], {0, 2, 4}) == [1, 2, 3]
+    assert kept_lines([DECLARED, ELSEWHERE, ELSEWHERE], {0, 1, 2}) == [1, 2]  # a copy
+
+
+def test_long_odd_pages_take_linear_time():
+    import time
+
+    for piece in ('<a "', "<!", "<script ", "<p '", "<b>"):
+        began = time.perf_counter()
+        page_lines(piece * 40_000)
+        assert time.perf_counter() - began < 5
+    began = time.perf_counter()
+    rng = random.Random(1)
+    a, b = ([rng.choice([1, 1, 1, 2]) for _ in range(5000)] for _ in range(2))
+    assert len(common_lines(a, b)) > 4000 and time.perf_counter() - began < 5
+
+
+def test_differencing_decides_menus_without_names(spark):
+    """Pages of an article and unnamed menus: the menus go as shared, unshared text outside the article stays."""
+    page = lambda i: f"<div>home</div><div>shop</div><article><p>story {i}</p><p>told often</p></article><div>more of {i}</div><div>(c) us</div>"
+    df = spark.createDataFrame([(i, f"http://h/x/{i}", page(i)) for i in range(9)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in extract_text(df).collect()} == {i: f"story {i}\n\ntold often\n\nmore of {i}" for i in range(9)}
 
 
 def test_query_gives_the_article(spark, sf_dir):
@@ -62,6 +89,7 @@ def test_common_lines_is_a_longest_common_subsequence(seed):
         for j, y in enumerate(b):
             best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
     got = [a[i] for i in sorted(common_lines(a, b))]
+    assert len(common_lines(a, b, 4)) == len(got)
     rest = iter(b)
     assert len(got) == best[-1][-1] and all(x in rest for x in got)
 
