@@ -1,8 +1,9 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every shingle hash below a fixed fraction of the hash range and, so that short texts
-have one too, always the `floor` smallest.  Sketches of parts merge to the sketch of the whole, and two
-sketches compare on the hash range that both cover in full.
+A sketch keeps every shingle hash below a fixed fraction of the hash range and nothing else.  So sketches of parts merge to the
+sketch of the whole, and the shares of two sketches estimate likeness and containment of texts of very unequal lengths.
+A text of n distinct shingles has an empty sketch with the chance (1 - fraction) ** n; an empty sketch says nothing of its text, and is
+alike to an empty one alone.
 """
 
 from __future__ import annotations
@@ -17,39 +18,27 @@ from pyspark.sql import functions as F
 
 from aerolith.llm.hashing import shingle_sets
 
-K, FRACTION, FLOOR = 5, 1 / 16, 96
-_TOP = np.uint64(2**64 - 1)
-PAIRED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+K, FRACTION = 5, 1 / 4
+PAIRED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, in_edited double, in_next double"
 
 
-def sketch(hashes: np.ndarray, fraction: float = FRACTION, floor: int = FLOOR) -> np.ndarray:
+def sketch(hashes: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
     """The sketch of a sorted array of distinct hashes."""
-    n = int(np.searchsorted(hashes, np.uint64(int(fraction * 2**64)), "left"))
-    return hashes[: max(n, min(floor, len(hashes)))]
+    return hashes if fraction >= 1 else hashes[: int(np.searchsorted(hashes, np.uint64(int(fraction * 2**64)), "left"))]
 
 
-def merge(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION, floor: int = FLOOR) -> np.ndarray:
-    """The sketch of the union of two shingle sets."""
-    return sketch(np.union1d(a, b), fraction, floor)
+def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sketch of the union of two shingle sets whose sketches have one fraction."""
+    return np.union1d(a, b)
 
 
-def reach(s: np.ndarray, fraction: float = FRACTION, floor: int = FLOOR) -> np.uint64:
-    """The hash up to which the sketch holds all of its set."""
-    if len(s) < floor:
-        return _TOP
-    return max(s[-1], np.uint64(int(fraction * 2**64) - 1))
-
-
-def compare(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION, floor: int = FLOOR) -> tuple[float, float, float]:
-    """Estimated Jaccard likeness, containment of a in b, of b in a; two empty sets are alike, an empty and another are not."""
+def compare(a: np.ndarray, b: np.ndarray) -> tuple[float, float, float]:
+    """Estimated Jaccard likeness, containment of a in b, of b in a; two empty sketches are alike, an empty and another are not."""
     if not len(a) or not len(b):
         same = float(len(a) == len(b))
         return same, same, same
-    to = min(reach(a, fraction, floor), reach(b, fraction, floor))
-    a, b = a[: np.searchsorted(a, to, "right")], b[: np.searchsorted(b, to, "right")]
     both = len(np.intersect1d(a, b, assume_unique=True))
-    either = len(a) + len(b) - both
-    return both / either if either else 0.0, both / len(a) if len(a) else 0.0, both / len(b) if len(b) else 0.0
+    return both / (len(a) + len(b) - both), both / len(a), both / len(b)
 
 
 def encode(s: np.ndarray) -> str:
@@ -64,17 +53,17 @@ def decode(text: str) -> np.ndarray:
     return np.frombuffer(base64.b64decode(text), "<u8")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, fraction: float = FRACTION, floor: int = FLOOR) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, fraction: float = FRACTION) -> DataFrame:
     """Columns doc_id, fingerprint (base64 of little-endian hashes, ascending): one row per row of `docs`.
 
     Words are runs of non-blank characters with A-Z lowered; a text of fewer than k words is one shingle, and a
-    null, empty or blank text has the empty fingerprint.  Equal texts have equal fingerprints.  An empty table
-    gives no rows; other columns are ignored.
+    null, empty or blank text has the empty fingerprint, as have a few very short ones.  Equal texts and repeated rows have equal
+    fingerprints.  Very long texts are read whole; their fingerprints grow with them.  An empty table gives no rows; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [encode(sketch(s, fraction, floor)) for s in shingle_sets(batch.column(1), k)]
+            prints = [encode(sketch(s, fraction)) for s in shingle_sets(batch.column(1), k)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.string())], ["doc_id", "fingerprint"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, fingerprint string")
@@ -104,15 +93,18 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return routed.repartition("block").sortWithinPartitions("block", "tail", "key", "text")
 
 
-def paired_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, fraction: float = FRACTION, floor: int = FLOOR) -> DataFrame:
+def paired_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, fraction: float = FRACTION) -> DataFrame:
     """Fingerprints of each text, of its edited form, and their likeness, with the likeness to the next text.
 
+    near_edited and near_next are likenesses, in_edited and in_next the shares of the text that the other contains.
+
     The edited text has its last half (rounded down, in code points) replaced by as many first code points of the
     next document by id, or all that it has; the last document's next is the first.  A null text is empty; null ids
-    come first; rows of equal id follow in order of their text.  A lone document is its own next.
+    come first; rows of equal id follow in order of their text.  A lone document is its own next.  An empty
+    table gives no rows; other columns are ignored.
     """
-    spark_cols = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    spark_cols = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "in_edited", "in_next"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -124,7 +116,7 @@ def paired_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 rows = batch.slice(part, 512)
                 ids, blocks, tails = (rows.column(c).to_pylist() for c in ("doc_id", "block", "tail"))
                 texts = rows.column("text").to_pylist()
-                own = [sketch(s, fraction, floor) for s in shingle_sets(rows.column("text"), k)]
+                own = [sketch(s, fraction) for s in shingle_sets(rows.column("text"), k)]
                 out, edited, pairs = [], [], []
                 for i in range(len(ids)):
                     if blocks[i] == done:
@@ -140,8 +132,8 @@ def paired_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     else:
                         last = (ids[i], texts[i], own[i], blocks[i])
                 if out:
-                    new = [sketch(s, fraction, floor) for s in shingle_sets(pa.array(edited, pa.string()), k)]
-                    rest = [(encode(a), encode(e), compare(a, e, fraction, floor)[0], compare(a, b, fraction, floor)[0]) for (a, b), e in zip(pairs, new, strict=True)]
+                    new = [sketch(s, fraction) for s in shingle_sets(pa.array(edited, pa.string()), k)]
+                    rest = [(encode(a), encode(e), *(compare(a, x)[i] for i in (0, 1) for x in (e, b))) for (a, b), e in zip(pairs, new, strict=True)]
                     columns = zip(*((*x, *y) for x, y in zip(out, rest, strict=True)), strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], spark_cols)
 

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from aerolith.llm.fingerprints import FLOOR, compare, decode, fingerprints, merge, paired_fingerprints, sketch
+from aerolith.llm.fingerprints import FRACTION, compare, decode, fingerprints, merge, paired_fingerprints, sketch
 from aerolith.llm.hashing import shingle_sets
 from aerolith.llm.queries import op10_document_fingerprints
 from tests.llm.fixtures import empty, odd
@@ -29,15 +29,21 @@ def test_query(spark, sf_dir):
     rows = {r["doc_id"]: r for r in op10_document_fingerprints(spark, sf_dir).collect()}
     assert len(rows) == len(docs)
     errors = []
+    hashes = dict(zip([d for d, _ in docs], shingle_sets(pa.array([t for _, t in docs]), 5), strict=True))
     for i, (doc_id, text) in enumerate(docs):
-        r, following, n = rows[doc_id], docs[(i + 1) % len(docs)][1], len(text)
+        r, (next_id, following), n = rows[doc_id], docs[(i + 1) % len(docs)], len(text)
         edited = text[: n - n // 2] + following[: n // 2]
         assert (r["n_chars"], r["edited_sha256"]) == (n, hashlib.sha256(edited.encode()).hexdigest())
+        own, new = ([x for x in hashes[d] if x < 2**64 * FRACTION] for d in (doc_id, next_id))
+        assert list(decode(r["fingerprint"])) == own
+        both = len(set(own) & set(new))
+        assert r["near_next"] == (both / (len(own) + len(new) - both) if own and new else float(own == new))
+        assert r["in_next"] == (both / len(own) if own and new else float(own == new))
         a, b = shingles(text), shingles(edited)
-        errors.append(abs(len(a & b) / len(a | b) - r["near_edited"]))
-        if len(a) < FLOOR and len(b) < FLOOR:
-            assert errors[-1] < 1e-9
-    assert np.mean(errors) < 0.03
+        if len(own) > 8:
+            errors.append((len(a & b) / len(a | b) - r["near_edited"]) / (0.5 / len(own) ** 0.5))
+            assert abs(len(a & b) / len(a) - r["in_edited"]) < 2.5 / len(own) ** 0.5
+    assert abs(np.mean(errors)) < 0.3 and np.abs(errors).max() < 5
     prints = {}
     for doc_id, text in docs:
         assert prints.setdefault(text, rows[doc_id]["fingerprint"]) == rows[doc_id]["fingerprint"]
@@ -47,7 +53,7 @@ def test_merging_and_containment():
     rng = np.random.default_rng(0)
     a, b = (np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (40_000, 1_000))
     part = np.union1d(a[:: 10], b)
-    assert (merge(sketch(a), sketch(b)) == sketch(np.union1d(a, b))).all()
+    assert (merge(sketch(a), sketch(b)) == sketch(np.union1d(a, b))).all() and len(sketch(a, 1)) == len(a)
     _, in_part, in_a = compare(sketch(a), sketch(part))
     assert abs(in_a - 0.8) < 0.12 and abs(in_part - 0.1) < 0.03
 
@@ -64,4 +70,4 @@ def test_odd_rows(spark):
     assert paired_fingerprints(empty(spark)).count() == 0 == fingerprints(empty(spark)).count()
     one = paired_fingerprints(odd(spark).where("doc_id = 1")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
-    assert {len(decode(r["fingerprint"])) for r in fingerprints(odd(spark)).where("doc_id = 7").collect()} == {1}
+    assert {len(decode(r["fingerprint"])) for r in fingerprints(odd(spark), fraction=1).where("doc_id = 7").collect()} == {1}
