@@ -41,23 +41,24 @@ def load_encoding(name: str):
 
 @lru_cache(maxsize=2)
 def load_tokenizer(name: str):
-    """The same vocabulary in the other library's form."""
+    """The same vocabulary in the other library's form, and the strings that it takes for tokens of their own."""
     import public_tokenizers
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file((name if "/" in name else public_tokenizers.path(name)).removesuffix(".tiktoken") + ".json")
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return tokenizer, [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
 
 def token_ids(text: str, name: str) -> list[int]:
-    """Ids of a text.  The faster library's pattern cannot take very long runs of white space; the other one then does it."""
-    try:
-        return load_encoding(name).encode_ordinary(text)
-    except BaseException as error:
-        if type(error).__name__ != "PanicException":
-            raise
-        return load_tokenizer(name).encode(text, add_special_tokens=False).ids
+    """Ids of a text as the other library gives them.  The faster one does not know added tokens, nor can its pattern take very long runs of white space."""
+    tokenizer, added = load_tokenizer(name)
+    if not any(t in text for t in added):
+        try:
+            return load_encoding(name).encode_ordinary(text)
+        except BaseException as error:
+            if type(error).__name__ != "PanicException":
+                raise
+    return tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -208,7 +209,8 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, vocabulary: str = "byt
 
     A null or empty text is a document of the end id alone.  Repeated rows are packed each; the id is carried and
     may be null; other columns are ignored.  An empty table gives no rows.  Token ids follow the byte-level BPE
-    `vocabulary`; strings of special tokens are ordinary text.
+    `vocabulary`; strings of its added tokens are those tokens.  Very long texts are cut into full pieces after a shorter first one.  Of
+    pieces of one length, which are ties, those of earlier tasks and rows come first.
     """
     spark = docs.sparkSession
     pieces = checkpointed(tokenized(docs, capacity, vocabulary, id_col, text_col, keep_ids))

@@ -8,16 +8,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from aerolith.llm.packing import END_ID, cut, load_encoding, pack_documents, plan, token_ids
+from aerolith.llm.packing import END_ID, cut, pack_documents, plan, token_ids
 from aerolith.llm.queries import op1_best_fit_packing
 from tests.llm.fixtures import ROWS, empty, odd
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def verify(rows, documents, tokenizer, capacity):
@@ -62,14 +60,18 @@ def test_kept_ids(spark, tokenizer):
     assert [i for r in rows for i in r["ids"]] == tokenizer.encode(ROWS[0][1], add_special_tokens=False).ids + [END_ID]
 
 
+def test_added_tokens_and_long_blanks(tokenizer):
+    for text in ("a <|endoftext|> b", "<|endoftext|>" * 3, "<|endoftext|", " " * 200_000 + "x"):
+        assert token_ids(text, "byte_bpe_50k.tiktoken") == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text())
 def test_ids_equal_those_of_tokenizers(tokenizer_text):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")) if not hasattr(test_ids_equal_those_of_tokenizers, "t") else test_ids_equal_those_of_tokenizers.t
-    t.encode_special_tokens = True
     test_ids_equal_those_of_tokenizers.t = t
     text = tokenizer_text.encode("utf-8", "ignore").decode()
-    assert load_encoding("byte_bpe_50k.tiktoken").encode_ordinary(text) == t.encode(text, add_special_tokens=False).ids
+    assert token_ids(text, "byte_bpe_50k.tiktoken") == t.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=60, deadline=None)
