@@ -2,8 +2,8 @@
 
 Rows are put in one global order, every partition reports its total, and the prefix of those
 totals gives each row its place in the whole table without a single-task window.  Shards are cut
-at equal byte targets.  The order keeps equal texts next to each other, and a cut that would fall
-inside a small group of equal texts moves to that group's nearer edge.
+at equal byte targets, and a row goes where its middle lies.  The order is by text hash, so a shard is contiguous in that order; it keeps equal texts next to each
+other, so of all groups of equal texts a cut can part one alone.
 """
 
 from __future__ import annotations
@@ -20,13 +20,13 @@ from aerolith.llm.common import checkpointed
 PLACED = "doc_id long, size long, text_crc32 long, h long, start long, row long"
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", slack: float = 0.005) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns doc_id, size, text_crc32, shard, slot: one row per row of `docs`.
 
     size is the UTF-8 bytes of the text plus 1; a null text has none, so its size is 1 and its crc32
-    that of no bytes.  Repeated rows and null ids are rows like any other.  `slack` is the part of a
-    shard's bytes by which a cut may move to keep equal texts together; larger groups are cut.  The
-    order is by text hash, size, crc32 and id.  An empty table gives an empty result; other columns are ignored.
+    that of no bytes.  Repeated rows and null ids are rows like any other.  The order is by text hash, size, crc32 and id; rows
+    that tie in all of these are equal.  Shards differ by the size of a row at most, so a very long text can leave one short.  An
+    empty table gives an empty result; other columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     slim = docs.select(
@@ -60,35 +60,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
             start, row = int(ends[-1]), row + len(size)
 
     placed = checkpointed(ordered.mapInArrow(place, PLACED))
-    cuts = _cuts(placed, bytes_so_far, shards, slack)
-    shard = sum((F.when(F.col("start") >= c, 1).otherwise(0) for c in cuts), F.lit(0)).cast("int")
+    total = max(bytes_so_far, 1)
+    shard = sum((F.when(2 * F.col("start") + F.col("size") >= 2 * total * k // shards, 1).otherwise(0) for k in range(1, shards)), F.lit(0)).cast("int")
     firsts = {r["shard"]: r["first"] for r in placed.groupBy(shard.alias("shard")).agg(F.min("row").alias("first")).collect()}
     first = F.coalesce(*(F.when(shard == k, F.lit(v)) for k, v in firsts.items()), F.lit(0))
     return placed.select("doc_id", "size", "text_crc32", shard.alias("shard"), (F.col("row") - first).cast("long").alias("slot"))
 
-
-def _cuts(placed: DataFrame, total: int, shards: int, slack: float) -> list[int]:
-    """Byte positions at which shards 1, 2, .. begin; a few rows reach the driver for each cut."""
-    targets = [total * k // shards for k in range(1, shards)]
-    if not total or not targets:
-        return targets
-    end = F.col("start") + F.col("size")
-    inside = [(F.col("start") <= t) & (t < end) for t in targets]
-    hit = inside[0]
-    for x in inside[1:]:
-        hit = hit | x
-    rows = placed.where(hit).select("h", "size", "text_crc32", "start").collect()
-    key = ["h", "size", "text_crc32"]
-    wanted = [(r["h"], r["size"], r["text_crc32"]) for r in rows]
-    groups = {
-        (r["h"], r["size"], r["text_crc32"]): (r["a"], r["b"])
-        for r in placed.where(F.col("h").isin([w[0] for w in wanted])).groupBy(*key).agg(F.min("start").alias("a"), F.max(end).alias("b")).collect()
-    }
-    cuts = []
-    for t in targets:
-        r = next(r for r in rows if r["start"] <= t < r["start"] + r["size"])
-        a, b = groups[r["h"], r["size"], r["text_crc32"]]
-        if b - a > slack * total / shards:  # a large group is cut between two of its rows
-            a, b = r["start"], r["start"] + r["size"]
-        cuts.append(max([a if t - a <= b - t else b, *cuts[-1:]]))
-    return cuts

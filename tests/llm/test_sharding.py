@@ -13,7 +13,7 @@ def verify(rows, documents, shards):
         assert sorted(r["slot"] for r in own) == list(range(len(own)))
     total, longest = sum(r["size"] for r in rows), max(r["size"] for r in rows)
     for k in range(shards):
-        assert abs(sum(r["size"] for r in rows if r["shard"] == k) - total / shards) <= longest + 0.02 * total
+        assert abs(sum(r["size"] for r in rows if r["shard"] == k) - total / shards) <= longest + 1
 
 
 def test_query(spark, sf_dir):
@@ -34,10 +34,10 @@ def test_one_shard_and_equal_texts(spark):
     verify(rows, [(r["doc_id"], r["text"]) for r in docs.collect()], 4)
 
 
-def test_small_groups_stay_together(spark):
+def test_few_groups_are_parted(spark):
     docs = spark.createDataFrame([(i, f"text of group {i // 4} " * 5) for i in range(4000)], "doc_id long, text string")
-    rows = shard_documents(docs, 8, slack=0.05).collect()
+    rows = shard_documents(docs, 8).collect()
     groups = {}
     for r in rows:
         groups.setdefault(r["doc_id"] // 4, set()).add(r["shard"])
-    assert all(len(s) == 1 for s in groups.values())
+    assert sum(len(s) > 1 for s in groups.values()) <= 7 and {r["shard"] for r in rows} == set(range(8))
