@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -69,11 +69,11 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids & ((1 << BITS) - 1), begins, alpha
 
 
-def chunks(texts: list[str], limit: int = 1 << 18) -> Iterator[list[str]]:
-    """Runs of texts of about `limit` characters; a longer text is a run of its own."""
+def chunks(texts: list[str], limit: int = 1 << 18, most: int = 4096) -> Iterator[list[str]]:
+    """Runs of at most so many texts of about `limit` characters; a longer text is a run of its own."""
     run, size = [], 0
     for t in texts:
-        if run and size + len(t) > limit:
+        if run and (size + len(t) > limit or len(run) == most):
             yield run
             run, size = [], 0
         run.append(t)
@@ -90,10 +90,14 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float
 
+    @cached_property
+    def table(self) -> np.ndarray:
+        """By n-gram: what it adds to each logit, and its weight; made once in each Python worker."""
+        return np.concatenate([self.weights * self.idf[:, None] * SCALE, self.idf[:, None]], 1).astype(np.float32)
+
     def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Logits by language, and the number of letters of each text."""
-        table = np.concatenate([self.weights * self.idf[:, None] * SCALE, self.idf[:, None]], 1).astype(np.float32)
-        rows, letters = [], []
+        table, rows, letters = self.table, [], []
         for run in chunks(texts):
             ids, begins, alpha = grams(run)
             total = np.zeros((len(run), table.shape[1]))
@@ -126,11 +130,9 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         for pdf in batches:
             for run in chunks(list(pdf["text"])):
                 ids, begins, _ = grams(run)
-                seen = np.zeros((len(run), 1 << BITS), bool)
                 owner = np.repeat(np.arange(len(run)), np.diff(begins))
-                for order in ids:
-                    seen[owner, order] = True
-                df += seen.sum(0)
+                seen = np.unique(((owner << BITS) + ids).ravel())  # once in each text
+                df += np.bincount(seen & ((1 << BITS) - 1), minlength=1 << BITS)
                 n += len(run)
         return {"df": df, "n": n}
 
@@ -223,7 +225,9 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Only rows that are not held out (crc32 of the id as text leaves a remainder by 5), with text and language, are
     learned from; language, source and id are no inputs of a prediction.  lang_pred is a learned language, or `und`
-    with score 0 for a null text or one without letters, and where nothing could be learned.
+    with score 0 for a null text or one without letters, and where nothing could be learned.  Of languages that tie the first by
+    name is taken.  Repeated rows are learned from and predicted each; a null id counts as the text ''; very long texts are read whole.  An
+    empty table gives no rows; other columns are ignored.
     """
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))
     model = fit_language_model(slim.where(~held_out(F.col("doc_id"))), "doc_id", "text", "lang", **options)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from aerolith.llm.common import checkpointed, held_out
 
 FEATURES = ["chars", "words", "word_length", "word_spread", "upper", "digits", "blanks", "stops", "symbols", "closing_symbols", "distinct_words", "top_word", "echoes", "distinct_pairs", "short_words", "line_length", "distinct_lines", "squeeze"]
-#: Histogram of log-density differences: bins of this width, up to this many on either side.
+#: Histogram of log-density differences for the calibration: bins of this width, this many on either side; the outermost take what lies beyond.
 BIN, BINS = 0.25, 400
 
 
@@ -124,8 +124,8 @@ class QualityModel:
         return d[1] - d[0] + self.prior
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        z = self.slope * np.clip(self.differences(x), -BIN * BINS, BIN * BINS) + self.shift
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+        z = self.slope * self.differences(x) + self.shift
+        return 1 / (1 + np.exp(-np.clip(z, -700, 700)))  # what a double can hold
 
 
 def _platt(bins: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> tuple[float, float]:
@@ -207,7 +207,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id
     """Columns doc_id, held_out, score, predicted: one row per row of `docs`.
 
     Labels are learned from rows alone whose crc32 of the id as text leaves a remainder by 5; only the text is an
-    input of a score.  A null text scores as an empty one.  Other columns are ignored.
+    input of a score.  A null text scores as an empty one.  Repeated rows are learned from and scored each; a null id has no label; an id
+    with both labels counts for both.  Very long texts are read whole.  Without labels of both kinds all scores are equal.  An empty table
+    gives no rows; other columns are ignored.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), features(F.col(text_col).cast("string")).alias("f"))
     described = checkpointed(slim)  # the statistics alone, for training and scoring
@@ -227,7 +229,11 @@ def score_features(model: QualityModel):
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of `docs`, all columns, that score at least `threshold`; texts are scored where they are, without a shuffle."""
+    """The rows of `docs`, all columns, that score at least `threshold`; texts are scored where they are, without a shuffle.
+
+    The rules are those of :func:`score_quality`: null and empty texts are scored too, equal texts stay or go together, repeated rows
+    stay each, texts are read whole at any length, an empty table stays empty, and columns may have any names.
+    """
     described = checkpointed(docs.where(~held_out(F.col(id_col))).select(F.col(id_col).cast("long").alias("doc_id"), features(F.col(text_col).cast("string")).alias("f")))
     model = train(described, labels, **options)
 
