@@ -94,3 +94,8 @@ def good_pixels(df: DataFrame, product: str, value: str, qa: str, lat: str, lon:
 def clear_bits(qa: Column, relaxed: bool = False) -> Column:
     """Whether the two lowest bits of a quality word allow use; relaxed takes one grade more."""
     return qa.bitwiseAND(F.lit(0b11)) <= (2 if relaxed else 1)
+
+
+def where_sql(df: DataFrame, predicate: str, **values) -> DataFrame:
+    """Rows for which a SQL predicate holds; `:name` in it stands for a value, which is never read as SQL."""
+    return df.sparkSession.sql(f"SELECT * FROM {{rows}} WHERE {predicate}", args=values, rows=df)

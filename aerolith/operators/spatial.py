@@ -12,24 +12,37 @@ from aerolith.functions.geo import degrees_between, inverse_distance
 from aerolith.operators.quality import finite, in_box
 
 
-def nearest_within(points: DataFrame, pixels: DataFrame, lat: str, lon: str, pixel_lat: str, pixel_lon: str, on: Sequence[str], radius: float, values: Sequence[str], key: Sequence[str]) -> DataFrame:
+def nearest_within(points: DataFrame, pixels: DataFrame, lat: str, lon: str, pixel_lat: str, pixel_lon: str, on: Sequence[str], radius: float, values: Sequence[str], key: Sequence[str], steps: int = 8) -> DataFrame:
     """For each distinct (key, place) of `points` and each group of `on`, the nearest pixel within the radius.
 
-    Both sides are cut into cells as wide as the radius; a point asks its own and the eight cells around it, so
-    only near pairs are compared.  Equal distances go to the smallest pixel place, then values.
+    A point asks its own and the eight cells around it: first cells of a `steps`-th of the radius, which settles it where a
+    pixel is that near, then, if none is, cells as wide as the radius.  So a dense group compares a point with its close surroundings
+    alone.  Equal distances go to the smallest pixel place, then values.
     Columns: key, place of the point, on, dist_deg, values; points without a pixel are left out.
     """
-    cell = lambda c: F.floor(F.col(c) / radius)
-    around = F.array(*(F.lit(i) for i in (-1, 0, 1)))
-    asks = points.select(*key, lat, lon, *(c for c in on if c in points.columns)).distinct()
-    asks = asks.withColumn("__i", F.explode(F.transform(around, lambda d: cell(lat) + d))).withColumn("__j", F.explode(F.transform(around, lambda d: cell(lon) + d)))
     shared = [c for c in on if c in points.columns]
-    held = pixels.select(*on, F.col(pixel_lat).alias("__lat"), F.col(pixel_lon).alias("__lon"), *values, cell(pixel_lat).alias("__i"), cell(pixel_lon).alias("__j"))
-    distance = degrees_between(F.col(lat), F.col(lon), F.col("__lat"), F.col("__lon"))
-    near = asks.join(held, [*shared, "__i", "__j"]).withColumn("dist_deg", distance).where(F.col("dist_deg") <= radius)
-    best = F.min(F.struct("dist_deg", "__lat", "__lon", *values)).alias("__best")
-    group = list(dict.fromkeys([*key, lat, lon, *on]))
-    return near.groupBy(*group).agg(best).select(*group, "__best.dist_deg", *(f"__best.{v}" for v in values))
+    held = pixels.select(*on, F.col(pixel_lat).alias("__lat"), F.col(pixel_lon).alias("__lon"), *values)
+    asks = points.select(*key, lat, lon, *shared).distinct()
+    if len(shared) < len(on):
+        groups = held.select(*on).distinct()
+        if not shared:
+            raise ValueError(f"points must have one of the columns {', '.join(on)}")
+        asks = asks.join(groups, shared)
+    target = list(dict.fromkeys([*key, lat, lon, *on]))
+
+    def best(asked: DataFrame, width: float) -> DataFrame:
+        cell = lambda c: F.floor(F.col(c) / width)
+        around = lambda c: F.explode(F.array(*(cell(c) + i for i in (-1, 0, 1))))
+        sides = asked.withColumn("__i", around(lat)).withColumn("__j", around(lon))
+        near = sides.join(held.withColumns({"__i": cell("__lat"), "__j": cell("__lon")}), [*on, "__i", "__j"])
+        near = near.withColumn("dist_deg", degrees_between(F.col(lat), F.col(lon), F.col("__lat"), F.col("__lon"))).where(F.col("dist_deg") <= width)
+        return near.groupBy(*target).agg(F.min(F.struct("dist_deg", "__lat", "__lon", *values)).alias("__best"))
+
+    settled = best(asks, radius / steps)
+    done = settled.select(*(F.col(c).alias(f"__{i}") for i, c in enumerate(target)))
+    rest = asks.join(done, [F.col(c).eqNullSafe(F.col(f"__{i}")) for i, c in enumerate(target)], "left_anti")
+    found = settled.unionByName(best(rest, radius))
+    return found.select(*target, "__best.dist_deg", *(f"__best.{v}" for v in values))
 
 
 def idw_gradient(df: DataFrame, group: str, lat: str, lon: str, value: str, station: str, sensor: str, center: Center = Center(), offset: float = 0.25, k: int = 3, least: int = 3) -> DataFrame:

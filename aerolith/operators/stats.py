@@ -120,3 +120,8 @@ def ordered_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
 def non_null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: how many values of each column are not null."""
     return df.agg(*(F.count(c).alias(c) for c in columns))
+
+
+def aggregated(df: DataFrame, by: Sequence[str], functions: Mapping[str, str]) -> DataFrame:
+    """Column name -> name of an aggregate function, as columns `column_function`."""
+    return df.groupBy(*by).agg(*(F.expr(f"{f}(`{c}`)").alias(f"{c}_{f}") for c, f in functions.items()))

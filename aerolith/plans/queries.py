@@ -12,20 +12,21 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.checks.checks import cluster_report, freshness, null_ratio_check, reconcile, schema_hash
+from aerolith.checks.checks import cluster_report, freshness, null_ratio_check, reconcile, repeated_predictions, schema_hash, split_report
 from aerolith.config import BBox, Center, Quality, Runs
 from aerolith.functions import calendar_columns, celsius, coverage_pct, guarded_ratio, label_of, millimetres, normalized_name, safe_id, wind_direction, wind_speed
-from aerolith.ml.cluster import clusters
+from aerolith.ml.cluster import cluster_points, clusters
 from aerolith.operators.asof import asof_join
 from aerolith.operators.dedup import duplicate_count, insert_new, latest_per_key, newest
 from aerolith.operators.joins import filled_from, left_chain, null_safe_join, overlap_join, planned_runs
-from aerolith.operators.quality import bbox_filter, clear_bits, date_range, months_between, name_or_box, null_out_of_range, parameter_filter, qa_threshold, quality_filter, threshold_hours
+from aerolith.operators.quality import bbox_filter, clear_bits, date_range, months_between, name_or_box, null_out_of_range, parameter_filter, qa_threshold, quality_filter, threshold_hours, where_sql
 from aerolith.operators.series import densify, feature_columns, gap_lag, hour_grid, lag_of, latest_record, over_hours, rolling, time_split
 from aerolith.operators.spatial import grid_means, idw_gradient, nearest_within, plume_grid
-from aerolith.operators.stats import daily_of_files, merged_bands, mode_per_key, non_null_counts, ordered_counts, percent_of_total, pivot_max, pivot_mean, pixel_stats, quality_report, region_average, regression_errors, series_stats
-from aerolith.operators.trajectory import anchors, hourly_features, parse_dump, path_features
+from aerolith.operators.stats import aggregated, daily_of_files, merged_bands, mode_per_key, non_null_counts, ordered_counts, percent_of_total, pivot_max, pivot_mean, pixel_stats, quality_report, region_average, regression_errors, series_stats
+from aerolith.operators.trajectory import anchors, hourly_features, matched_pixels, parse_dump, path_features
 from aerolith.plans.gold import master, training
 from aerolith.sinks.serving import features, key_collisions, last_write_wins
+from aerolith.streaming.pipelines import append_to, parsed, sessions, windowed
 from aerolith.sinks.upsert import merged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,8 +101,10 @@ def quality_metrics(spark, sf_dir):
 
 @query("SELECT event_id, (props->>'$.k')::BIGINT AS k, year(ts)::INT AS year, month(ts)::INT AS month, day(ts)::INT AS day, hour(ts)::INT AS hour FROM events")
 def json_bronze(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", F.from_json("props", "k BIGINT").alias("data"))
-    return rows.select("event_id", "data.*", F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day"), F.hour("ts").alias("hour"))
+    """Events as a topic's JSON, typed again."""
+    body = F.struct("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), F.from_json("props", "k BIGINT").getField("k").alias("k"))
+    lines = table(spark, sf_dir, "events").select(F.to_json(body).alias("value"))
+    return parsed(lines, "event_id BIGINT, at STRING, k BIGINT", ["at"], drop_malformed=True).select("event_id", "k", "year", "month", "day", "hour")
 
 
 @query(f"WITH {ERRORS} SELECT hour, round(v, 6) AS v FROM series")
@@ -120,10 +123,10 @@ def lag_roll_lead(spark, sf_dir):
     return rounded(rounded(out, *means, digits=9), "p_roll_std_24h", digits=7)
 
 
-@query("""WITH m AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS hour, avg(value) AS v FROM events WHERE event_type = 'error' AND user_id % 3 = 0 GROUP BY 1)
+@query("""WITH m AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS hour, avg(value) AS v FROM events WHERE event_type = 'error' GROUP BY 1)
 SELECT hour, round(avg(v) OVER (ORDER BY hour ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), 6) AS past_mean_6h, CASE WHEN epoch(hour) - epoch(lag(hour, 3) OVER (ORDER BY hour)) = 10800 THEN round(lag(v, 3) OVER (ORDER BY hour), 6) END AS lag_3h FROM m""")
 def past_rolling_and_gap_lag(spark, sf_dir):
-    rows = events(spark, sf_dir).where("event_type = 'error' AND user_id % 3 = 0").groupBy("hour").agg(F.avg("value").alias("v"))
+    rows = events(spark, sf_dir).where("event_type = 'error'").groupBy("hour").agg(F.avg("value").alias("v"))
     out = over_hours(rows, "hour", {"past_mean_6h": rolling(F.avg, "v", 6, include_current=False), "lag_3h": gap_lag("v", "hour", 3)}, 500)
     return rounded(out.select("hour", "past_mean_6h", "lag_3h"), "past_mean_6h", "lag_3h")
 
@@ -138,19 +141,20 @@ def calendar_features(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) + 0.0 for c in waves})
 
 
-DAILY = "SELECT event_type AS product, ts::DATE AS date, max(CASE WHEN user_id % 2 = 0 THEN ts END) AS seen, round(max(value), 6) AS v FROM events WHERE event_id % 7 = 0 GROUP BY 1, 2"
+DAILY = "SELECT event_type AS product, ts::DATE AS date, max(CASE WHEN user_id % 2 = 0 THEN ts END) AS seen, round(max(value), 6) AS v FROM events GROUP BY 1, 2 HAVING max(value) >= 150"
 
 
 def daily_products(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").where("event_id % 7 = 0").groupBy(F.col("event_type").alias("product"), F.col("ts").cast("date").alias("date"))
-    return rows.agg(F.max(F.when(F.col("user_id") % 2 == 0, F.col("ts"))).alias("seen"), F.round(F.max("value"), 6).alias("v"))
+    """Per product and day the time it was seen at, if it was, and its greatest value; days without a great value have no product."""
+    rows = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("product"), F.col("ts").cast("date").alias("date"))
+    return rows.agg(F.max(F.when(F.col("user_id") % 2 == 0, F.col("ts"))).alias("seen"), F.round(F.max("value"), 6).alias("v")).where("v >= 150")
 
 
-PROBES = "SELECT DISTINCT date_trunc('hour', ts)::TIMESTAMP AS hour, event_type AS product FROM events WHERE event_id % 5 = 0"
+PROBES = "SELECT DISTINCT date_trunc('hour', ts)::TIMESTAMP AS hour, event_type AS product FROM events"
 
 
 def probes(spark, sf_dir):
-    return events(spark, sf_dir).where("event_id % 5 = 0").select("hour", F.col("event_type").alias("product")).distinct()
+    return events(spark, sf_dir).select("hour", F.col("event_type").alias("product")).distinct()
 
 
 @query(f"""WITH d AS ({DAILY}), h AS ({PROBES}) SELECT h.hour, h.product, d.date::VARCHAR AS date, d.v FROM h LEFT JOIN d ON d.product = h.product AND (d.date < h.hour::DATE OR (d.date = h.hour::DATE AND d.seen IS NOT NULL AND d.seen <= h.hour))
@@ -232,11 +236,11 @@ def path_points(spark, sf_dir):
 
 
 def grid_pixels(spark, sf_dir):
-    rows = path_points(spark, sf_dir).where("event_id % 3 = 0")
+    rows = path_points(spark, sf_dir)
     return rows.selectExpr("CASE WHEN event_id % 2 = 0 THEN 'NO2' ELSE 'AER_AI' END AS product", "CAST(ts AS DATE) AS date", "lat + 0.013 AS lat", "lon - 0.017 AS lon", "value")
 
 
-PIXELS = f"SELECT CASE WHEN event_id % 2 = 0 THEN 'NO2' ELSE 'AER_AI' END AS product, ts::DATE AS date, lat::DOUBLE + 0.013::DOUBLE AS lat, lon::DOUBLE - 0.017::DOUBLE AS lon, value FROM ({POINTS} FROM events) WHERE event_id % 3 = 0"
+PIXELS = f"SELECT CASE WHEN event_id % 2 = 0 THEN 'NO2' ELSE 'AER_AI' END AS product, ts::DATE AS date, lat::DOUBLE + 0.013::DOUBLE AS lat, lon::DOUBLE - 0.017::DOUBLE AS lon, value FROM ({POINTS} FROM events)"
 NEAREST = f"""pt AS ({POINTS} FROM events), px AS ({PIXELS}),
 kept AS (SELECT DISTINCT user_id, ts::DATE AS date, lat::DOUBLE AS lat, lon::DOUBLE AS lon FROM pt WHERE age_h BETWEEN -72 AND -24 AND user_id IN (SELECT user_id FROM pt WHERE age_h = 0)),
 near AS (SELECT kept.*, product, value, px.lat AS plat, px.lon AS plon, sqrt((kept.lat - px.lat) * (kept.lat - px.lat) + (kept.lon - px.lon) * (kept.lon - px.lon)) AS d FROM kept JOIN px USING (date) WHERE sqrt((kept.lat - px.lat) * (kept.lat - px.lat) + (kept.lon - px.lon) * (kept.lon - px.lon)) <= 0.5),
@@ -343,12 +347,12 @@ def merge_upsert(spark, sf_dir):
     return merged(old, new, ["k"])
 
 
-@query("""WITH a AS (SELECT o_orderkey, o_orderdate AS a1, o_orderdate + INTERVAL 40 DAY AS a2 FROM orders WHERE o_orderkey % 10 = 0), b AS (SELECT event_id, TIMESTAMP '1992-01-01' + to_days((event_id * 13 % 2500)::INT) AS b1, TIMESTAMP '1992-01-01' + to_days((event_id * 13 % 2500 + event_id % 60)::INT) AS b2 FROM events WHERE event_id % 20 = 0)
+@query("""WITH a AS (SELECT o_orderkey, o_orderdate AS a1, o_orderdate + INTERVAL 40 DAY AS a2 FROM orders), b AS (SELECT s_suppkey, TIMESTAMP '1992-01-01' + to_days((s_suppkey * 13 % 2500)::INT) AS b1, TIMESTAMP '1992-01-01' + to_days((s_suppkey * 13 % 2500 + s_suppkey % 60)::INT) AS b2 FROM supplier)
 SELECT o_orderkey, count(*) AS spans FROM a JOIN b ON a2 >= b1 AND a1 <= b2 GROUP BY 1""")
 def interval_overlap(spark, sf_dir):
-    a = table(spark, sf_dir, "orders").where("o_orderkey % 10 = 0").selectExpr("o_orderkey", "o_orderdate AS a1", "o_orderdate + INTERVAL 40 DAY AS a2")
-    first = "date_add(DATE'1992-01-01', CAST(event_id * 13 % 2500 AS INT))"
-    b = table(spark, sf_dir, "events").where("event_id % 20 = 0").selectExpr("event_id", f"CAST({first} AS TIMESTAMP_NTZ) AS b1", f"CAST(date_add({first}, CAST(event_id % 60 AS INT)) AS TIMESTAMP_NTZ) AS b2")
+    a = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderdate AS a1", "o_orderdate + INTERVAL 40 DAY AS a2")
+    first = "date_add(DATE'1992-01-01', CAST(s_suppkey * 13 % 2500 AS INT))"
+    b = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", f"CAST({first} AS TIMESTAMP_NTZ) AS b1", f"CAST(date_add({first}, CAST(s_suppkey % 60 AS INT)) AS TIMESTAMP_NTZ) AS b2")
     return overlap_join(a, b, "a1", "a2", "b1", "b2").groupBy("o_orderkey").agg(F.count("*").alias("spans"))
 
 
@@ -453,41 +457,42 @@ def labelled_codes(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", label_of((F.col("user_id") % 4).cast("int"), {0: "local", 1: "north"}).alias("source"))
 
 
-@query("SELECT event_id, date_trunc('hour', ts)::TIMESTAMP AS window_start, (date_trunc('hour', ts) + INTERVAL 1 HOUR)::TIMESTAMP AS window_end FROM events WHERE event_id % 50 = 0")
+@query("WITH h AS (SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS h, value FROM events) SELECT event_type, h AS window_start, (h + INTERVAL 1 HOUR)::TIMESTAMP AS window_end, count(*) AS n, round(sum(value), 4) AS total FROM h GROUP BY event_type, h")
 def tumbling_windows(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").where("event_id % 50 = 0").withColumn("w", F.window("ts", "1 hour"))
-    return rows.select("event_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"))
+    rows = table(spark, sf_dir, "events").withColumn("t", F.col("ts").cast("timestamp"))
+    out = windowed(rows, "t", "1 hour", "1 hour", [F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")], ["event_type"])
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
 @query("""WITH o AS (SELECT user_id, ts, value, CASE WHEN epoch(ts) - epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts)) < 7200 THEN 0 ELSE 1 END AS first FROM events),
 s AS (SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM o) SELECT user_id, min(ts) AS started, count(*) AS events, round(sum(value), 4) AS total FROM s GROUP BY user_id, n""")
 def station_sessions(spark, sf_dir):
     rows = table(spark, sf_dir, "events").withColumn("t", F.col("ts").cast("timestamp"))
-    out = rows.groupBy("user_id", F.session_window("t", "2 hours")).agg(F.min("ts").alias("started"), F.count("*").alias("events"), F.round(F.sum("value"), 4).alias("total"))
+    out = sessions(rows, "t", "1 hour", "2 hours", [F.min("ts").alias("started"), F.count("*").alias("events"), F.round(F.sum("value"), 4).alias("total")], ["user_id"])
     return out.select("user_id", "started", "events", "total")
 
 
-def _drained(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
-    """Run a stream over the events to its end, and read what it wrote in the shared folder."""
+def _shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share; a machine's own will do for a local master alone."""
     import tempfile
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="aerolith-stream-")
-    folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
-    make(stream).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{folder}/out")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="aerolith-stream-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 @query("SELECT event_id, ts, event_type, (props->>'$.k')::BIGINT AS k, year(ts)::INT AS year FROM events")
 def stream_to_table(spark, sf_dir):
     """JSON parsed and appended by a stream that ends with what is there."""
-
-    def make(df: DataFrame) -> DataFrame:
-        return df.select("event_id", "ts", "event_type", F.from_json("props", "k BIGINT").getField("k").alias("k"), F.year("ts").alias("year"))
-
-    return _drained(spark, sf_dir, "append", make)
+    folder = _shared_folder(spark, "append")
+    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parque[t]")
+    rows = stream.select("event_id", "ts", "event_type", F.from_json("props", "k BIGINT").getField("k").alias("k"), F.year("ts").alias("year"))
+    append_to(rows, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
 
 
 @query("SELECT DISTINCT date_trunc('hour', ts)::TIMESTAMP AS hour FROM events WHERE value >= 75")
@@ -496,7 +501,7 @@ def hours_over_threshold(spark, sf_dir):
 
 
 @query("""WITH p AS (SELECT event_id, user_id, ts, 20.0 + (event_id % 97) * 0.02 AS lat, 105.0 + (event_id % 89) * 0.02 AS lon, value FROM events WHERE event_id % 4 <> 3)
-SELECT user_id::VARCHAR || '_' || CASE WHEN event_id % 4 = 2 THEN 1 ELSE event_id % 5 + 1 END AS traj_id, CASE WHEN event_id % 4 <> 2 THEN (-(event_id % 73))::INT END AS age_h, round(lat::DOUBLE, 3) AS lat, round(lon::DOUBLE, 3) AS lon, round(value, 2) AS alt_m, date_trunc('minute', ts)::TIMESTAMP AS timestamp FROM p""")
+SELECT user_id::VARCHAR || '-traj' || CASE WHEN event_id % 4 = 2 THEN 0 ELSE event_id % 5 + 1 END AS traj_id, CASE WHEN event_id % 4 <> 2 THEN (-(event_id % 73))::INT END AS age_h, round(lat::DOUBLE, 3) AS lat, round(lon::DOUBLE, 3) AS lon, round(value, 2) AS alt_m, date_trunc('minute', ts)::TIMESTAMP AS timestamp FROM p""")
 def dump_points(spark, sf_dir):
     """Lines made of events: numeric points, ISO points, and lines to be dropped."""
     place = "printf('%.3f', CAST(20.0 + (event_id % 97) * 0.02 AS DOUBLE)), printf('%.3f', CAST(105.0 + (event_id % 89) * 0.02 AS DOUBLE)), printf('%.2f', value)"
@@ -584,7 +589,7 @@ def air_series(spark, sf_dir):
 
 def gold_rows(spark, sf_dir):
     daily = table(spark, sf_dir, "events").withColumns({"date": F.col("ts").cast("date"), "product": F.when(F.col("event_id") % 2 == 0, "NO2").otherwise("AER")})
-    swath = daily.where("event_id % 9 = 0").groupBy("product", "date").agg(F.min("ts").alias("overpass_time_utc"), F.avg("value").alias("value_mean"), F.avg("event_id").alias("valid_pct"))
+    swath = daily.groupBy("product", "date").agg(F.min("ts").alias("overpass_time_utc"), F.avg("value").alias("value_mean"), F.avg("event_id").alias("valid_pct"))
     aerosol = daily.groupBy("date").agg(*(F.avg("value").alias(c) for c in ("aod_047_mean", "aod_055_mean", "aod_mean")), F.max("value").alias("aod_max"), F.lit(50.0).alias("valid_pct"))
     return master(air_series(spark, sf_dir), swath=swath, aerosol=aerosol)
 
@@ -592,7 +597,7 @@ def gold_rows(spark, sf_dir):
 GOLD = """best AS (SELECT * FROM events WHERE event_type = 'error' QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts DESC, event_id DESC) = 1),
 air AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS hour, avg(value) AS pm25_mean, count(DISTINCT user_id)::INT AS station_count FROM best GROUP BY 1),
 grid AS (SELECT unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR))::TIMESTAMP AS hour FROM air),
-no2 AS (SELECT ts::DATE AS date, min(ts) AS seen, avg(value) AS v FROM events WHERE event_id % 9 = 0 AND event_id % 2 = 0 GROUP BY 1),
+no2 AS (SELECT ts::DATE AS date, min(ts) AS seen, avg(value) AS v FROM events WHERE event_id % 2 = 0 GROUP BY 1),
 aod AS (SELECT ts::DATE AS date, max(value) AS v FROM events GROUP BY 1),
 g1 AS (SELECT grid.hour, no2.v FROM grid LEFT JOIN no2 ON no2.date < grid.hour::DATE OR (no2.date = grid.hour::DATE AND no2.seen <= grid.hour) QUALIFY row_number() OVER (PARTITION BY grid.hour ORDER BY no2.date DESC NULLS LAST) = 1),
 g2 AS (SELECT grid.hour, aod.v FROM grid LEFT JOIN aod ON aod.date < grid.hour::DATE QUALIFY row_number() OVER (PARTITION BY grid.hour ORDER BY aod.date DESC NULLS LAST) = 1),
@@ -609,3 +614,35 @@ def master_features(spark, sf_dir):
 SELECT 'v1' AS dataset_version, hour, round(pm25_next_6h, 6) AS pm25_next_6h, CASE WHEN share < 0.7 THEN 'train' WHEN share < 0.85 THEN 'validation' ELSE 'test' END AS split FROM whole""")
 def training_set(spark, sf_dir):
     return rounded(training(gold_rows(spark, sf_dir), "v1", "all").select("dataset_version", "hour", "pm25_next_6h", "split"), "pm25_next_6h")
+
+
+@query("SELECT event_type, round(avg(value), 6) AS value_avg, max(user_id) AS user_id_max FROM events WHERE value BETWEEN 5 AND 50 AND event_type <> 'view' GROUP BY 1")
+def predicate_and_aggregate(spark, sf_dir):
+    rows = where_sql(table(spark, sf_dir, "events"), "value BETWEEN :low AND :high AND event_type <> :kind", low=5, high=50, kind="view")
+    return rounded(aggregated(rows, ["event_type"], {"value": "avg", "user_id": "max"}), "value_avg")
+
+
+@query(f"""WITH {NEAREST}, t AS (SELECT DISTINCT user_id FROM pt WHERE age_h = 0), f AS (SELECT user_id, avg(value) FILTER (product = 'NO2') AS m FROM best GROUP BY 1)
+SELECT count(*) AS input_count, count(f.user_id) AS matched, count(*) - count(f.user_id) AS unmatched, round(count(f.user_id) / count(*), 6) AS matched_ratio, round(min(m), 6) AS no2_min, round(max(m), 6) AS no2_max FROM t LEFT JOIN f USING (user_id)""")
+def matched_pixel_ratio(spark, sf_dir):
+    points = path_points(spark, sf_dir)
+    return rounded(matched_pixels(points, path_features(points, grid_pixels(spark, sf_dir))), "matched_ratio", "no2_min", "no2_max")
+
+
+@query("SELECT user_id, event_type, date_trunc('hour', ts)::TIMESTAMP AS hour, count(*) AS n FROM events GROUP BY 1, 2, 3 HAVING count(*) > 1")
+def duplicate_predictions(spark, sf_dir):
+    return repeated_predictions(events(spark, sf_dir), ["user_id", "event_type", "hour"])
+
+
+@query("""WITH r AS (SELECT *, (row_number() OVER (ORDER BY ts) - 1) / count(*) OVER () AS share FROM events)
+SELECT CASE WHEN share < 0.7 THEN 'train' WHEN share < 0.85 THEN 'validation' ELSE 'test' END AS split, count(*) AS n, min(ts) AS first, max(ts) AS last, count(CASE WHEN value > 50 THEN value END) AS v_n FROM r GROUP BY 1""")
+def split_counts(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumn("v", F.when(F.col("value") > 50, F.col("value")))
+    return split_report(time_split(rows, "ts"), "ts", ["v"])
+
+
+@query(f"SELECT event_id, user_id::VARCHAR AS traj_id, user_id % 4 AS cluster_id, round(first(lat) OVER w, 6) AS source_lat FROM (SELECT *, max(CASE WHEN age_h = 0 THEN 1 END) OVER (PARTITION BY user_id) AS started FROM (SELECT event_id, ts, user_id, age_h, lat::DOUBLE AS lat, lon::DOUBLE AS lon FROM ({POINTS} FROM events))) WINDOW w AS (PARTITION BY user_id ORDER BY CASE WHEN age_h = 0 THEN 0 ELSE 1 END, ts, lat, lon)")
+def clustered_points(spark, sf_dir):
+    points = path_points(spark, sf_dir)
+    labels = points.select("traj_id", "direction", (F.col("user_id") % 4).alias("cluster_id")).distinct()
+    return rounded(cluster_points(points, labels).select("event_id", "traj_id", "cluster_id", "source_lat"), "source_lat")
