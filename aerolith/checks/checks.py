@@ -43,6 +43,16 @@ def cluster_report(df: DataFrame, cluster: str) -> DataFrame:
     return counts.join(F.broadcast(total)).select(cluster, "n", (F.col("n") / F.col("total")).alias("share"))
 
 
+def repeated_predictions(predictions: DataFrame, keys: Sequence[str] = ("model_name", "horizon_hours", "hour")) -> DataFrame:
+    """Keys that several predictions have, with their number; there should be none."""
+    return predictions.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def split_report(df: DataFrame, time: str, targets: Sequence[str]) -> DataFrame:
+    """By split: rows, first and last time, and rows that have each target."""
+    return df.groupBy("split").agg(F.count("*").alias("n"), F.min(time).alias("first"), F.max(time).alias("last"), *(F.count(c).alias(f"{c}_n") for c in targets))
+
+
 def compact(spark: SparkSession, path: str, partition_by: Sequence[str] = (), target_mb: int = 256) -> dict:
     """Rewrite a Parquet table in files of about `target_mb`; gives files before and after."""
     df = spark.read.parquet(path)

@@ -73,6 +73,8 @@ class Settings:
     runs: Runs = field(default_factory=Runs)
     trajectory: Trajectory = field(default_factory=Trajectory)
     raster: Raster = field(default_factory=Raster)
+    #: Fixed value: what the name of a place of the city matches, in lower case.
+    place_pattern: str = "hanoi|ha noi|ha_noi"
 
     @classmethod
     def from_dict(cls, overrides: Mapping[str, Any]) -> Settings:

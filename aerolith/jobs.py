@@ -8,17 +8,18 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.config import Settings, truthy
+from aerolith.ml.cluster import cluster_points, clusters
 from aerolith.operators.quality import date_range
-from aerolith.operators.trajectory import hourly_features, path_features
+from aerolith.operators.trajectory import anchors, by_init_window, hourly_features, path_features
 from aerolith.plans import gold, silver
 from aerolith.plans.registry import TABLES
-from aerolith.sinks.upsert import full_refresh, read_or_none, upsert
+from aerolith.sinks.upsert import full_refresh, read_or_none, replace_table, upsert
 
 Read = Callable[[str], DataFrame | None]
 
@@ -36,36 +37,73 @@ def _master(read: Read, settings: Settings) -> DataFrame:
     return gold.master(read("city_hourly_silver"), **{k: read(t) for k, t in names.items()}, series=settings.series)
 
 
+def _weather(read: Read, settings: Settings) -> DataFrame:
+    return _hourly(silver.weather_hourly(read("weather_bronze"), settings.place_pattern, settings))
+
+
+def _paths(read: Read, settings: Settings) -> DataFrame:
+    return path_features(read("trajectory_points_silver").where("direction = 'backward'"), read("pixel_grid_silver"), settings.trajectory)
+
+
+def _clusters(read: Read, settings: Settings) -> DataFrame:
+    points = read("trajectory_points_silver")
+    wide = anchors(points, settings.trajectory.anchor_hours)
+    labels = clusters(wide, [c for c in wide.columns if c.startswith(("lat", "lon"))], k=settings.trajectory.cluster_k_default)
+    return cluster_points(points, labels)
+
+
 #: Table built -> function of (reader of tables by name, settings), and the source whose days the dates choose.
 JOBS: dict[str, tuple[Callable[[Read, Settings], DataFrame], str, str]] = {
     "station_hourly_silver": (_station, "sensor_bronze", "event_time"),
     "city_hourly_silver": (lambda r, s: _hourly(silver.city_hourly(r("station_hourly_silver"))), "station_hourly_silver", "hour"),
+    "weather_hourly_silver": (_weather, "weather_bronze", "event_time"),
     "gradient_silver": (lambda r, s: _hourly(silver.gradient_hourly(r("station_hourly_silver"), s)), "station_hourly_silver", "hour"),
-    "trajectory_paths_silver": (lambda r, s: path_features(r("trajectory_points_silver").where("direction = 'backward'"), r("pixel_grid_silver"), s.trajectory), "", ""),
+    "trajectory_clusters_silver": (_clusters, "trajectory_points_silver", "timestamp"),
+    "trajectory_paths_silver": (_paths, "trajectory_points_silver", "timestamp"),
     "trajectory_hourly_silver": (lambda r, s: _hourly(hourly_features(r("trajectory_clusters_silver").where("direction = 'backward'"), r("trajectory_paths_silver"))), "trajectory_clusters_silver", "timestamp"),
     "master_hourly_gold": (_master, "city_hourly_silver", "hour"),
     "training_gold": (lambda r, s: gold.training(r("master_hourly_gold"), "v1", "all", s.series), "master_hourly_gold", "hour"),
 }
+#: Of these, the dates choose whole trajectories, by their start.
+WHOLE = frozenset(["trajectory_paths_silver", "trajectory_clusters_silver"])
+
+
+def _reach(name: str, settings: Settings) -> timedelta:
+    """How far the windows of a table see past the days that are built."""
+    series = settings.series
+    return timedelta(days=-(-max(*series.lag_hours, *series.rolling_hours, *series.horizons_hours) // 24)) if name == "master_hourly_gold" else timedelta(0)
 
 
 def run(spark: SparkSession, name: str, tables: str, start: date | None = None, end: date | None = None, refresh: bool = False, settings: Settings = Settings()) -> None:
+    """Build a table of the days from start to end and write it; `refresh` replaces the rows of the hours that are built, else rows are merged by key."""
     build, source, column = JOBS[name]
-    target = TABLES[name]
+    target, reach = TABLES[name], _reach(name, settings)
 
     def read(table: str) -> DataFrame | None:
         df = read_or_none(spark, f"{tables}/{table}")
-        return date_range(df, column, start, end) if df is not None and table == source else df
+        if df is None or table != source:
+            return df
+        if name in WHOLE:
+            low, high = start or date(1, 1, 1), (end or date(9998, 12, 31)) + timedelta(days=1)
+            return df.join(by_init_window(df, low, high).select("traj_id").distinct(), "traj_id", "left_semi") if start or end else df
+        return date_range(df, column, start and start - reach, end and end + reach)
 
     out = build(read, settings)
+    if reach:
+        out = date_range(out, "hour", start, end)
     if "spark_processed_at" not in out.columns:
         out = out.withColumn("spark_processed_at", F.current_timestamp())
     have = dict(out.dtypes)
     out = out.select(*((F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.schema().fields))
     path = f"{tables}/{name}"
-    if refresh and "hour" in have:
+    if not refresh:
+        upsert(out, path, target.keys, target.partition_by)
+    elif "hour" in target.keys:
         full_refresh(out, path, "hour", target.partition_by)
+    elif start or end:
+        raise ValueError(f"{name} has no hours: refresh it without dates")
     else:
-        upsert(out, path, target.keys, target.partition_by)
+        replace_table(out, path, target.partition_by)
 
 
 def main(argv: list[str] | None = None) -> None:

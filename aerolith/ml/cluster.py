@@ -29,6 +29,14 @@ def clusters(df: DataFrame, features: Sequence[str], k: int = 6, k_min: int = 3,
     return model.transform(df).drop("__raw", "__scaled", *(f"__{c}" for c in used))
 
 
+def cluster_points(points: DataFrame, labels: DataFrame, keys: Sequence[str] = ("traj_id", "direction")) -> DataFrame:
+    """All points of the labelled trajectories with their cluster and the place of their start (age 0; of several, the first in time)."""
+    start = F.min_by(F.struct("lat", "lon", "alt_m"), F.struct("timestamp", "lat", "lon")).alias("__start")
+    source = points.where("age_h = 0").groupBy(*keys).agg(start)
+    rows = points.join(labels.select(*keys, "cluster_id"), list(keys)).join(source, list(keys), "left")
+    return rows.select("*", *(F.col(f"__start.{c}").alias(f"source_{c}") for c in ("lat", "lon", "alt_m"))).drop("__start")
+
+
 def cost_by_k(df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 42, iterations: int = 40) -> list[tuple[int, float]]:
     """Within-cluster sums of squares for each k, to choose one by."""
     scaled = Pipeline(stages=_scaled(list(features))).fit(df).transform(df).select("__scaled").persist()

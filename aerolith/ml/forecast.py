@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from aerolith.operators.stats import regression_errors
 
 
-def forecaster(features: Sequence[str], target: str, categories: Sequence[str] = (), trees: int = 60, rate: float = 0.05, depth: int = 5, seed: int = 42) -> Pipeline:
+def forecaster(features: Sequence[str], target: str, categories: Sequence[str] = (), trees: int = 300, rate: float = 0.05, depth: int = 5, seed: int = 42) -> Pipeline:
     """Numbers are imputed by mean; categories are indexed (unknown ones kept as their own) and one-hot encoded."""
     numbers = [c for c in features if c not in categories]
     stages = [Imputer(strategy="mean", inputCols=numbers, outputCols=[f"__{c}" for c in numbers])]
@@ -56,3 +56,27 @@ def run_record(spark: SparkSession, name: str, horizon: int, errors: DataFrame,
     """One row of a model's registry: its name, horizon, path, time and errors by split."""
     by = errors.groupBy().agg(*(F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}") for s in ("validation", "test") for m in ("mae", "rmse", "mape")))
     return by.select(F.lit(name).alias("model_name"), F.lit(horizon).alias("horizon_hours"), F.lit(path).alias("model_path"), F.current_timestamp().alias("trained_at"), "*")
+
+
+def train_horizons(df: DataFrame, features: Sequence[str], horizons: Sequence[int], folder: str, target: str = "pm25_next_{}h", categories: Sequence[str] = (), name: str = "boosted_trees", **options) -> DataFrame:
+    """A model for every horizon, saved below `folder` with its importances as CSV; gives the registry's rows.
+
+    One model is fitted after another, each by all executors.
+    """
+    rows = None
+    for n in horizons:
+        model, errors = fit_horizon(df, features, target.format(n), categories, **options)
+        path = f"{folder.rstrip('/')}/{name}_{n}h"
+        model.write().overwrite().save(f"{path}/model")
+        importance(df.sparkSession, model).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path}/importance")  # one row per feature
+        row = run_record(df.sparkSession, name, n, errors, f"{path}/model")
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
+def newest_model(registry: DataFrame, name: str, horizon: int) -> PipelineModel:
+    """The model of this name and horizon that was trained last."""
+    row = registry.where((F.col("model_name") == name) & (F.col("horizon_hours") == horizon)).orderBy(F.desc("trained_at"), "model_path").select("model_path").first()
+    if row is None:
+        raise LookupError(f"no model {name} for {horizon} hours")
+    return PipelineModel.load(row["model_path"])

@@ -17,38 +17,41 @@ from aerolith.operators.stats import mode_per_key
 #: Words of heading lines; places of a point's values among a line's tokens.
 HEADINGS = "press|trajectory|meteorology|job id"
 FIELDS = {"traj_no": 0, "year": 2, "month": 3, "day": 4, "hour": 5, "minute": 6, "forecast_hour": 7, "age_h": 8, "lat": 9, "lon": 10, "alt_m": 11}
-ISO_LINE = r"(\d{4}-\d{2}-\d{2})[ T](\d{2}:\d{2})(?::\d{2})?"
+#: Date and time of a line without the numbers' places, and a number of such a line.
+ISO_DATE, ISO_TIME, PLAIN_NUMBER = r"^\d{4}-\d{2}-\d{2}$", r"^(\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)(?:Z|[+-]\d{2}:\d{2})?$", r"^-?\d+(\.\d+)?$"
 
 
 def parse_dump(lines: DataFrame, run: str = "run_id", direction: str = "direction", line: str = "value") -> DataFrame:
     """Points of dump lines, without Python: 12 tokens or more, else an ISO time with latitude, longitude, altitude.
 
-    Blank lines, comments, headings, and lines with a bad number, date or place are dropped; points of the second form
-    have no number and no age.
+    A line gives one point at most.  Blank lines, comments, headings, and lines with a bad number, date or place are dropped.  Whole
+    numbers lose what follows the point, but hours are rounded, halves to the even.  A line of the second form takes the first two
+    neighbouring numbers that are a place; it has no age, and the number 0.
     """
-    text = F.trim(F.col(line))
-    rows = lines.where((text != "") & ~text.startswith("#") & ~F.lower(text).rlike(HEADINGS)).select(F.col(run).alias("run_id"), F.col(direction).alias("direction"), text.alias("__text"), F.split(text, r"\s+").alias("__t"))
-    number = lambda i: F.get("__t", F.lit(i)).try_cast("double")
-    whole = {k: number(i).cast("int") for k, i in FIELDS.items() if k not in ("lat", "lon", "alt_m")}
-    places = {k: number(FIELDS[k]) for k in ("lat", "lon", "alt_m")}
-    fields = rows.where(F.size("__t") >= 12).select("run_id", "direction", *(c.alias(k) for k, c in (whole | places).items()))
-    fields = fields.withColumn("year", dump_year(F.col("year")))
-    stamp = F.try_make_timestamp(*(F.col(c) for c in ("year", "month", "day", "hour", "minute")), F.lit(0))
-    first = fields.withColumn("timestamp", stamp.cast("timestamp_ntz"))
-    iso = rows.where(F.col("__text").rlike(ISO_LINE)).withColumn("__time", F.concat_ws(" ", F.nullif(F.regexp_extract("__text", ISO_LINE, 1), F.lit("")), F.nullif(F.regexp_extract("__text", ISO_LINE, 2), F.lit(""))))
-    rest = F.filter(F.transform(F.split(F.trim(F.regexp_replace("__text", ISO_LINE, " ")), r"\s+"), lambda x: x.try_cast("double")), lambda x: x.isNotNull())
-    second = iso.withColumn("timestamp", F.try_to_timestamp("__time", F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")).where("timestamp is not null").withColumn("__v", rest)
-    second = second.select(
-        "run_id",
-        "direction",
-        *(F.lit(None).cast("int").alias(k) for k in ("traj_no", "forecast_hour", "age_h")),
-        *(f("timestamp").alias(n) for n, f in (("year", F.year), ("month", F.month), ("day", F.dayofmonth), ("hour", F.hour), ("minute", F.minute))),
-        *(F.get("__v", F.lit(i)).alias(k) for i, k in enumerate(("lat", "lon", "alt_m"))),
-        "timestamp",
-    )
-    good = F.col("timestamp").isNotNull() & F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)
-    points = first.where(good & F.col("age_h").isNotNull()).unionByName(second.where(good))
-    return points.withColumn("traj_id", F.concat_ws("_", "run_id", F.coalesce(F.col("traj_no").cast("string"), F.lit("1"))))
+    text = F.trim(F.col(line), F.lit(" \t\r\n\f\v"))
+    rows = lines.where((text != "") & ~text.startswith("#") & ~F.lower(text).rlike(HEADINGS)).select(F.col(run).alias("run_id"), F.col(direction).alias("direction"), F.split(text, r"\s+").alias("__t"))
+    # Numbers and times are made once per line, as arrays; lambdas see them as columns of their own.
+    number = lambda x: F.when(~F.isnan(x.try_cast("double")), x.try_cast("double"))
+    iso = F.get("__t", F.lit(0)).rlike(ISO_DATE) & F.get("__t", F.lit(1)).rlike(ISO_TIME) & (F.size("__t") >= 5)
+    plain = F.transform(F.filter(F.slice("__t", F.lit(3), F.greatest(F.size("__t") - 2, F.lit(0))), lambda x: x.rlike(PLAIN_NUMBER)), lambda x: x.cast("double"))
+    rows = rows.withColumns({"__n": F.transform(F.slice("__t", 1, 12), number), "__v": F.when(iso, plain)})
+    rows = rows.withColumn("__iso", F.when(iso, F.try_to_timestamp(F.concat_ws(" ", F.get("__t", F.lit(0)), F.regexp_extract(F.get("__t", F.lit(1)), ISO_TIME, 1))).cast("timestamp_ntz")))
+    at = lambda k: F.get("__n", F.lit(FIELDS[k]))
+    whole = {k: (F.rint(at(k)) if k in ("forecast_hour", "age_h") else at(k)).cast("int") for k in FIELDS if k not in ("lat", "lon", "alt_m")} | {k: at(k) for k in ("lat", "lon", "alt_m")}
+    whole["year"] = dump_year(whole["year"])
+    stamp = F.try_make_timestamp_ntz(*(whole[k] for k in ("year", "month", "day", "hour", "minute")), F.lit(0))
+    placed = lambda lat, lon: lat.between(-90, 90) & lon.between(-180, 180)
+    good = (F.size("__t") >= 12) & stamp.isNotNull() & placed(whole["lat"], whole["lon"])
+    for c in whole.values():
+        good &= c.isNotNull()
+    first = F.when(good, F.struct(*(c.alias(k) for k, c in whole.items()), stamp.alias("timestamp")))
+    pair = F.filter(F.transform("__v", lambda x, i: F.struct(x.alias("lat"), F.get("__v", i + 1).alias("lon"), F.get("__v", i + 2).alias("alt_m"))), lambda p: placed(p["lat"], p["lon"]))
+    time = F.col("__iso")
+    parts = {"traj_no": F.lit(0), "year": F.year(time), "month": F.month(time), "day": F.dayofmonth(time), "hour": F.hour(time), "minute": F.minute(time), "forecast_hour": F.lit(None), "age_h": F.lit(None)}
+    place = {k: F.get(pair, F.lit(0))[k] for k in ("lat", "lon", "alt_m")}
+    second = F.when(time.isNotNull() & (F.size(pair) > 0), F.struct(*(c.cast("int").alias(k) for k, c in parts.items()), *(c.alias(k) for k, c in place.items()), time.alias("timestamp")))
+    points = rows.select("run_id", "direction", F.coalesce(first, second).alias("__p")).where("__p is not null").select("run_id", "direction", "__p.*")
+    return points.withColumn("traj_id", F.concat(F.col("run_id"), F.lit("-traj"), F.col("traj_no").cast("string")))
 
 
 def with_init(points: DataFrame, traj: str = "traj_id", age: str = "age_h", ts: str = "timestamp") -> DataFrame:
@@ -86,6 +89,15 @@ def path_features(points: DataFrame, pixels: DataFrame, settings: Trajectory = T
     return out.withColumn("path_no2_aer_ratio", F.when(F.col("path_aer_mean") != 0, guarded_ratio(F.col("path_no2_mean"), F.col("path_aer_mean"))))
 
 
+def matched_pixels(points: DataFrame, paths: DataFrame) -> DataFrame:
+    """One row: trajectories with a start, those whose path met a pixel, those that met none, the ratio (null without trajectories), and the bounds of the NO2 means."""
+    known = with_init(points.where("traj_id is not null and timestamp is not null and age_h is not null")).select("traj_id").distinct()
+    met = F.col("path_no2_mean").isNotNull() | F.col("path_aer_mean").isNotNull()
+    rows = known.join(paths.select("traj_id", met.alias("__met"), "path_no2_mean"), "traj_id", "left")
+    n, matched = F.count("*"), F.count_if("__met")
+    return rows.agg(n.alias("input_count"), matched.alias("matched"), (n - matched).alias("unmatched"), F.when(n > 0, matched / n).alias("matched_ratio"), F.min("path_no2_mean").alias("no2_min"), F.max("path_no2_mean").alias("no2_max"))
+
+
 def hourly_features(clustered: DataFrame, paths: DataFrame) -> DataFrame:
     """Per start hour: the dominant cluster, the number of trajectories, mean source place and mean path features."""
     init = clustered.where("age_h = 0").withColumn("hour", F.date_trunc("hour", "timestamp").cast("timestamp_ntz"))

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from aerolith.operators.dedup import insert_new
 
@@ -22,9 +23,12 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe:
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at `path`, or None if there is no such folder or it holds no files; any other failure is an error."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
 
 
@@ -51,26 +55,49 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequ
     replace_partitions(new, path, partition_by)
 
 
+def _files(spark: SparkSession, path: str):
+    """The folder and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a staged table in the place of another by renaming: at every moment one of the two lies whole under its own or the old one's set-aside name."""
+    (old, files), (new, _), (aside, _) = _files(spark, path), _files(spark, staged), _files(spark, f"{path.rstrip('/')}__old_{uuid.uuid4().hex}")
+    had = files.exists(old)
+    if had and not files.rename(old, aside):
+        raise OSError(f"{path} cannot be set aside")
+    if not files.rename(new, old):
+        if had:
+            files.rename(aside, old)
+        raise OSError(f"{staged} cannot be renamed to {path}")
+    if had:
+        files.delete(aside, True)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite the partitions of `df` (or the whole table) with its rows, which may come from the table itself."""
     spark = df.sparkSession
+    if not partition_by:
+        replace_table(df, path)
+        return
     staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
     df.write.parquet(staged)
-    writer = spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(staged)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    folder, files = _files(spark, staged)
+    files.delete(folder, True)
+
+
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Put `df`, which may come from the table itself, in the place of the whole table."""
+    staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(staged)
+    _swap(df.sparkSession, staged, path)
 
 
 def delete_where(spark: SparkSession, path: str, condition: Column, partition_by: Sequence[str] = ()) -> None:
     """Drop rows for which the condition is true; null keeps a row.  The table is staged and swapped in."""
-    kept = spark.read.parquet(path).where(~F.coalesce(condition, F.lit(False)))
-    staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
-    (kept.write.partitionBy(*partition_by) if partition_by else kept.write).parquet(staged)
-    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, staged))
-    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(old, True)
-    files.rename(new, old)
+    replace_table(spark.read.parquet(path).where(~F.coalesce(condition, F.lit(False))), path, partition_by)
 
 
 def append_new(source: DataFrame, path: str, keys: Sequence[str], null_safe: bool = False) -> None:
@@ -81,10 +108,37 @@ def append_new(source: DataFrame, path: str, keys: Sequence[str], null_safe: boo
 
 
 def full_refresh(source: DataFrame, path: str, column: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the table's rows within the source's range of `column`, and nothing else."""
-    target = read_or_none(source.sparkSession, path)
-    if target is not None:
-        bounds = source.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-        outside = target.join(F.broadcast(bounds), ~F.col(column).between(F.col("lo"), F.col("hi")) | F.col(column).isNull(), "left_semi")  # one row
-        source = outside.unionByName(source, allowMissingColumns=True)
-    replace_partitions(source, path, partition_by)
+    """Replace the table's rows within the source's range of `column`, and nothing else; an empty source changes nothing.
+
+    Partitions that the range touches are rewritten, those of which no row is left are deleted, all others are not read whole.
+    """
+    spark = source.sparkSession
+    target = read_or_none(spark, path)
+    if target is None:
+        replace_partitions(source, path, partition_by)
+        return
+    bounds = source.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
+    if bounds["lo"] is None:
+        return
+    inside = F.coalesce(F.col(column).between(F.lit(bounds["lo"]), F.lit(bounds["hi"])), F.lit(False))
+    if not partition_by:
+        replace_partitions(target.where(~inside).unionByName(source, allowMissingColumns=True), path)
+        return
+    parts = list(partition_by)
+    touched = target.where(inside).select(*parts).distinct().unionByName(source.select(*parts).distinct()).distinct()
+    new = target.where(~inside).join(touched, parts, "left_semi").unionByName(source, allowMissingColumns=True)
+    # One folder for each partition with rows in the range; those without a row to come are emptied after the write.
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    emptied = target.where(inside).select(*parts, folder.alias("__folder")).distinct().join(new.select(*parts).distinct(), parts, "left_anti")
+    gone = [r["__folder"] for r in emptied.select("__folder").distinct().collect()]
+    replace_partitions(new, path, partition_by)
+    for name in gone:
+        # The path comes percent-encoded, as a URI.
+        old = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
+def empty_table(spark: SparkSession, schema: StructType | str) -> DataFrame:
+    """No rows of a schema, for a source that is absent."""
+    return spark.createDataFrame([], schema)

@@ -32,6 +32,11 @@ def test_jobs_chain_and_rerun(spark, folder):
     before = day.count()
     jobs.run(spark, "city_hourly_silver", folder, date(2024, 3, 2), date(2024, 3, 2), refresh=True)
     assert spark.read.parquet(f"{folder}/city_hourly_silver").count() == before
+    gold = {r["hour"]: r for r in spark.read.parquet(f"{folder}/master_hourly_gold").collect()}
+    for refresh in (False, True):  # a day built alone sees the days around it
+        jobs.run(spark, "master_hourly_gold", folder, date(2024, 3, 3), date(2024, 3, 3), refresh=refresh)
+        new = {r["hour"]: r for r in spark.read.parquet(f"{folder}/master_hourly_gold").collect()}
+        assert len(new) == len(gold) and all(new[h][c] == gold[h][c] for h in gold for c in ("pm25_mean", "pm25_lag_24h", "pm25_next_24h", "pm25_roll_mean_24h"))
     with pytest.raises(SystemExit):
         jobs.main(["no_such_job", "--tables", folder])
 

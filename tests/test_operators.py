@@ -206,10 +206,13 @@ def test_overlap_join_equals_theta(spark):
 
 
 def test_dump_lines(spark):
-    lines = ["", "# c", "   1 PRESSURE", "1 1 69 1 2 3 4 0.0 -5.0 21.0 105.0 500.0", "2 1 70 01 02 03 00 0 0 21.5 105.5 10", "1 1 24 2 30 3 0 0 -1 21 105 5", "1 1 24 2 3 3 0 0 -1 99 105 5", "1 2 3", "2024-03-04 05:06:07 x 21.25 105.75 300", "1 1 24 2 3 3 0 0 x 21 105 5"]
+    lines = ["", "# c", "   1 PRESSURE", "1 1 69 1 2 3 4 0.0 -5.0 21.0 105.0 500.0", "2 1 70 01 02 03 00 0 0 21.5 105.5 10", "1 1 24 2 30 3 0 0 -1 21 105 5", "1 1 24 2 3 3 0 0 -1 99 105 5", "1 2 3", "2024-03-04 05:06:07 x 21.25 105.75 300", "1 1 24 2 3 3 0 0 x 21 105 5", "x 1 24 2 3 3 0 0 -1 21 105 5", "3.9 1 24 2 3 3 0 0.5 -6.7 22 105 5", "2024-01-01 00:00 20 1 1 0 0 0 -6 20.5 105.5 100", "2024-01-02 01:02:03 500 90.5 21.5 105.5"]
     df = spark.createDataFrame([("r", "backward", x) for x in lines], "run_id string, direction string, value string")
-    got = {(r["traj_id"], r["year"], r["age_h"], r["lat"], r["alt_m"]) for r in parse_dump(df).collect()}
-    assert got == {("r_1", 2069, -5, 21.0, 500.0), ("r_2", 1970, 0, 21.5, 10.0), ("r_1", 2024, None, 21.25, 300.0)}
+    rows = parse_dump(df).collect()
+    got = {(r["traj_id"], r["year"], r["age_h"], r["lat"], r["alt_m"]) for r in rows}
+    assert len(rows) == len(got)
+    assert got == {("r-traj1", 2069, -5, 21.0, 500.0), ("r-traj2", 1970, 0, 21.5, 10.0), ("r-traj0", 2024, None, 21.25, 300.0), ("r-traj3", 2024, -7, 22.0, 5.0), ("r-traj0", 2024, None, 20.0, 1.0), ("r-traj0", 2024, None, 21.5, None)}
+    assert {str(r["timestamp"]) for r in rows if r["lat"] == 21.5 and r["traj_no"] == 0} == {"2024-01-02 01:02:03"}
 
 
 def test_paths_keep_their_tails(spark):

@@ -14,7 +14,7 @@ from aerolith.plans.gold import MASTER_COLUMNS, TRAINING_COLUMNS, master, traini
 from aerolith.plans.registry import TABLES, Table, ensure
 from aerolith.plans.silver import aerosol_daily, city_hourly, gradient_hourly, station_hourly, surface_hourly, swath_daily, weather_hourly
 from aerolith.sinks.serving import kafka_rows, key_collisions, last_write_wins, paths_as_lines, sensor_rows, weather_rows
-from aerolith.sinks.upsert import append_new, delete_where, full_refresh, merged, replace_partitions, upsert
+from aerolith.sinks.upsert import append_new, delete_where, empty_table, full_refresh, merged, read_or_none, replace_partitions, upsert
 from aerolith.sources.raster import aod_values, cube_values, read_pixels, swath_values
 from aerolith.sources.readers import csv_table, dump_lines, file_digests, file_inventory, first_available, resolved_files, tolerant, weather_files
 from aerolith.streaming.pipelines import append_to, deduplicated, file_source, flattened, lag_of, parsed, progress, sessions, upsert_to, windowed
@@ -66,6 +66,18 @@ def test_merge_null_keys_and_refresh(spark, tmp_path):
     replace_partitions(spark.createDataFrame([(i, 0) for i in range(6)], "k int, v int"), path)
     full_refresh(spark.createDataFrame([(2, 9), (4, 9)], "k int, v int"), path, "k")
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(0, 0), (1, 0), (2, 9), (4, 9), (5, 0)]
+    path = f"{tmp_path}/days"
+    days = spark.createDataFrame([(h, h // 10, 0) for h in range(50)], "h int, day int, v int")
+    full_refresh(days, path, "h", ["day"])
+    full_refresh(spark.createDataFrame([(12, 1, 9), (33, 3, 9)], "h int, day int, v int"), path, "h", ["day"])
+    assert sorted((r["h"], r["v"]) for r in spark.read.parquet(path).collect()) == [*((h, 0) for h in range(12)), (12, 9), (33, 9), *((h, 0) for h in range(34, 50))]
+    full_refresh(days.where("false"), path, "h", ["day"])
+    assert spark.read.parquet(path).count() == 30
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"no parquet at all")
+    with pytest.raises(Exception, match="(?i)parquet"):  # what cannot be read must not be overwritten
+        upsert(days, f"{tmp_path}/broken", ["h"])
+    assert read_or_none(spark, f"{tmp_path}/none") is None and empty_table(spark, "a int").count() == 0
     spark.range(100).repartition(20).write.parquet(f"{tmp_path}/small")
     report = compact(spark, f"{tmp_path}/small")
     assert report["files_before"] == 20 and report["files_after"] == 1 and spark.read.parquet(f"{tmp_path}/small").count() == 100
