@@ -48,9 +48,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def whole_row(df: DataFrame) -> Column:
-    """All columns in one struct, so that names used inside an operator cannot clash with theirs."""
-    return F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in df.columns))
+def whole_row(df: DataFrame, *but: str) -> Column:
+    """All columns but some in one struct, so that names used inside an operator cannot clash with theirs."""
+    return F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c not in but))
 
 
 def without_keys(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -69,7 +69,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids & ((1 << BITS) - 1), begins, alpha
 
 
-def chunks(texts: list[str], limit: int = 1 << 18, most: int = 4096) -> Iterator[list[str]]:
+def chunks(texts: list[str], limit: int = 1 << 18, most: int = 256) -> Iterator[list[str]]:
     """Runs of at most so many texts of about `limit` characters; a longer text is a run of its own."""
     run, size = [], 0
     for t in texts:
@@ -130,9 +130,11 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         for pdf in batches:
             for run in chunks(list(pdf["text"])):
                 ids, begins, _ = grams(run)
+                seen = np.zeros((len(run), 1 << BITS), bool)
                 owner = np.repeat(np.arange(len(run)), np.diff(begins))
-                seen = np.unique(((owner << BITS) + ids).ravel())  # once in each text
-                df += np.bincount(seen & ((1 << BITS) - 1), minlength=1 << BITS)
+                for order in ids:
+                    seen[owner, order] = True
+                df += seen.sum(0)
                 n += len(run)
         return {"df": df, "n": n}
 

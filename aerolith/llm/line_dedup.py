@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import checkpointed, written
+from aerolith.llm.common import checkpointed, whole_row, written
 
 LINE_END = r"(?<=\n)|(?<=[.!?] )"
 #: The key of a null id, and of this id itself.
@@ -165,10 +165,12 @@ def _deduped(rows: DataFrame, least_words: int, lone_words: int) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = "n_chars", **options) -> DataFrame:
     """`docs` with repeated runs of lines removed from its texts; documents of which nothing is left go.
 
-    `size_col`, if given, becomes the characters of a changed text; all other columns stay as they are.
+    `size_col`, if given, becomes the characters of a changed text; all other columns stay as they are and may have any names.  The
+    rules are those of :func:`dedup_lines`: null and empty texts stay, the first occurrence by id, text and place stays, equal rows get the
+    same result, texts are read whole at any length, and an empty table stays empty.
     """
     columns = docs.columns
-    packed = docs.select(_key(id_col), F.xxhash64(F.col(text_col)).alias("k"), F.col(text_col).cast("string").alias("text"), F.struct(*(c for c in columns if c != text_col)).alias("rest"))
+    packed = docs.select(_key(id_col), F.xxhash64(F.col(text_col)).alias("k"), F.col(text_col).cast("string").alias("text"), whole_row(docs, text_col).alias("rest"))
     out = _deduped(packed, options.get("least_words", 25), options.get("lone_words", 50)).where((F.col("n_removed") == 0) | (F.length(F.trim(F.col("text"), F.lit(" \n\r\t"))) > 0))
     size = F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
     return out.select(*(F.col("text").alias(c) if c == text_col else F.coalesce(size, F.col("rest")[c]).alias(c) if c == size_col else F.col("rest")[c].alias(c) for c in columns))

@@ -139,3 +139,19 @@ def test_equals_all_runs_by_brute_force(spark):
     rows = dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     got = {r["doc_id"]: [x for x in lines(r["text"]) if x.strip()] for r in rows}
     assert got == brute(docs)
+
+
+def test_pairs_of_lines_go_whose_lines_stood_alone_before(spark):
+    """Passages of two lines, whole in two documents, with each line alone in an earlier one: the second copy goes in every case."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    line = lambda n: " ".join(word() for _ in range(n))
+    docs, passages = [], []
+    for i in range(30):
+        a, b = line(30), line(30)
+        passages.append(f"{a}\n{b}")
+        docs += [(100 + 2 * i, f"{line(9)}\n{a}\n{line(9)}"), (101 + 2 * i, f"{line(9)}\n{b}\n{line(9)}")]
+    docs += [(1000 + k * 100 + i, f"{line(40)}\n{p}\n{line(40)}") for k in (0, 1) for i, p in enumerate(passages)]
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert all(p in got[1000 + i] and p not in got[1100 + i] for i, p in enumerate(passages))
+    assert all(got[d] == t for d, t in docs if d < 1000)
