@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aerolith.checks.checks import compact, freshness, maintain, null_ratio_check, reconcile, schema_hash
 from aerolith.ml.cluster import clusters, cost_by_k
-from aerolith.ml.forecast import fit_horizon, importance, predicted, run_record
+from aerolith.ml.forecast import fit_horizon, importance, newest_model, predicted, run_record, train_horizons
 from aerolith.plans.gold import MASTER_COLUMNS, TRAINING_COLUMNS, master, training
 from aerolith.plans.registry import TABLES, Table, ensure
 from aerolith.plans.silver import aerosol_daily, city_hourly, gradient_hourly, station_hourly, surface_hourly, swath_daily, weather_hourly
@@ -225,7 +225,7 @@ def test_ingest_windows(spark, tmp_path):
     assert lag_of({"0": 100, "1": 60_000}, {}) == (0, True) and lag_of({"0": 100, "1": 60_000}, {"0": 90, "1": 1}) == (60_009, False)
 
 
-def test_silver_to_training(spark):
+def test_silver_to_training(spark, tmp_path):
     rng = np.random.default_rng(1)
     rows = []
     for h in range(24 * 12):
@@ -252,6 +252,10 @@ def test_silver_to_training(spark):
     assert ranked.count() == 4 and abs(ranked.agg(F.sum("importance")).first()[0] - 1) < 1e-6
     assert predicted(model, train).count() == train.count()
     assert run_record(spark, "m", 6, errors, "p").first()["test_mae"] > 0
+    registry = train_horizons(train, ["pm25_mean", "hour_of_day"], [6, 12], str(tmp_path), trees=2, depth=2)
+    assert sorted(r["horizon_hours"] for r in registry.collect()) == [6, 12]
+    assert predicted(newest_model(registry, "boosted_trees", 12), train).count() == train.count()
+    assert csv_table(spark, f"{tmp_path}/boosted_trees_6h/importance", "feature string, importance double").count() == 2
 
 
 def test_satellite_and_surface_silver(spark):
