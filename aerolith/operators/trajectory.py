@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.config import Trajectory
@@ -30,27 +30,33 @@ def parse_dump(lines: DataFrame, run: str = "run_id", direction: str = "directio
     """
     text = F.trim(F.col(line), F.lit(" \t\r\n\f\v"))
     rows = lines.where((text != "") & ~text.startswith("#") & ~F.lower(text).rlike(HEADINGS)).select(F.col(run).alias("run_id"), F.col(direction).alias("direction"), F.split(text, r"\s+").alias("__t"))
-    # Numbers and times are made once per line, as arrays; lambdas see them as columns of their own.
-    number = lambda x: F.when(~F.isnan(x.try_cast("double")), x.try_cast("double"))
+
+    def once(**columns: Column) -> DataFrame:
+        """`rows` with more columns, evaluated once a line and not wherever they are used."""
+        return rows.select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
+
+    rows = rows.select("run_id", "direction", F.explode(F.array("__t")).alias("__t"))
     iso = F.get("__t", F.lit(0)).rlike(ISO_DATE) & F.get("__t", F.lit(1)).rlike(ISO_TIME) & (F.size("__t") >= 5)
+    stamp = F.try_to_timestamp(F.concat_ws(" ", F.get("__t", F.lit(0)), F.regexp_extract(F.get("__t", F.lit(1)), ISO_TIME, 1))).cast("timestamp_ntz")
     plain = F.transform(F.filter(F.slice("__t", F.lit(3), F.greatest(F.size("__t") - 2, F.lit(0))), lambda x: x.rlike(PLAIN_NUMBER)), lambda x: x.cast("double"))
-    rows = rows.withColumns({"__n": F.transform(F.slice("__t", 1, 12), number), "__v": F.when(iso, plain)})
-    rows = rows.withColumn("__iso", F.when(iso, F.try_to_timestamp(F.concat_ws(" ", F.get("__t", F.lit(0)), F.regexp_extract(F.get("__t", F.lit(1)), ISO_TIME, 1))).cast("timestamp_ntz")))
-    at = lambda k: F.get("__n", F.lit(FIELDS[k]))
+    numbers = {f"__{k}": F.when(F.size("__t") >= 12, F.get("__t", F.lit(i)).try_cast("double")) for k, i in FIELDS.items()}
+    rows = once(**numbers, __v=F.when(iso, plain), __iso=F.when(iso, stamp))
+    placed = lambda lat, lon: lat.between(-90, 90) & lon.between(-180, 180)
+    pairs = F.transform("__v", lambda x, i: F.struct(x.alias("lat"), F.get("__v", i + 1).alias("lon"), F.get("__v", i + 2).alias("alt_m")))
+    rows = once(__place=F.get(F.filter(pairs, lambda p: placed(p["lat"], p["lon"])), F.lit(0)))
+    at = lambda k: F.nanvl(F.col(f"__{k}"), F.lit(None).cast("double"))
     whole = {k: (F.rint(at(k)) if k in ("forecast_hour", "age_h") else at(k)).cast("int") for k in FIELDS if k not in ("lat", "lon", "alt_m")} | {k: at(k) for k in ("lat", "lon", "alt_m")}
     whole["year"] = dump_year(whole["year"])
     stamp = F.try_make_timestamp_ntz(*(whole[k] for k in ("year", "month", "day", "hour", "minute")), F.lit(0))
-    placed = lambda lat, lon: lat.between(-90, 90) & lon.between(-180, 180)
-    good = (F.size("__t") >= 12) & stamp.isNotNull() & placed(whole["lat"], whole["lon"])
+    good = stamp.isNotNull() & placed(whole["lat"], whole["lon"])
     for c in whole.values():
         good &= c.isNotNull()
     first = F.when(good, F.struct(*(c.alias(k) for k, c in whole.items()), stamp.alias("timestamp")))
-    pair = F.filter(F.transform("__v", lambda x, i: F.struct(x.alias("lat"), F.get("__v", i + 1).alias("lon"), F.get("__v", i + 2).alias("alt_m"))), lambda p: placed(p["lat"], p["lon"]))
     time = F.col("__iso")
     parts = {"traj_no": F.lit(0), "year": F.year(time), "month": F.month(time), "day": F.dayofmonth(time), "hour": F.hour(time), "minute": F.minute(time), "forecast_hour": F.lit(None), "age_h": F.lit(None)}
-    place = {k: F.get(pair, F.lit(0))[k] for k in ("lat", "lon", "alt_m")}
-    second = F.when(time.isNotNull() & (F.size(pair) > 0), F.struct(*(c.cast("int").alias(k) for k, c in parts.items()), *(c.alias(k) for k, c in place.items()), time.alias("timestamp")))
-    points = rows.select("run_id", "direction", F.coalesce(first, second).alias("__p")).where("__p is not null").select("run_id", "direction", "__p.*")
+    place = {k: F.col(f"__place.{k}") for k in ("lat", "lon", "alt_m")}
+    second = F.when(time.isNotNull() & F.col("__place").isNotNull(), F.struct(*(c.cast("int").alias(k) for k, c in parts.items()), *(c.alias(k) for k, c in place.items()), time.alias("timestamp")))
+    points = once(__p=F.coalesce(first, second)).where("__p is not null").select("run_id", "direction", "__p.*")
     return points.withColumn("traj_id", F.concat(F.col("run_id"), F.lit("-traj"), F.col("traj_no").cast("string")))
 
 

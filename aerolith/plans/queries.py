@@ -641,7 +641,7 @@ def split_counts(spark, sf_dir):
     return split_report(time_split(rows, "ts"), "ts", ["v"])
 
 
-@query(f"SELECT event_id, user_id::VARCHAR AS traj_id, user_id % 4 AS cluster_id, round(first(lat) OVER w, 6) AS source_lat FROM (SELECT *, max(CASE WHEN age_h = 0 THEN 1 END) OVER (PARTITION BY user_id) AS started FROM (SELECT event_id, ts, user_id, age_h, lat::DOUBLE AS lat, lon::DOUBLE AS lon FROM ({POINTS} FROM events))) WINDOW w AS (PARTITION BY user_id ORDER BY CASE WHEN age_h = 0 THEN 0 ELSE 1 END, ts, lat, lon)")
+@query(f"SELECT event_id, user_id::VARCHAR AS traj_id, user_id % 4 AS cluster_id, CASE WHEN started = 1 THEN round(first(lat) OVER w, 6) END AS source_lat FROM (SELECT *, max(CASE WHEN age_h = 0 THEN 1 END) OVER (PARTITION BY user_id) AS started FROM (SELECT event_id, ts, user_id, age_h, lat::DOUBLE AS lat, lon::DOUBLE AS lon FROM ({POINTS} FROM events))) WINDOW w AS (PARTITION BY user_id ORDER BY CASE WHEN age_h = 0 THEN 0 ELSE 1 END, ts, lat, lon)")
 def clustered_points(spark, sf_dir):
     points = path_points(spark, sf_dir)
     labels = points.select("traj_id", "direction", (F.col("user_id") % 4).alias("cluster_id")).distinct()
