@@ -111,7 +111,15 @@ def _runs(windows: DataFrame) -> DataFrame:
     # A run inside another one says nothing more.  Of runs with one first line, the longest comes last.
     end = lambda r: r["a"] + r["n"]
     runs = runs.withColumn("out", F.filter("runs", lambda r, i: (i == F.size("runs") - 1) | (F.get("runs", i + 1)["a"] != r["a"])))
-    return runs.select("d", "k", F.inline(F.filter("out", lambda r, i: (i == 0) | (end(r) > end(F.get("out", i - 1))))))
+    runs = runs.withColumn("out", F.filter("out", lambda r, i: (i == 0) | (end(r) > end(F.get("out", i - 1)))))
+    # Nor does a run whose lines the runs before and after it hold between them: near copies of many texts meet in few runs so.
+    kind = runs.schema["out"].dataType.simpleString()
+
+    def cover(kept: Column, r: Column) -> Column:
+        n = F.size(kept)
+        return F.concat(F.when((n >= 2) & (end(F.get(kept, n - 2)) >= r["a"]), F.slice(kept, F.lit(1), n - 1)).otherwise(kept), F.array(r))
+
+    return runs.select("d", "k", F.inline(F.aggregate("out", F.array().cast(kind), cover)))
 
 
 def _words(lines: Column) -> Column:
