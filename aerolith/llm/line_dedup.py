@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from aerolith.llm.common import checkpointed, whole_row, written
 
 LINE_END = r"(?<=\n)|(?<=[.!?] )"
+#: The same places, with the newline or blank taken away; faster, as most places fail at their first character.
+LINE_BREAK = r"[\n ](?<=\n|[.!?] )"
 #: The key of a null id, and of this id itself.
 NO_ID = -(2**63)
 
@@ -24,6 +26,16 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), LINE_END)
 
 
+def _breaks(text: Column) -> Column:
+    """The lines of :func:`_lines`, without the newline or blank that ends them."""
+    return F.split(F.coalesce(text, F.lit("")), LINE_BREAK)
+
+
+def _part(array: Column | str, start: Column, n: Column) -> Column:
+    """`n` entries of an array from place `start` (from 0).  Inside a lambda `slice` copies the whole array first."""
+    return F.transform(F.sequence(start, start + n - 1), lambda i: F.get(array, i))
+
+
 def _bare(lines: Column | str) -> Column:
     return F.transform(lines, lambda x: F.trim(x, F.lit(" \n\r\t")))
 
@@ -35,53 +47,37 @@ def _windows(docs: DataFrame, least_words: int, lone_words: int) -> DataFrame:
     it and lies in the run, the window from the run's first line passes it and lies in the run.
     """
     # What the split leaves after the last line's end is no line.  Blank lines at a run's edge are taken by windows that also hold the blank lines before or after their last line.
-    lines = docs.select("d", "k", _bare(F.filter("lines", lambda x: x != "")).alias("b"))
-    unit = lambda x, i: F.when(x != "", F.struct(i.alias("i"), _words(F.array(x)).alias("w")))
-    lines = lines.select("d", "k", F.transform("b", lambda x: F.xxhash64(x)).alias("h"), F.filter(F.transform("b", unit), lambda u: u.isNotNull()).alias("u"))
-
-    def search(u: Column, j: Column, step: int) -> Column:
-        """The other end of the least window of two lines or more; every line counts one word at least."""
-        y = F.get("u", j + step)
-
-        def reach(most: int) -> Column:
-            """Words and last line of the window after at most so many more lines with words."""
-            if step > 0:
-                rest = F.slice("u", j + 2, F.lit(most))
-            else:
-                low = F.greatest(j - most, F.lit(0))
-                rest = F.reverse(F.slice("u", low + 1, j - low))
-            return F.aggregate(rest, u, lambda s, x: F.when(s["w"] >= least_words, s).otherwise(F.struct(x["i"].alias("i"), (s["w"] + x["w"]).alias("w"))))
-
-        enough = lambda s, other: F.when(s["w"] >= least_words, s["i"]).otherwise(other)
-        far = F.transform(F.array(reach(least_words)), lambda s: enough(s, None))[0]
-        near = F.transform(F.array(reach(5)), lambda s: enough(s, far))[0]
-        return F.when(y.isNull(), None).when(u["w"] + y["w"] >= least_words, y["i"]).otherwise(near)
-
-    def ends(u: Column, j: Column) -> Column:
-        alone = u["w"] >= least_words
-        last = F.size("h") - 1
-        ahead = F.when(u["w"] >= lone_words, u["i"]).when(alone, F.when(u["i"] < last, u["i"] + 1)).otherwise(search(u, j, 1))
-        back = F.when(u["w"] >= lone_words, u["i"]).when(alone, F.when(u["i"] > 0, u["i"] - 1)).otherwise(search(u, j, -1))
-        before = F.when(j > 0, F.get("u", j - 1)["i"] + 1).otherwise(0)
-        after = F.coalesce(F.get("u", j + 1)["i"], last + 1) - 1
-        return F.struct(u["i"].alias("i"), alone.alias("alone"), ahead.alias("ahead"), back.alias("back"), before.alias("before"), after.alias("after"))
-
+    whole = F.when(F.element_at("lines", -1) == "", F.slice("lines", F.lit(1), F.size("lines") - 1)).otherwise(F.col("lines"))
+    lines = docs.select("d", "k", _bare(whole).alias("b"))
+    # The line of each word: so many entries on or back stands the line that so many words reach.
+    line_of = F.flatten(F.transform("b", lambda x, i: F.array_repeat(i, _words(x))))
+    lines = lines.select("d", "k", F.transform("b", lambda x: F.xxhash64(x)).alias("h"), line_of.alias("line_of"))
+    at = lambda p: F.get("line_of", p)
+    last = F.size("h") - 1
     # First and last line in one number, as only numbers are made distinct by hashing.
     span = lambda lo, hi: F.shiftleft(lo.cast("long"), 32) + hi.cast("long")
 
-    def spans(e: Column) -> Column:
+    # The first word of each line with words.
+    first_words = F.filter(F.sequence(F.lit(0), F.size("line_of") - 1), lambda p: ~at(p - 1).eqNullSafe(at(p)))
+    lines = lines.select("d", "k", "h", "line_of", F.when(F.size("line_of") > 0, first_words).otherwise(F.array().cast("array<int>")).alias("starts"))
+
+    def spans(p: Column, j: Column) -> Column:
+        """The windows that go on from the line that starts at word p, and those that go back from it."""
+        q = F.coalesce(F.get("starts", j + 1), F.size("line_of")) - 1
+        i, ahead, back = at(p), at(p + (least_words - 1)), at(q - (least_words - 1))
+        before, after = F.coalesce(at(p - 1) + 1, F.lit(0)), F.coalesce(at(q + 1) - 1, last)
+        lone, alone = q - p >= lone_words - 1, q - p >= least_words - 1
         return F.array(
-            span(e["i"], e["ahead"]),
-            span(e["back"], e["i"]),
-            F.when(e["before"] < e["i"], span(e["before"], F.when(e["alone"], e["i"]).otherwise(e["ahead"]))),
-            F.when(e["after"] > e["i"], span(F.when(e["alone"], e["i"]).otherwise(e["back"]), e["after"])),
+            F.when(lone, span(i, i)).when(~alone, span(i, ahead)).when(i < last, span(i, i + 1)),
+            F.when(~alone, span(back, i)).when(~lone & (i > 0), span(i - 1, i)),
+            F.when(before < i, span(before, ahead)),
+            F.when(after > i, span(back, after)),
         )
 
-    lines = lines.select("d", "k", "h", F.transform("u", ends).alias("e"))
-    lines = lines.select("d", "k", "h", F.array_distinct(F.array_compact(F.flatten(F.transform("e", spans)))).alias("found"))
-    low_bits = lambda s: s.bitwiseAND(F.lit(2**31 - 1))
-    lines = lines.select("d", "k", "h", F.transform("found", lambda s: F.struct(F.shiftright(s, 32).cast("int").alias("a"), (low_bits(s) - F.shiftright(s, 32) + 1).cast("int").alias("n"))).alias("found"))
-    made = F.transform("found", lambda s: F.struct(s["a"].alias("a"), s["n"].alias("n"), F.xxhash64(s["n"], F.slice("h", s["a"] + 1, s["n"])).alias("ch")))
+    lines = lines.select("d", "k", "h", F.array_distinct(F.array_compact(F.flatten(F.transform("starts", spans)))).alias("found"))
+    a = lambda s: F.shiftright(s, 32).cast("int")
+    n = lambda s: (s.bitwiseAND(F.lit(2**31 - 1)) - F.shiftright(s, 32) + 1).cast("int")
+    made = F.transform("found", lambda s: F.struct(a(s).alias("a"), n(s).alias("n"), F.xxhash64(n(s), _part("h", a(s), n(s))).alias("ch")))
     return lines.select("d", "k", F.inline(made))
 
 
@@ -103,7 +99,7 @@ def _runs(windows: DataFrame) -> DataFrame:
 
     def run(i: Column, j: Column) -> Column:
         x = F.get("hits", i)
-        members = F.slice("hits", i + 1, F.coalesce(F.get("heads", j + 1), F.size("hits")) - i)
+        members = _part("hits", i, F.coalesce(F.get("heads", j + 1), F.size("hits")) - i)
         end = F.array_max(F.transform(members, lambda y: y["a"] + y["n"]))
         return F.struct(x["a"].alias("a"), (end - x["a"]).alias("n"), x["kd"].alias("kd"), x["kk"].alias("kk"), (x["a"] - x["off"]).alias("ka"))
 
@@ -122,8 +118,8 @@ def _runs(windows: DataFrame) -> DataFrame:
     return runs.select("d", "k", F.inline(F.aggregate("out", F.array().cast(kind), cover)))
 
 
-def _words(lines: Column) -> Column:
-    return F.size(F.array_remove(F.split(F.array_join(lines, " "), " "), ""))
+def _words(line: Column) -> Column:
+    return F.size(F.array_remove(F.split(line, " "), ""))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 25, lone_words: int = 50) -> DataFrame:
@@ -145,25 +141,25 @@ def _key(id_col: str) -> Column:
 
 def _deduped(rows: DataFrame, least_words: int, lone_words: int) -> DataFrame:
     """`rows` (d, k, text and more) with the text changed, and n_lines, n_removed."""
-    windows = written(_windows(rows.select("d", "k", _lines(F.col("text")).alias("lines")), least_words, lone_words))
+    windows = written(_windows(rows.select("d", "k", _breaks(F.col("text")).alias("lines")), least_words, lone_words))
     runs = checkpointed(_runs(windows))
     # A first occurrence is asked once for each range of lines that is wanted of it.  Both joins with the texts
     # have the same keys, so one shuffle of the texts serves both.
     ranges = runs.groupBy(F.col("kd").alias("d"), F.col("kk").alias("k")).agg(F.collect_set(F.struct("ka", "n")).alias("ranges"))
-    asked = rows.join(ranges.hint("shuffle_hash"), ["d", "k"]).select("d", "k", "ranges", _lines(F.col("text")).alias("f")).withColumn("f", _bare("f"))
+    asked = rows.join(ranges.hint("shuffle_hash"), ["d", "k"]).select("d", "k", "ranges", _bare(_breaks(F.col("text"))).alias("f"))
 
-    same = lambda r: F.struct(r["ka"].alias("ka"), r["n"].alias("n"), F.slice("f", r["ka"] + 1, r["n"]).alias("same"))
+    same = lambda r: F.struct(r["ka"].alias("ka"), r["n"].alias("n"), _part("f", r["ka"], r["n"]).alias("same"))
     slices = asked.select(F.col("d").alias("kd"), F.col("k").alias("kk"), "f", "ranges").select("kd", "kk", F.inline(F.transform("ranges", same)))
     lists = runs.join(slices, ["kd", "kk", "ka", "n"]).groupBy("d", "k").agg(F.collect_set(F.struct("a", "n", "same")).alias("runs"))
     joined = rows.join(lists.hint("shuffle_hash"), ["d", "k"], "left")
-    joined = joined.withColumn("lines", _lines(F.col("text"))).withColumn("b", F.when(F.col("runs").isNotNull(), _bare("lines")))
+    joined = joined.withColumn("lines", F.when(F.col("runs").isNotNull(), _lines(F.col("text")))).withColumn("b", _bare("lines"))
     # As a variable, lest the optimizer put the expression of b into the lambda, to be evaluated for each run.
-    true = F.transform(F.array("b"), lambda b: F.filter("runs", lambda r: F.slice(b, r["a"] + 1, r["n"]) == r["same"]))[0]
+    true = F.transform(F.array("b"), lambda b: F.filter("runs", lambda r: _part(b, r["a"], r["n"]) == r["same"]))[0]
     joined = joined.withColumn("spans", F.transform(true, lambda r: F.struct(r["a"].alias("lo"), (r["a"] + r["n"] - 1).alias("hi"))))
     gone = F.flatten(F.transform("spans", lambda s: F.sequence(s["lo"], s["hi"])))
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone), lambda i: F.get("lines", i))
     joined = joined.withColumn("left", F.when(F.size("spans") > 0, left))
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long")
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.coalesce(F.col("lines"), _breaks(F.col("text"))))).cast("long")
     joined = joined.withColumn("n_lines", n).withColumn("n_removed", F.when(F.col("left").isNull(), 0).otherwise(n - F.size("left")).cast("long"))
     joined = joined.withColumn("text", F.when(F.col("left").isNull(), F.col("text")).otherwise(F.array_join("left", "")))
     # A filter on the new columns must not be pushed below, where it would evaluate their expressions once for each use.
