@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from aerolith.llm.common import checkpointed, whole_row, written
 
 LINE_END = r"(?<=\n)|(?<=[.!?] )"
-#: The same places, with the newline or blank taken away; faster, as most places fail at their first character.
-LINE_BREAK = r"[\n ](?<=\n|[.!?] )"
 #: The key of a null id, and of this id itself.
 NO_ID = -(2**63)
 
@@ -26,9 +24,22 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), LINE_END)
 
 
+def _marked(text: Column) -> Column:
+    """The text with a newline for each blank after a sentence's end; plain replacements are faster than a pattern."""
+    text = F.coalesce(text, F.lit(""))
+    for end in ".!?":
+        text = F.replace(text, F.lit(f"{end} "), F.lit(f"{end}\n"))
+    return text
+
+
 def _breaks(text: Column) -> Column:
     """The lines of :func:`_lines`, without the newline or blank that ends them."""
-    return F.split(F.coalesce(text, F.lit("")), LINE_BREAK)
+    return F.split(_marked(text), "\n")
+
+
+def _count(text: Column) -> Column:
+    """How many lines :func:`_lines` gives."""
+    return F.octet_length(_marked(text)) - F.octet_length(F.replace(_marked(text), F.lit("\n"), F.lit(""))) + 1
 
 
 def _part(array: Column | str, start: Column, n: Column) -> Column:
@@ -50,31 +61,46 @@ def _windows(docs: DataFrame, least_words: int, lone_words: int) -> DataFrame:
     whole = F.when(F.element_at("lines", -1) == "", F.slice("lines", F.lit(1), F.size("lines") - 1)).otherwise(F.col("lines"))
     lines = docs.select("d", "k", _bare(whole).alias("b"))
     # The line of each word: so many entries on or back stands the line that so many words reach.
-    line_of = F.flatten(F.transform("b", lambda x, i: F.array_repeat(i, _words(x))))
+    line_of = F.flatten(F.transform("b", lambda x, i: F.array_repeat(i.cast("long"), _words(x))))
     lines = lines.select("d", "k", F.transform("b", lambda x: F.xxhash64(x)).alias("h"), line_of.alias("line_of"))
     at = lambda p: F.get("line_of", p)
-    last = F.size("h") - 1
     # First and last line in one number, as only numbers are made distinct by hashing.
-    span = lambda lo, hi: F.shiftleft(lo.cast("long"), 32) + hi.cast("long")
-
-    # The first word of each line with words.
-    first_words = F.filter(F.sequence(F.lit(0), F.size("line_of") - 1), lambda p: ~at(p - 1).eqNullSafe(at(p)))
-    lines = lines.select("d", "k", "h", "line_of", F.when(F.size("line_of") > 0, first_words).otherwise(F.array().cast("array<int>")).alias("starts"))
-
-    def spans(p: Column, j: Column) -> Column:
-        """The windows that go on from the line that starts at word p, and those that go back from it."""
-        q = F.coalesce(F.get("starts", j + 1), F.size("line_of")) - 1
-        i, ahead, back = at(p), at(p + (least_words - 1)), at(q - (least_words - 1))
-        before, after = F.coalesce(at(p - 1) + 1, F.lit(0)), F.coalesce(at(q + 1) - 1, last)
-        lone, alone = q - p >= lone_words - 1, q - p >= least_words - 1
-        return F.array(
-            F.when(lone, span(i, i)).when(~alone, span(i, ahead)).when(i < last, span(i, i + 1)),
-            F.when(~alone, span(back, i)).when(~lone & (i > 0), span(i - 1, i)),
-            F.when(before < i, span(before, ahead)),
-            F.when(after > i, span(back, after)),
-        )
-
-    lines = lines.select("d", "k", "h", F.array_distinct(F.array_compact(F.flatten(F.transform("starts", spans)))).alias("found"))
+    span = lambda lo, hi: lo * 2**32 + hi
+
+    # The first and last word of each line with words.
+    none, last = F.array().cast("array<int>"), F.size("h") - 1
+    starts = F.filter(F.sequence(F.lit(0), F.size("line_of") - 1), lambda p: ~at(p - 1).eqNullSafe(at(p)))
+    lines = lines.withColumn("starts", F.when(F.size("line_of") > 0, starts).otherwise(none))
+    lines = lines.withColumn("ends", F.transform("starts", lambda p, j: F.coalesce(F.get("starts", j + 1), F.size("line_of")) - 1))
+
+    # Most lines hold too few words to be a window or half of one; they are told by one comparison.
+    least, lone = least_words - 1, lone_words - 1
+    few = min(least, lone)
+
+    def ahead(p: Column) -> Column:
+        """The window that goes on from the line that starts at word p."""
+        i, j = at(p), at(p + least)
+        alone = F.when(at(p + lone) == i, span(i, i)).when(j == i, F.when(i < last, span(i, i + 1))).otherwise(span(i, j))
+        return F.when(at(p + few) == i, alone).otherwise(span(i, j))
+
+    def back(q: Column) -> Column:
+        """The window that goes back from the line that ends at word q."""
+        i, j = at(q), at(q - least)
+        alone = F.when(~j.eqNullSafe(i), span(j, i)).when(~at(q - lone).eqNullSafe(i) & (i > 0), span(i - 1, i))
+        return F.when(at(q - few) == i, alone).otherwise(span(j, i))
+
+    def after_blanks(p: Column) -> Column:
+        before = F.coalesce(at(p - 1) + 1, F.lit(0))
+        return F.when(before < at(p), span(before, at(p + least)))
+
+    def with_blanks(q: Column) -> Column:
+        after = F.coalesce(at(q + 1) - 1, last)
+        return F.when(after > at(q), span(at(q - least), after))
+
+    blanks = F.concat(F.transform("starts", after_blanks), F.transform("ends", with_blanks))
+    blanks = F.when(F.size("starts") < F.size("h"), blanks).otherwise(F.array().cast("array<bigint>"))
+    found = F.concat(F.transform("starts", ahead), F.transform("ends", back), blanks)
+    lines = lines.select("d", "k", "h", F.array_compact(F.array_distinct(found)).alias("found"))
     a = lambda s: F.shiftright(s, 32).cast("int")
     n = lambda s: (s.bitwiseAND(F.lit(2**31 - 1)) - F.shiftright(s, 32) + 1).cast("int")
     made = F.transform("found", lambda s: F.struct(a(s).alias("a"), n(s).alias("n"), F.xxhash64(n(s), _part("h", a(s), n(s))).alias("ch")))
@@ -119,7 +145,10 @@ def _runs(windows: DataFrame) -> DataFrame:
 
 
 def _words(line: Column) -> Column:
-    return F.size(F.array_remove(F.split(line, " "), ""))
+    """Words between blanks; where no two blanks meet and none is at an edge, one more than blanks."""
+    blanks = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    pieces = F.size(F.array_remove(F.split(line, " "), ""))
+    return F.when((F.instr(line, "  ") > 0) | line.startswith(" ") | line.endswith(" "), pieces).when(line == "", 0).otherwise(blanks + 1)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 25, lone_words: int = 50) -> DataFrame:
@@ -159,7 +188,7 @@ def _deduped(rows: DataFrame, least_words: int, lone_words: int) -> DataFrame:
     gone = F.flatten(F.transform("spans", lambda s: F.sequence(s["lo"], s["hi"])))
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone), lambda i: F.get("lines", i))
     joined = joined.withColumn("left", F.when(F.size("spans") > 0, left))
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.coalesce(F.col("lines"), _breaks(F.col("text"))))).cast("long")
+    n = F.when(F.col("text").isNull(), 0).otherwise(_count(F.col("text"))).cast("long")
     joined = joined.withColumn("n_lines", n).withColumn("n_removed", F.when(F.col("left").isNull(), 0).otherwise(n - F.size("left")).cast("long"))
     joined = joined.withColumn("text", F.when(F.col("left").isNull(), F.col("text")).otherwise(F.array_join("left", "")))
     # A filter on the new columns must not be pushed below, where it would evaluate their expressions once for each use.
