@@ -14,6 +14,7 @@ from aerolith.llm.html_text import extract_text
 from aerolith.llm.language import identify_language
 from aerolith.llm.line_dedup import dedup_lines
 from aerolith.llm.lm_scoring import score_documents
+from aerolith.llm.merkle import verified_manifest
 from aerolith.llm.ngram_join import near_duplicate_groups
 from aerolith.llm.packing import pack_documents
 from aerolith.llm.quality import score_quality
@@ -64,6 +65,10 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paired_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_manifest(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
@@ -94,6 +99,53 @@ SELECT d.doc_id, coalesce(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(o.do
 FROM docs d JOIN reach ON reach.rid = d.rid JOIN docs o ON o.rid = reach.o LEFT JOIN sizes ON sizes.rid = d.rid GROUP BY d.rid, d.doc_id"""
 
 
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR END"
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, a bit at a time: each byte enters with the first of its eight steps."""
+    steps = f"flatten(list_transform(range(1, length({text}) + 1), i -> list_concat([ascii({text}[i])::BIGINT], [0::BIGINT, 0, 0, 0, 0, 0, 0])))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), (a, b) -> xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295)"
+
+
+def _tree(name: str, first: str, depth: int, fanout: int = 16) -> str:
+    """Levels of nodes (g, i, h) from `first`; a tree's last node goes up unchanged, its runs are `name`_r0, `name`_r1, ... (g, i, hs)."""
+    parts, above = [], first
+    for k in range(depth):
+        parts.append(f"{name}_r{k} AS (SELECT g, i // {fanout} AS i, list(h ORDER BY i) AS hs, any_value(n) AS n FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {above}) GROUP BY 1, 2)")
+        parts.append(f"{name}_{k + 1} AS (SELECT g, i, CASE WHEN n = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h FROM {name}_r{k})")
+        above = f"{name}_{k + 1}"
+    return ",\n".join(parts)
+
+
+def _climb(name: str, first: str, fold: str, depth: int, fanout: int = 16) -> str:
+    """From `first` (rid, g, i, proof and the digest `fold`) up the tree: siblings are appended and the digest is folded."""
+    parts, below = [], first
+    for k in range(depth):
+        step = f"{fanout} ** {k}" if k else "1"
+        at = f"((b.i // ({step})::BIGINT) % {fanout})"
+        left, right = f"array_to_string(hs[:{at}], '')", f"array_to_string(hs[{at} + 2:], '')"
+        parts.append(f"{fold}_{k + 1} AS (SELECT b.* EXCLUDE (proof, {fold}), b.proof || {left} || {right} AS proof, CASE WHEN r.n = 1 THEN b.{fold} ELSE sha256({left} || b.{fold} || {right}) END AS {fold} FROM {below} b JOIN {name}_r{k} r ON r.g = b.g AND r.i = b.i // ({fanout} * {step})::BIGINT)")
+        below = f"{fold}_{k + 1}"
+    return ",\n".join(parts)
+
+
+#: Deep enough for 16 ** 5 rows of a source and 16 ** 3 sources.
+OP12_SQL = f"""
+WITH docs AS (SELECT doc_id, coalesce('g' || source, '') AS g, sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', 'text')))}) AS leaf,
+  CASE WHEN {_crc32('(doc_id::VARCHAR)')} % 5 = 0 THEN sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")))}) END AS changed FROM documents),
+leaves AS (SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h FROM docs),
+{_tree('t', '(SELECT g, i, h FROM leaves)', 5)},
+subroots AS (SELECT g AS of, h AS subroot, 0 AS g, row_number() OVER (ORDER BY g) - 1 AS i, h FROM t_5),
+{_tree('u', '(SELECT g, i, h FROM subroots)', 3)},
+start AS (SELECT rid, doc_id, leaf, g, i, coalesce(changed, leaf) AS f, '' AS proof FROM leaves),
+{_climb('t', 'start', 'f', 5)},
+middle AS (SELECT f_5.rid, f_5.doc_id, f_5.leaf, s.subroot, s.g, s.i, f_5.f AS e, f_5.proof FROM f_5 JOIN subroots s ON s.of = f_5.g),
+{_climb('u', 'middle', 'e', 3)}
+SELECT doc_id, leaf, subroot, (SELECT h FROM u_3) AS root, sha256(proof) AS proof_sha256, e AS folded_root, e = (SELECT h FROM u_3) AS verified FROM e_3"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The queries that SQL can express; the others are held against plain Python, round trips or held-out rows in tests."""
-    return {"op3_benchmark_decontamination": OP3_SQL, "op4_ngram_jaccard_join": OP4_SQL}
+    return {"op3_benchmark_decontamination": OP3_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op12_merkle_manifest": OP12_SQL}
