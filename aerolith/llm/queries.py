@@ -105,8 +105,8 @@ def _field(value: str) -> str:
 
 def _crc32(text: str) -> str:
     """Unsigned crc32 of an ASCII text, a bit at a time: each byte enters with the first of its eight steps."""
-    steps = f"flatten(list_transform(range(1, length({text}) + 1), i -> list_concat([ascii({text}[i])::BIGINT], [0::BIGINT, 0, 0, 0, 0, 0, 0])))"
-    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), (a, b) -> xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295)"
+    steps = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: list_concat([ascii({text}[i])::BIGINT], [0::BIGINT, 0, 0, 0, 0, 0, 0])))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295)"
 
 
 def _tree(name: str, first: str, depth: int, fanout: int = 16) -> str:
