@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aerolith.llm.common import read_table
 from aerolith.llm.decontamination import contamination
+from aerolith.llm.embeddings import near_vectors
 from aerolith.llm.fingerprints import paired_fingerprints
 from aerolith.llm.html_text import extract_text
 from aerolith.llm.language import identify_language
@@ -19,6 +20,7 @@ from aerolith.llm.ngram_join import near_duplicate_groups
 from aerolith.llm.packing import pack_documents
 from aerolith.llm.quality import score_quality
 from aerolith.llm.sharding import shard_documents
+from aerolith.llm.spelling import spelling_variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,10 +67,18 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paired_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(read_table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
@@ -104,8 +114,9 @@ def _field(value: str) -> str:
 
 
 def _crc32(text: str) -> str:
-    """Unsigned crc32 of an ASCII text, a bit at a time: each byte enters with the first of its eight steps."""
-    steps = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: list_concat([ascii({text}[i])::BIGINT], [0::BIGINT, 0, 0, 0, 0, 0, 0])))"
+    """Unsigned crc32 of a text of codes below 256, a bit at a time: each byte enters with the first of its eight steps."""
+    c, rest = f"unicode({text}[i])::BIGINT", "0, 0, 0, 0, 0, 0, 0"
+    steps = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: CASE WHEN {c} < 128 THEN [{c}, {rest}] ELSE [195, {rest}, {c} - 64, {rest}] END))"
     return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295)"
 
 
@@ -145,7 +156,28 @@ middle AS (SELECT f_5.rid, f_5.doc_id, f_5.leaf, s.subroot, s.g, s.i, f_5.f AS e
 {_climb('u', 'middle', 'e', 3)}
 SELECT doc_id, leaf, subroot, (SELECT h FROM u_3) AS root, sha256(proof) AS proof_sha256, e AS folded_root, e = (SELECT h FROM u_3) AS verified FROM e_3"""
 
+OP11_SQL = rf"""
+WITH RECURSIVE found AS (SELECT doc_id, unnest(regexp_extract_all({LOWERED}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+counted AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS named, run, count(*) AS c FROM found WHERE length(run) >= 5 GROUP BY 1, 2),
+hashed AS (SELECT run, c, {_crc32('named')} AS h FROM counted),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM (SELECT CASE WHEN h % 97 = 0 THEN run[:(h % length(run))::INT] || run[(h % length(run))::INT + 2:] ELSE run END AS word, c FROM hashed) WHERE length(word) >= 5 GROUP BY 1 HAVING sum(c) >= 3),
+cut AS (SELECT word, i, word[:i] || word[i + 2:] AS r FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.r = b.r AND a.i = b.i AND a.word != b.word UNION SELECT word, r FROM cut JOIN (SELECT word AS r FROM words) USING (r) UNION SELECT r, word FROM cut JOIN (SELECT word AS r FROM words) USING (r)),
+best AS (SELECT near.word, count(*) AS n_near, list(struct_pack(m := -o.n, w := near.other) ORDER BY -o.n, near.other)[1] AS b FROM near JOIN words o ON o.word = near.other GROUP BY 1),
+forms AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= 2 * n THEN b.w END AS form, CASE WHEN -b.m >= 2 * n THEN -b.m END AS form_n FROM words LEFT JOIN best USING (word)),
+path AS (SELECT word, word AS here, 0 AS k FROM forms UNION ALL SELECT path.word, forms.form, k + 1 FROM path JOIN forms ON forms.word = path.here WHERE forms.form IS NOT NULL),
+roots AS (SELECT word, arg_max(here, k) AS root FROM path GROUP BY 1)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
+
+OP13_SQL = """
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS rid, * FROM embeddings),
+good AS (SELECT rid, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM rows WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+links AS (SELECT a.rid AS a, b.rid AS b FROM good a JOIN good b ON a.label = b.label AND a.rid != b.rid AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT rid, rid AS o FROM rows UNION SELECT reach.rid, links.b FROM reach JOIN links ON links.a = reach.o),
+least AS (SELECT reach.rid, min(o.vec_id) AS component_id FROM reach JOIN rows o ON o.rid = reach.o GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = rows.rid) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM rows JOIN least USING (rid)"""
+
 
 def oracle_sql() -> dict[str, str]:
     """The queries that SQL can express; the others are held against plain Python, round trips or held-out rows in tests."""
-    return {"op3_benchmark_decontamination": OP3_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op12_merkle_manifest": OP12_SQL}
+    return {"op3_benchmark_decontamination": OP3_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op11_spelling_variants": OP11_SQL, "op12_merkle_manifest": OP12_SQL, "op13_embedding_near_dedup": OP13_SQL}
