@@ -32,18 +32,6 @@ def filled_from(a: DataFrame, b: DataFrame, key_a: str, key_b: str, columns: Seq
     return joined.select(*(F.coalesce(c, f"__{c}").alias(c) if c in columns else c for c in a.columns))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, start: str, end: str, other_start: str, other_end: str, span_days: int = 31) -> DataFrame:
-    """Pairs of rows whose intervals meet, found by time slots of `span_days` that both sides touch.
-
-    A pair meets in several slots; it is kept in that of the later start, so each pair comes once.
-    """
-    slot = lambda c: F.floor(F.unix_date(F.col(c).cast("date")) / span_days)
-    left = a.withColumn("__slot", F.explode(F.sequence(slot(start), slot(end))))
-    right = b.withColumn("__slot", F.explode(F.sequence(slot(other_start), slot(other_end))))
-    meet = (F.col(end) >= F.col(other_start)) & (F.col(start) <= F.col(other_end)) & (F.greatest(slot(start), slot(other_start)) == F.col("__slot"))
-    return left.join(right, "__slot").where(meet).drop("__slot")
-
-
 def planned_runs(starts: DataFrame, init: str, direction: str, settings: Runs = Runs(), center: Center = Center()) -> DataFrame:
     """One run per start, latitude offset, longitude offset and altitude, with its id and signed duration."""
     back = direction == "backward"

@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.shared import staged
+
 
 def hour_grid(df: DataFrame, hour: str = "hour", by: Sequence[str] = ()) -> DataFrame:
     """Every hour from the first to the last (of each `by`); nothing is collected."""
@@ -69,23 +71,36 @@ def feature_columns(value: str, prefix: str, lags: Sequence[int], windows: Seque
     return out | {f"{prefix}_next_{n}h": lead_of(value, n) for n in horizons}
 
 
-def ranked(df: DataFrame, order: str, rank: str = "rank", total: str = "total") -> DataFrame:
-    """Add each row's number from 1 and the count of rows, by a time column without a window over all rows.
+def ranked(df: DataFrame, order: str | Sequence[str], rank: str = "rank", total: str = "total", ties: Sequence[str] = ()) -> DataFrame:
+    """Add each row's number from 1 and the count of rows, in the order of `order` and then `ties`, without a window over all rows.
 
-    Days are counted first; their running sum (one row per day) gives each day's first number.
+    Rows are dealt out by ranges of the order and sorted within them; each row's place in its task and the rows of the
+    tasks before it make its number.  Rows that are equal in all of these are told apart by a hash of the whole row and, if that is equal, by where they were read, so
+    many rows of one time, or of equal values, still make even tasks.  The sorted rows are staged, as numbers that are computed twice would differ.  The driver
+    learns one count for each task.  An empty table has no rows.
     """
-    day = F.date_trunc("day", order)
-    counts = df.groupBy(day.alias("__day")).agg(F.count("*").alias("__n"))
-    sums = counts.select("__day", (F.sum("__n").over(Window.orderBy("__day")) - F.col("__n")).alias("__before"), F.sum("__n").over(Window.partitionBy()).alias(total))
-    own = F.row_number().over(Window.partitionBy("__day").orderBy(order))
-    rows = df.withColumn("__day", day).withColumn("__own", own)
-    return rows.join(sums, rows["__day"].eqNullSafe(sums["__day"])).drop(sums["__day"]).withColumn(rank, F.col("__own") + F.col("__before")).drop("__day", "__own", "__before")
-
-
-def time_split(df: DataFrame, order: str, train: float = 0.70, validation: float = 0.85, out: str = "split") -> DataFrame:
-    """train, validation and test by position in time: the share of rows before a row decides."""
+    keys = [order] if isinstance(order, str) else list(order)
+    tie = [F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)).alias("__hash"), F.monotonically_increasing_id().alias("__read")]
+    dealt = [*keys, *ties, "__hash", "__read"]
+    rows = df.select("*", *tie).repartitionByRange(*dealt).sortWithinPartitions(*dealt)
+    rows = staged(rows.withColumn("__place", F.monotonically_increasing_id()).drop("__hash", "__read"), "ranked")
+    task = F.shiftright("__place", 33)
+    counts = sorted((r["task"], r["n"]) for r in rows.groupBy(task.alias("task")).agg(F.count("*").alias("n")).collect())
+    sums, before = [], 0
+    for k, n in counts:
+        sums.append((k, before, before + n))
+        before += n
+    # One row a task.
+    known = F.broadcast(rows.sparkSession.createDataFrame([(k, lo) for k, lo, _ in sums], "__task long, __before long"))
+    own = F.col("__place").bitwiseAND(F.lit(2**33 - 1)) + 1
+    out = rows.withColumn("__task", task).join(known, "__task").withColumn(rank, own + F.col("__before")).withColumn(total, F.lit(before).cast("long"))
+    return out.drop("__task", "__before", "__place")
+
+
+def time_split(df: DataFrame, order: str, train: float = 0.70, validation: float = 0.85, out: str = "split", ties: Sequence[str] = ()) -> DataFrame:
+    """train, validation and test by position in time (of equal times, in `ties`): the share of rows before a row decides."""
     share = (F.col("__rank") - 1) / F.col("__total")
-    rows = ranked(df, order, "__rank", "__total")
+    rows = ranked(df, order, "__rank", "__total", ties)
     return rows.withColumn(out, F.when(share < train, "train").when(share < validation, "validation").otherwise("test")).drop("__rank", "__total")
 
 

@@ -10,39 +10,107 @@ from pyspark.sql import functions as F
 from aerolith.config import BBox, Center
 from aerolith.functions.geo import degrees_between, inverse_distance
 from aerolith.operators.quality import finite, in_box
+from aerolith.shared import staged
 
 
-def nearest_within(points: DataFrame, pixels: DataFrame, lat: str, lon: str, pixel_lat: str, pixel_lon: str, on: Sequence[str], radius: float, values: Sequence[str], key: Sequence[str], steps: int = 8) -> DataFrame:
+#: Pixels of a cell that is not cut any further, and how often a cell of the radius' width may be cut in four.
+LEAF, DEPTH = 128, 8
+#: Lanes that rows of one cell are dealt out to before its count is known.
+LANES = 32
+
+
+def _up(cell: str, level: Column | str, depth: int) -> Column:
+    """The cell of a level that holds a cell of the last level (level 0 is as wide as the radius)."""
+    return F.call_function("shiftright", F.col(cell), (F.lit(depth) - level).cast("int"))
+
+
+def quadtree(cells: DataFrame, on: Sequence[str], leaf: int, depth: int) -> DataFrame:
+    """Columns on, __l (level), __a, __b (cell), __n: the leaves of each group's tree, cut by the counts (on, __a, __b, __n) of cells of the last level.
+
+    A cell is a leaf if it holds at most `leaf` pixels or is of the last level, and the cell around it is no leaf.
+    """
+    levels = cells.select(*on, F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("__l"), "__a", "__b", "__n")
+    counts = levels.groupBy(*on, "__l", _up("__a", F.col("__l"), depth).alias("__a"), _up("__b", F.col("__l"), depth).alias("__b")).agg(F.sum("__n").alias("__n"))
+    # A cell and its three neighbours in the cell around them.
+    around = F.sum("__n").over(Window.partitionBy(*on, "__l", F.shiftright("__a", 1), F.shiftright("__b", 1)))
+    whole = (F.col("__n") <= leaf) | (F.col("__l") == depth)
+    return counts.withColumn("__around", around).where(whole & ((F.col("__l") == 0) | (F.col("__around") > leaf))).drop("__around")
+
+
+def nearest_within(points: DataFrame, pixels: DataFrame, lat: str, lon: str, pixel_lat: str, pixel_lon: str, on: Sequence[str], radius: float, values: Sequence[str], key: Sequence[str], leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
     """For each distinct (key, place) of `points` and each group of `on`, the nearest pixel within the radius.
 
-    A point asks its own and the eight cells around it: first cells of a `steps`-th of the radius, which settles it where a
-    pixel is that near, then, if none is, cells as wide as the radius.  So a dense group compares a point with its close surroundings
-    alone.  Equal distances go to the smallest pixel place, then values.
+    Cells as wide as the radius are cut in four, and again, where a group has more than `leaf` pixels.  A point asks the leaf that it stands in; the distance that it finds there
+    (the radius, if none) is the reach of its second question, to the other leaves within it.  So a point sees a few leaves however dense its
+    surroundings are.  A leaf of the last level that still holds more is dealt out in lanes of about `leaf` pixels.  Points and pixels are staged and read once.  Equal
+    distances go to the smallest pixel place, then values.  Null places and those that are not finite have no neighbour; null groups match nothing.
     Columns: key, place of the point, on, dist_deg, values; points without a pixel are left out.
     """
     shared = [c for c in on if c in points.columns]
-    held = pixels.select(*on, F.col(pixel_lat).alias("__lat"), F.col(pixel_lon).alias("__lon"), *values)
+    width = radius / 2**depth
+    cell = lambda c: F.floor(F.col(c) / width).cast("long")
+    held = pixels.select(*on, F.col(pixel_lat).cast("double").alias("__lat"), F.col(pixel_lon).cast("double").alias("__lon"), *values).where(finite(F.col("__lat")) & finite(F.col("__lon")))
+    lane = F.pmod(F.xxhash64("__lat", "__lon", *values, F.monotonically_increasing_id()), F.lit(LANES)).cast("int")
+    held = staged(held.withColumns({"__i": cell("__lat"), "__j": cell("__lon"), "__lane": lane}), "pixels")
     asks = points.select(*key, lat, lon, *shared).distinct()
     if len(shared) < len(on):
-        groups = held.select(*on).distinct()
         if not shared:
             raise ValueError(f"points must have one of the columns {', '.join(on)}")
-        asks = asks.join(groups, shared)
+        asks = asks.join(held.select(*on).distinct(), shared)
     target = list(dict.fromkeys([*key, lat, lon, *on]))
-
-    def best(asked: DataFrame, width: float) -> DataFrame:
-        cell = lambda c: F.floor(F.col(c) / width)
-        around = lambda c: F.explode(F.array(*(cell(c) + i for i in (-1, 0, 1))))
-        sides = asked.withColumn("__i", around(lat)).withColumn("__j", around(lon))
-        near = sides.join(held.withColumns({"__i": cell("__lat"), "__j": cell("__lon")}), [*on, "__i", "__j"])
-        near = near.withColumn("dist_deg", degrees_between(F.col(lat), F.col(lon), F.col("__lat"), F.col("__lon"))).where(F.col("dist_deg") <= width)
-        return near.groupBy(*target).agg(F.min(F.struct("dist_deg", "__lat", "__lon", *values)).alias("__best"))
-
-    settled = best(asks, radius / steps)
-    done = settled.select(*(F.col(c).alias(f"__{i}") for i, c in enumerate(target)))
-    rest = asks.join(done, [F.col(c).eqNullSafe(F.col(f"__{i}")) for i, c in enumerate(target)], "left_anti")
-    found = settled.unionByName(best(rest, radius))
-    return found.select(*target, "__best.dist_deg", *(f"__best.{v}" for v in values))
+    asks = asks.where(finite(F.col(lat)) & finite(F.col(lon))).withColumns({"__i": cell(lat), "__j": cell(lon)})
+    asks = staged(asks.withColumn("__id", F.monotonically_increasing_id()), "asks")
+
+    # Counts by lane, so that a cell with most of the pixels is no hot key, here and in the join that tells pixels their leaf.
+    lanes = staged(held.groupBy(*on, "__i", "__j", "__lane").agg(F.count("*").alias("__n")), "lanes")
+    leaves = staged(quadtree(lanes.select(*on, F.col("__i").alias("__a"), F.col("__j").alias("__b"), "__n"), on, leaf, depth), "leaves")
+    levels = F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("__l")
+    at_levels = lambda df, *columns: df.select(*columns, "__i", "__j", levels).withColumns({"__a": _up("__i", F.col("__l"), depth), "__b": _up("__j", F.col("__l"), depth)})
+    place = [*on, "__l", "__a", "__b"]
+    cells = at_levels(lanes, *on, "__lane").join(leaves, place)
+    parts = F.greatest(F.ceil(F.col("__n") / leaf), F.lit(1)).cast("int")
+    stored = held.join(cells.select(*on, "__i", "__j", "__lane", "__l", "__a", "__b", parts.alias("__parts")), [*on, "__i", "__j", "__lane"])
+    part = F.pmod(F.xxhash64("__lat", "__lon", *values, F.lit(1)), F.col("__parts"))
+    stored = staged(stored.select(*place, part.cast("int").alias("__part"), "__lat", "__lon", *values), "stored")
+
+    def best(asked: DataFrame) -> DataFrame:
+        """The best pixel of the leaves that are asked: `__id`, place of the leaf, its count n, and the point."""
+        each = asked.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        near = each.join(stored, [*place, "__part"])
+        near = near.withColumn("dist_deg", degrees_between(F.col("__y"), F.col("__x"), F.col("__lat"), F.col("__lon"))).where(F.col("dist_deg") <= radius)
+        return near.groupBy("__id").agg(F.min(F.struct("dist_deg", "__lat", "__lon", *values)).alias("__best"))
+
+    named = asks.select("__id", *on, F.col(lat).cast("double").alias("__y"), F.col(lon).cast("double").alias("__x"), "__i", "__j")
+    first = staged(best(at_levels(named, "__id", *on, "__y", "__x").join(leaves, place)), "first")
+
+    # The second question: the cells of a level at least twice as wide as the reach, four at most, and the leaves in them or around them.
+    reach = F.coalesce("__best.dist_deg", F.lit(float(radius))) * (1 + 1e-9) + 1e-12
+    asked = named.join(first, "__id", "left").withColumn("__reach", reach)
+    wide = F.greatest(F.lit(0), F.least(F.lit(depth), F.floor(F.log2(F.lit(float(radius)) / (2 * F.col("__reach")))).cast("int")))
+    asked = asked.withColumn("__wide", wide)
+    span = lambda c: F.sequence(*(_floor_at(F.col(c) + s * F.col("__reach"), width, F.col("__wide"), depth) for s in (-1, 1)))
+    asked = asked.withColumn("__ci", F.explode(span("__y"))).withColumn("__cj", F.explode(span("__x")))
+    below = leaves.select(*place, "__n", F.explode(F.sequence(F.lit(0), "__l")).alias("__wide"))
+    step = lambda c, to: F.call_function("shiftright", F.col(c), (F.col("__l") - to).cast("int"))
+    below = below.withColumns({"__ci": step("__a", F.col("__wide")), "__cj": step("__b", F.col("__wide"))})
+    inner = asked.join(below, [*on, "__wide", "__ci", "__cj"])
+    outer = asked.where("__wide > 0").withColumn("__l", F.explode(F.sequence(F.lit(0), F.col("__wide") - 1)))
+    up = lambda c: F.call_function("shiftright", F.col(c), (F.col("__wide") - F.col("__l")).cast("int"))
+    outer = outer.withColumns({"__a": up("__ci"), "__b": up("__cj")}).join(leaves, place)
+    columns = ["__id", *place, "__n", "__y", "__x", "__reach"]
+    more = inner.select(*columns).unionByName(outer.select(*columns)).distinct()
+    side = F.lit(width) * F.pow(F.lit(2.0), F.lit(depth) - F.col("__l"))
+    gap = lambda c, k: F.greatest(F.lit(0.0), F.col(k) * side - F.col(c), F.col(c) - (F.col(k) + 1) * side)
+    own = (_floor_at(F.col("__y"), width, F.col("__l"), depth) == F.col("__a")) & (_floor_at(F.col("__x"), width, F.col("__l"), depth) == F.col("__b"))
+    near = (gap("__y", "__a") <= F.col("__reach")) & (gap("__x", "__b") <= F.col("__reach"))
+    second = best(more.where(near & ~own))
+    found = first.unionByName(second).groupBy("__id").agg(F.min("__best").alias("__best"))
+    return asks.join(found, "__id").select(*target, "__best.dist_deg", *(f"__best.{v}" for v in values))
+
+
+def _floor_at(x: Column, width: float, level: Column, depth: int) -> Column:
+    """The number of the cell of a level that a coordinate lies in; through the last level, as the tree's cells are."""
+    return F.call_function("shiftright", F.floor(x / width).cast("long"), (F.lit(depth) - level).cast("int"))
 
 
 def idw_gradient(df: DataFrame, group: str, lat: str, lon: str, value: str, station: str, sensor: str, center: Center = Center(), offset: float = 0.25, k: int = 3, least: int = 3) -> DataFrame:

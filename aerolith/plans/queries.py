@@ -18,13 +18,15 @@ from aerolith.functions import calendar_columns, celsius, coverage_pct, guarded_
 from aerolith.ml.cluster import cluster_points, clusters
 from aerolith.operators.asof import asof_join
 from aerolith.operators.dedup import duplicate_count, insert_new, latest_per_key, newest
-from aerolith.operators.joins import filled_from, left_chain, null_safe_join, overlap_join, planned_runs
+from aerolith.operators.intervals import overlap_join
+from aerolith.operators.joins import filled_from, left_chain, null_safe_join, planned_runs
 from aerolith.operators.quality import bbox_filter, clear_bits, date_range, months_between, name_or_box, null_out_of_range, parameter_filter, qa_threshold, quality_filter, threshold_hours, where_sql
 from aerolith.operators.series import densify, feature_columns, gap_lag, hour_grid, lag_of, latest_record, over_hours, rolling, time_split
 from aerolith.operators.spatial import grid_means, idw_gradient, nearest_within, plume_grid
 from aerolith.operators.stats import aggregated, daily_of_files, merged_bands, mode_per_key, non_null_counts, ordered_counts, percent_of_total, pivot_max, pivot_mean, pixel_stats, quality_report, region_average, regression_errors, series_stats
 from aerolith.operators.trajectory import anchors, hourly_features, matched_pixels, parse_dump, path_features
 from aerolith.plans.gold import master, training
+from aerolith.shared import shared_folder
 from aerolith.sinks.serving import features, key_collisions, last_write_wins
 from aerolith.streaming.pipelines import append_to, parsed, sessions, windowed
 from aerolith.sinks.upsert import merged
@@ -472,23 +474,10 @@ def station_sessions(spark, sf_dir):
     return out.select("user_id", "started", "events", "total")
 
 
-def _shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors share; a machine's own will do for a local master alone."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="aerolith-stream-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 @query("SELECT event_id, ts, event_type, (props->>'$.k')::BIGINT AS k, year(ts)::INT AS year FROM events")
 def stream_to_table(spark, sf_dir):
     """JSON parsed and appended by a stream that ends with what is there."""
-    folder = _shared_folder(spark, "append")
+    folder = shared_folder(spark, "append")
     stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parque[t]")
     rows = stream.select("event_id", "ts", "event_type", F.from_json("props", "k BIGINT").getField("k").alias("k"), F.year("ts").alias("year"))
     append_to(rows, f"{folder}/out", f"{folder}/state").awaitTermination()

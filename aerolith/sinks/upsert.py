@@ -42,8 +42,19 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequ
     """Merge `source` into the table at `path`; only the partitions of source rows are read and rewritten.
 
     A key that the source repeats is an error, as in MERGE.  A key must not move between partitions (partition columns
-    are part of it or follow from it).
+    are part of it or follow from it).  The source is computed once, into a table beside the target, from which it is checked and merged.
     """
+    spark = source.sparkSession
+    folder = f"{path.rstrip('/')}__source_{uuid.uuid4().hex}"
+    source.write.parquet(folder)
+    try:
+        _upsert(spark.read.schema(source.schema).parquet(folder), path, keys, partition_by, null_safe)
+    finally:
+        place, files = _files(spark, folder)
+        files.delete(place, True)
+
+
+def _upsert(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str], null_safe: bool) -> None:
     spark = source.sparkSession
     if keys and not repeated_keys(source, keys, null_safe).isEmpty():
         raise ValueError(f"the source repeats a key of {', '.join(keys)}")

@@ -12,7 +12,8 @@ from aerolith.config import BBox, Center, Quality, Runs, Settings, truthy
 from aerolith.functions import alias_product, at_utc, iso_time, run_id, safe_id, sinusoidal_tile, tile_name_parts, wind_direction
 from aerolith.operators.asof import asof_join
 from aerolith.operators.dedup import duplicate_count, insert_new, latest_per_key, newest
-from aerolith.operators.joins import covered_runs, forward_starts, overlap_join, planned_runs
+from aerolith.operators.intervals import overlap_join
+from aerolith.operators.joins import covered_runs, forward_starts, planned_runs
 from aerolith.operators.quality import clear_bits, date_range, good_pixels, name_or_box, null_out_of_range, quality_filter
 from aerolith.operators.series import day_list, densify, lag_of, month_list, over_hours, rolling, time_split
 from aerolith.operators.spatial import grid_means, idw_gradient, in_polygon, nearest_within
