@@ -137,7 +137,7 @@ def attempted(rows: DataFrame, argv: Sequence[str], schema: StructType | str, ke
         return pa.RecordBatch.from_arrays(columns, [*keys, *names, "status", "error", "seconds", "attempt"])
 
     held = {f.name: f for f in rows.schema}
-    result = StructType([*(held[k] for k in keys), *shape.fields]).add("status", "string").add("error", "string").add("seconds", "double").add("attempt", "int")
+    result = StructType([*(held[k] for k in keys), *shape.fields]).add("status", "string").add("error", "string").add("seconds", "double").add("attempt", "integer")
     return rows.mapInArrow(run, result)
 
 

@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from aerolith.sinks.upsert import upsert
 from aerolith.streaming.pipelines import triggered
@@ -49,7 +49,7 @@ class LatestRow(StatefulProcessor):
         due = best["__ms"] + self.keep_ms
         self.latest.update((due, *(best[c] for c in self.order)))
         self.handle.registerTimer(due)
-        yield Row(*(best[f.name] for f in self.schema))
+        yield Row(**{f.name: best[f.name] for f in self.schema})
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         self.latest.clear()
@@ -65,13 +65,15 @@ def latest_changes(stream: DataFrame, keys: Sequence[str], time: str, order: Seq
     `time` is the event time (TIMESTAMP) of the watermark, `order` the columns whose greatest values make the latest row (nulls are smallest), the time first as a rule.  Rows with a null key or time
     are dropped.  A row that comes after its key's state was dropped counts as new, so `late` and `keep_ms` must cover how late rows of a key come.  An equal row changes nothing.
     """
-    columns = stream.columns
-    rows = stream.withWatermark(time, late).where(F.col(time).isNotNull())
+    rows = stream.where(F.col(time).isNotNull())
     for k in keys:
         rows = rows.where(F.col(k).isNotNull())
-    rows = rows.withColumn("__ms", F.unix_millis(time))
-    out = rows.groupBy(*keys).transformWithState(LatestRow(stream.schema, order, keep_ms), stream.schema, "Update", "EventTime")
-    return out.select(*columns)
+    # Times cross to Python as microseconds, whatever its zone; one more copy carries the watermark.
+    clocks = {f.name for f in stream.schema if isinstance(f.dataType, TimestampType)}
+    rows = rows.select(*(F.unix_micros(c).alias(c) if c in clocks else c for c in stream.columns), F.unix_millis(time).alias("__ms"), F.col(time).alias("__time")).withWatermark("__time", late)
+    shape = StructType([StructField(f.name, LongType() if f.name in clocks else f.dataType) for f in stream.schema])
+    out = rows.groupBy(*keys).transformWithState(LatestRow(shape, order, keep_ms), shape, "Update", "EventTime")
+    return out.select(*(F.timestamp_micros(c).alias(c) if c in clocks else c for c in stream.columns))
 
 
 def upsert_changes(changes: DataFrame, path: str, checkpoint: str, keys: Sequence[str], partition_by: Sequence[str] = (), once: bool = True, interval: str = "30 seconds") -> StreamingQuery:
