@@ -53,3 +53,11 @@ def _scaled(features: list[str]) -> list:
         VectorAssembler(inputCols=filled, outputCol="__raw"),
         StandardScaler(inputCol="__raw", outputCol="__scaled", withMean=True, withStd=True),
     ]
+
+
+def scaled(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """`df` with its features as the clusters see them: missing ones are the mean, then each is centred and divided by its sample deviation."""
+    from pyspark.ml.functions import vector_to_array
+
+    out = Pipeline(stages=_scaled(list(features))).fit(df).transform(df)
+    return out.withColumns({c: vector_to_array("__scaled")[i] for i, c in enumerate(features)}).drop("__raw", "__scaled", *(f"__{c}" for c in features))

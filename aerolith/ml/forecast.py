@@ -13,12 +13,20 @@ from pyspark.sql import functions as F
 from aerolith.operators.stats import regression_errors
 
 
+def category_stages(categories: Sequence[str]) -> list:
+    """Stages that turn each category into a one-hot vector `__name`, by falling frequency; unknown ones have a place of their own."""
+    return [
+        stage
+        for c in categories
+        for stage in (StringIndexer(inputCol=c, outputCol=f"__{c}_index", handleInvalid="keep"), OneHotEncoder(inputCol=f"__{c}_index", outputCol=f"__{c}", handleInvalid="keep"))
+    ]
+
+
 def forecaster(features: Sequence[str], target: str, categories: Sequence[str] = (), trees: int = 300, rate: float = 0.05, depth: int = 5, seed: int = 42) -> Pipeline:
     """Numbers are imputed by mean; categories are indexed (unknown ones kept as their own) and one-hot encoded."""
     numbers = [c for c in features if c not in categories]
     stages = [Imputer(strategy="mean", inputCols=numbers, outputCols=[f"__{c}" for c in numbers])]
-    for c in categories:
-        stages += [StringIndexer(inputCol=c, outputCol=f"__{c}_index", handleInvalid="keep"), OneHotEncoder(inputCol=f"__{c}_index", outputCol=f"__{c}", handleInvalid="keep")]
+    stages += category_stages(categories)
     stages += [
         VectorAssembler(inputCols=[f"__{c}" for c in [*numbers, *categories]], outputCol="__features"),
         GBTRegressor(featuresCol="__features", labelCol=target, predictionCol="prediction", maxIter=trees, stepSize=rate, maxDepth=depth, subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=seed),

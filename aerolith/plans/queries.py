@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.checks.checks import cluster_report, freshness, null_ratio_check, reconcile, repeated_predictions, schema_hash, split_report
+from aerolith.checks.checks import cluster_report, freshness, null_ratio_check, reconcile, repeated_predictions, split_report
 from aerolith.config import BBox, Center, Quality, Runs
 from aerolith.functions import calendar_columns, celsius, coverage_pct, guarded_ratio, label_of, millimetres, normalized_name, safe_id, wind_direction, wind_speed
 from aerolith.ml.cluster import cluster_points, clusters
@@ -534,11 +534,6 @@ def cluster_shares(spark, sf_dir):
     return rounded(cluster_report(table(spark, sf_dir, "events"), "event_type"), "share")
 
 
-@query("SELECT sha256('hour:timestamp;value:double') AS schema_hash")
-def feature_schema_hash(spark, sf_dir):
-    return spark.range(1).select(schema_hash([("hour", "timestamp"), ("value", "double")]).alias("schema_hash"))
-
-
 @query("SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier UNION ALL (SELECT c_nationkey FROM customer INTERSECT SELECT s_nationkey FROM supplier) UNION ALL (SELECT n_nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier)")
 def set_operations(spark, sf_dir):
     c, s, n = (table(spark, sf_dir, t).select(F.col(k).alias("k")) for t, k in (("customer", "c_nationkey"), ("supplier", "s_nationkey"), ("nation", "n_nationkey")))

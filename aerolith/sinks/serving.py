@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.operators.dedup import latest_per_key, newest
+from aerolith.operators.series import ranked
 
 #: Keys of the serving tables, the partition's part first.
 WEATHER_KEY = ["province", "day", "event_time"]
@@ -55,3 +56,28 @@ def paths_as_lines(df: DataFrame, traj: str, order: str, lat: str, lon: str) ->
 def kafka_rows(df: DataFrame, key: str | Column = "event_id") -> DataFrame:
     """Key and JSON value of each row, as `write.format("kafka")` takes them."""
     return df.select((F.col(key) if isinstance(key, str) else key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+
+
+def publish(df: DataFrame, kind: str = "kafka", key: str | Column = "event_id", mode: str = "append", **options: str) -> None:
+    """Write each row as key and JSON value by a connector (for Kafka the options are kafka.bootstrap.servers and topic); rows without a key are an error."""
+    rows = kafka_rows(df, key)
+    checked = rows.select(F.when(F.col("key").isNull(), F.raise_error(F.lit("a row without a key cannot be published"))).otherwise(F.col("key")).alias("key"), "value")
+    checked.write.format(kind).options(**options).mode(mode).save()
+
+
+def collection(df: DataFrame, path: str, order: Sequence[str]) -> None:
+    """Write features (column value and `order`) as one GeoJSON collection: text files that, one after the other by name, are its JSON.
+
+    Lines are numbered in order over all tasks, so commas stand between features and the frame at both ends, and no task holds more than its range.
+    """
+    rows = ranked(df.select(*order, "value"), list(order))
+    comma = F.when(F.col("rank") < F.col("total"), F.lit(",")).otherwise(F.lit("]}"))
+    start = F.when(F.col("rank") == 1, F.lit('{"type":"FeatureCollection","features":[')).otherwise(F.lit(""))
+    lines = rows.select("rank", F.concat(start, F.col("value"), comma).alias("value"))
+    lines.repartitionByRange("rank").sortWithinPartitions("rank").select("value").write.mode("overwrite").text(path)
+
+
+def csv_export(df: DataFrame, path: str, time_columns: Sequence[str] = ()) -> None:
+    """CSV with a header, quotes doubled within quotes, and ISO times; nulls are empty fields."""
+    iso = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") for c in time_columns}
+    df.withColumns(iso).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", '""').option("nullValue", "").csv(path)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from aerolith.functions.text import normalized_name
 from aerolith.functions.times import tile_name_parts
+from aerolith.operators.dedup import latest_per_key, newest
 
 #: First bytes of the file formats, and the shape of a day's weather file.
 MAGIC = {"hdf5": "894844460D0A1A0A", "hdf4": "0E031301", "netcdf3": "434446"}
@@ -42,9 +46,9 @@ def dump_lines(spark: SparkSession, runs: DataFrame, path: str) -> DataFrame:
     return lines.withColumn("__name", name(F.col("__path"))).join(keyed, "__name").select("run_id", "direction", "value")
 
 
-def csv_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with a header and a given schema: nothing is inferred, bad fields are null."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+def csv_table(spark: SparkSession, path: str, schema: StructType | str, escape: str = "\\") -> DataFrame:
+    """CSV with a header and a given schema: nothing is inferred, bad fields are null.  `escape` stands before a quote within quotes: a quote itself where they are doubled."""
+    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("escape", escape).csv(path)
 
 
 def json_table(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False) -> DataFrame:
@@ -52,17 +56,57 @@ def json_table(spark: SparkSession, path: str, schema: StructType | str, multi_l
 
 
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*", head: bool = True) -> DataFrame:
-    """Path, name, size, time, format by first bytes, and the parts of granule names of all files below `path`."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    """Path, name, size, time, format by first bytes, and the parts of granule names of all files below `path`.
+
+    Spark lists the files without their content; a task opens each file for its first eight bytes alone (through Arrow's file systems), unless `head` is off.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", "length", "modificationTime")
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    start = F.hex(F.substring("content", 1, 8)) if head else F.lit(None).cast("string")
+
+    def first_bytes(paths: pd.Series) -> pd.Series:
+        out = []
+        for p in paths:
+            store, place = pafs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", p))
+            with store.open_input_stream(place) as f:
+                out.append(f.read(8).hex().upper())
+        return pd.Series(out, dtype=str)
+
+    start = F.pandas_udf(first_bytes, "string")("path") if head else F.lit(None).cast("string")
     kind = F.lit("unknown")
     for k, prefix in MAGIC.items():
-        kind = F.when(start.startswith(prefix), k).otherwise(kind)
-    out = files.select("path", name.alias("name"), F.col("length").alias("bytes"), "modificationTime", kind.alias("format"))
+        kind = F.when(F.col("__start").startswith(prefix), k).otherwise(kind)
+    out = files.withColumn("__start", start).select("path", name.alias("name"), F.col("length").alias("bytes"), "modificationTime", kind.alias("format"))
     return out.select("*", *(c.alias(k) for k, c in tile_name_parts(F.col("name")).items()))
 
 
+def tile_sums(inventory: DataFrame) -> DataFrame:
+    """By product and tile of an inventory: files, bytes, first and last day, and files that are of no known format."""
+    known = inventory.where(F.col("tile").isNotNull())
+    return known.groupBy("short_name", "tile").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.min("acquisition_date").alias("first_date"), F.max("acquisition_date").alias("last_date"), F.count_if(F.col("format") == "unknown").alias("unknown"))
+
+
+def newest_items(items: DataFrame, product: str, time: str, item: str) -> DataFrame:
+    """Of each product the newest item, of equal times that of the greatest id; items without a product or time do not count."""
+    return latest_per_key(items.where(F.col(product).isNotNull() & F.col(time).isNotNull()), [product], newest(time, item))
+
+
+def union_groups(groups: Sequence[DataFrame | None], key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows of all groups of sources that are there, by name; missing columns are null, and of rows with equal keys the newest in `order` stays."""
+    there = [g for g in groups if g is not None]
+    if not there:
+        raise ValueError("no group of sources is there")
+    whole = there[0]
+    for g in there[1:]:
+        whole = whole.unionByName(g, allowMissingColumns=True)
+    return latest_per_key(whole, list(key), newest(*order))
+
+
+def serving_table(spark: SparkSession, kind: str, schema: StructType | str | None = None, **options: str) -> DataFrame:
+    """A table of a serving store by its connector's format name, with the schema given, if it is, so that nothing is inferred."""
+    reader = spark.read.format(kind).options(**options)
+    return (reader.schema(schema) if schema is not None else reader).load()
+
+
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))

@@ -99,3 +99,12 @@ def lag_of(latest: dict[str, int], committed: dict[str, int], most: int = 50_000
     """Records behind over all partitions, and whether that is tolerable; no committed offset yet is tolerable."""
     behind = sum(max(0, end - committed.get(p, end)) for p, end in latest.items())
     return behind, not committed or behind <= most
+
+
+def lag_rows(latest: DataFrame, committed: DataFrame, by: Sequence[str] = ("topic",), most: int = 50_000) -> DataFrame:
+    """By topic the records behind over all partitions (columns partition and offset on both sides), and whether that is tolerable, by the rules of :func:`lag_of`."""
+    keys = [*by, "partition"]
+    both = latest.join(committed.select(*keys, F.col("offset").alias("__done")), keys, "left")
+    behind = F.sum(F.greatest(F.lit(0), F.col("offset") - F.coalesce("__done", "offset")))
+    out = both.groupBy(*by).agg(behind.alias("behind"), F.count("__done").alias("__known"))
+    return out.select(*by, "behind", ((F.col("__known") == 0) | (F.col("behind") <= most)).alias("ok"))
