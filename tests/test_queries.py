@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from aerolith.plans import source_queries, table_queries  # noqa: F401  they register their queries
+from aerolith.plans import gold_queries, source_queries, table_queries  # noqa: F401  they register their queries
 from aerolith.plans.queries import ORACLES, QUERIES
 from tests.conftest import SF
 
