@@ -3,7 +3,7 @@
 A sketch keeps every shingle hash below a fixed fraction of the hash range and nothing else.  So sketches of parts merge to the
 sketch of the whole, and the shares of two sketches estimate likeness and containment of texts of very unequal lengths.
 A text of n distinct shingles has an empty sketch with the chance (1 - fraction) ** n; an empty sketch says nothing of its text, and is
-alike to an empty one alone.
+like nothing else; only texts that are known to be equal are alike then.
 """
 
 from __future__ import annotations
@@ -32,11 +32,15 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.union1d(a, b)
 
 
-def compare(a: np.ndarray, b: np.ndarray) -> tuple[float, float, float]:
-    """Estimated Jaccard likeness, containment of a in b, of b in a; two empty sketches are alike, an empty and another are not."""
+def compare(a: np.ndarray, b: np.ndarray, equal: bool = False) -> tuple[float, float, float]:
+    """Estimated Jaccard likeness, containment of a in b, of b in a.
+
+    `equal` says that the texts are known to have the same shingles: then all are 1.  Otherwise an empty sketch, which says nothing, has 0 with any other, also an empty one.
+    """
+    if equal:
+        return 1.0, 1.0, 1.0
     if not len(a) or not len(b):
-        same = float(len(a) == len(b))
-        return same, same, same
+        return 0.0, 0.0, 0.0
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both / (len(a) + len(b) - both), both / len(a), both / len(b)
 
@@ -90,7 +94,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return pd.Series([[{"block": int(b), "tail": False}] + ([{"block": int((b - 1) % len(bounds)), "tail": True}] if f else []) for b, f in zip(block, first, strict=True)])
 
     routed = slim.select("key", "doc_id", "text", F.explode(routes("key")).alias("to")).select("key", "doc_id", "text", "to.*")
-    return routed.repartition("block").sortWithinPartitions("block", "tail", "key", "text")
+    # Four blocks for each partition, one after the other, so that no task gets many by chance.
+    return routed.repartitionById(max(1, -(-len(bounds) // 4)), F.floor(F.col("block") / 4).cast("int")).sortWithinPartitions("block", "tail", "key", "text")
 
 
 def paired_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, fraction: float = FRACTION) -> DataFrame:
@@ -100,8 +105,9 @@ def paired_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     The edited text has its last half (rounded down, in code points) replaced by as many first code points of the
     next document by id, or all that it has; the last document's next is the first.  A null text is empty; null ids
-    come first; rows of equal id follow in order of their text.  A lone document is its own next.  An empty
-    table gives no rows; other columns are ignored.
+    come first; rows of equal id follow in order of their text.  A lone document is its own next.  Equal texts have likeness 1; other texts have 0
+    where one of the sketches is empty, as those of some texts of few shingles are.  Texts of any length are read whole.  An empty
+    table gives no rows; other columns of any names are ignored.
     """
     spark_cols = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "in_edited", "in_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
@@ -125,7 +131,7 @@ def paired_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         n = len(last[1])
                         new = last[1][: n - n // 2] + texts[i][: n // 2]
                         edited.append(new)
-                        pairs.append((last[2], own[i]))
+                        pairs.append((last[2], own[i], new == last[1], texts[i] == last[1]))
                         out.append((last[0], n, hashlib.sha256(new.encode()).hexdigest()))
                     if tails[i]:
                         done, last = blocks[i], None
@@ -133,7 +139,7 @@ def paired_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         last = (ids[i], texts[i], own[i], blocks[i])
                 if out:
                     new = [sketch(s, fraction) for s in shingle_sets(pa.array(edited, pa.string()), k)]
-                    rest = [(encode(a), encode(e), *(compare(a, x)[i] for i in (0, 1) for x in (e, b))) for (a, b), e in zip(pairs, new, strict=True)]
+                    rest = [(encode(a), encode(e), *(compare(a, x, same)[i] for i in (0, 1) for x, same in ((e, as_edited), (b, as_next)))) for (a, b, as_edited, as_next), e in zip(pairs, new, strict=True)]
                     columns = zip(*((*x, *y) for x, y in zip(out, rest, strict=True)), strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], spark_cols)
 
