@@ -39,20 +39,42 @@ PLAIN_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header login masthead menu "
     "modal nav navbar navigation newsletter notice notices popup promo recommended related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words that say where such a part stands or of what kind it is, and so change nothing about it; words of an article's own parts.
+NEUTRAL_WORDS = frozenset(
+    "area bar block bottom box column container content fixed global group holder inner item items left links list main mobile outer page panel part post posts primary right row secondary section side site slot sticky top "
+    "unit wrap wrapper zone".split()
+)
+OWN_WORDS = frozenset("article body entry prose story".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PLAIN_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 #: Where a line stands: in what the markup declares no text, elsewhere, in an article.
 DECLARED, ELSEWHERE, ARTICLE = 0, 1, 2
 _SAFE = frozenset(["html", "body", "main"])
 
 
+def _names_plain(value: str) -> bool:
+    """Whether a class or id names a part that holds no text of the article.
+
+    One of its names must be made of plain words, neutral ones beside them at most, so `comment-list` and `ad slot` do but `related-work` and `share-price` do not; and
+    none may be made of an article's own words.
+    """
+    found = False
+    for name in value.split():
+        words = set(re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", " ", name).lower())) - {""}
+        if words & OWN_WORDS:
+            return False
+        found |= bool(words & PLAIN_WORDS) and words <= PLAIN_WORDS | NEUTRAL_WORDS
+    return found
+
+
 def _is_plain(tag: str, rest: str, inside: bool) -> bool:
     if tag in PLAIN_TAGS and not (tag == "header" and inside):  # an article's own header holds its headline
         return True
-    if tag in _SAFE or not rest.strip(" /\n\t\r"):
+    if tag in _SAFE or tag in HEADINGS or not rest.strip(" /\n\t\r"):
         return False
     for m in ATTRIBUTE.finditer(rest):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id") and not PLAIN_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value)) or name == "role" and value in PLAIN_ROLES:
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name in ("class", "id") and _names_plain(value) or name == "role" and value.lower() in PLAIN_ROLES:
             return True
     return False
 
@@ -64,6 +86,7 @@ def page_lines(html: str) -> list[tuple[str, int]]:
     out: list[tuple[str, int]] = []
     held: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, plain, container
+    opened: dict[str, int] = {}  # how often each tag stands there, so that an end without a start costs nothing
     plain = inside = 0
     where = ELSEWHERE
 
@@ -91,23 +114,26 @@ def page_lines(html: str) -> list[tuple[str, int]]:
         if tag in BLOCKS:
             close()
         if m["end"]:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), -1)
-            if k >= 0:
+            if opened.get(tag):
+                k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag)
                 changed = any(p or c for _, p, c in stack[k:])
                 if changed:
                     close()
-                for _, p, c in stack[k:]:
+                for t, p, c in stack[k:]:
                     plain, inside = plain - p, inside - c
+                    opened[t] -= 1
                 del stack[k:]
         elif tag not in VOID:
             if tag in BLOCKS and stack and stack[-1][0] == "p":  # a paragraph ends where a block begins
                 plain -= stack.pop()[1]
+                opened["p"] -= 1
             p, c = _is_plain(tag, m["rest"], inside > 0), tag in CONTAINERS
             if p or c:
                 close()
             if (p or c or tag in BLOCKS) and not m["rest"].endswith("/"):
                 if tag != "p" or p:
                     stack.append((tag, p, c))
+                    opened[tag] = opened.get(tag, 0) + 1
                 plain, inside = plain + (p and (tag != "p" or p)), inside + c
     if at < len(html):
         if not held:

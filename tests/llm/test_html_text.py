@@ -28,6 +28,23 @@ def test_declared_parts_go():
     assert texts("<article><math>a = b</math><p hidden>h</article>") == ["a = b", "h"]
 
 
+def test_articles_keep_parts_with_like_names():
+    html = (
+        '<article><h2 id="related-work">Related work</h2><section id="social-history"><p>Body</p></section><p class="share-price">Shares rose</p><div class="banner-image article-body"><p>All of it</p></div>'
+        '<h3 class="comments">On comments</h3><div class="commentList">reader</div><div class="ad-slot top">buy</div><div id="cookie-notice">ok</div><ul class="related-posts"><li>more</ul></article>'
+    )
+    assert texts(html, ARTICLE) == ["Related work", "Body", "Shares rose", "All of it", "On comments"]
+
+
+def test_floods_of_end_tags():
+    import time
+
+    began = time.perf_counter()
+    assert texts("<div>" * 100_000 + "x" + "</p>" * 100_000 + "y") == ["x", "y"] and time.perf_counter() - began < 5
+    assert texts("<nav><div>" * 3 + "menu" + "</nav>" * 3 + "text</div></section>after") == ["menu", "text", "after"]
+    assert texts("<p class=ad>x<div>y</p>z", ELSEWHERE) == ["y", "z"]
+
+
 def test_what_decides():
     assert kept_lines([DECLARED, ELSEWHERE, ARTICLE, ARTICLE, ELSEWHERE], {0, 2, 4}) == [1, 2, 3]
     assert kept_lines([DECLARED, ELSEWHERE, ELSEWHERE], {0, 1, 2}) == [1, 2]  # a copy
