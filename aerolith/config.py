@@ -1,4 +1,7 @@
-"""Settings as frozen dataclasses; every leaf can be overridden from a nested mapping."""
+"""Settings as frozen dataclasses; every leaf can be overridden from a nested mapping.
+
+Fixed values: the defaults of all settings here.
+"""
 
 from __future__ import annotations
 

@@ -18,13 +18,14 @@ from aerolith.operators.stats import mode_per_key
 HEADINGS = "press|trajectory|meteorology|job id"
 FIELDS = {"traj_no": 0, "year": 2, "month": 3, "day": 4, "hour": 5, "minute": 6, "forecast_hour": 7, "age_h": 8, "lat": 9, "lon": 10, "alt_m": 11}
 #: Date and time of a line without the numbers' places, and a number of such a line.
+NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?(nan|inf|infinity)$"
 ISO_DATE, ISO_TIME, PLAIN_NUMBER = r"^\d{4}-\d{2}-\d{2}$", r"^(\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)(?:Z|[+-]\d{2}:\d{2})?$", r"^-?\d+(\.\d+)?$"
 
 
 def parse_dump(lines: DataFrame, run: str = "run_id", direction: str = "direction", line: str = "value") -> DataFrame:
     """Points of dump lines, without Python: 12 tokens or more, else an ISO time with latitude, longitude, altitude.
 
-    A line gives one point at most.  Blank lines, comments, headings, and lines with a bad number, date or place are dropped.  Whole
+    A line gives one point at most.  Blank lines, comments, headings, and lines with a bad number, date or place are dropped; an altitude may be NaN.  Whole
     numbers lose what follows the point, but hours are rounded, halves to the even.  A line of the second form takes the first two
     neighbouring numbers that are a place; it has no age, and the number 0.
     """
@@ -39,13 +40,15 @@ def parse_dump(lines: DataFrame, run: str = "run_id", direction: str = "directio
     iso = F.get("__t", F.lit(0)).rlike(ISO_DATE) & F.get("__t", F.lit(1)).rlike(ISO_TIME) & (F.size("__t") >= 5)
     stamp = F.try_to_timestamp(F.concat_ws(" ", F.get("__t", F.lit(0)), F.regexp_extract(F.get("__t", F.lit(1)), ISO_TIME, 1))).cast("timestamp_ntz")
     plain = F.transform(F.filter(F.slice("__t", F.lit(3), F.greatest(F.size("__t") - 2, F.lit(0))), lambda x: x.rlike(PLAIN_NUMBER)), lambda x: x.cast("double"))
-    numbers = {f"__{k}": F.when(F.size("__t") >= 12, F.get("__t", F.lit(i)).try_cast("double")) for k, i in FIELDS.items()}
+    # By their pattern, as a cast also takes numbers with a type's letter.
+    number = lambda x: F.when(x.rlike(NUMBER), x.try_cast("double"))
+    numbers = {f"__{k}": F.when(F.size("__t") >= 12, number(F.get("__t", F.lit(i)))) for k, i in FIELDS.items()}
     rows = once(**numbers, __v=F.when(iso, plain), __iso=F.when(iso, stamp))
     placed = lambda lat, lon: lat.between(-90, 90) & lon.between(-180, 180)
     pairs = F.transform("__v", lambda x, i: F.struct(x.alias("lat"), F.get("__v", i + 1).alias("lon"), F.get("__v", i + 2).alias("alt_m")))
     rows = once(__place=F.get(F.filter(pairs, lambda p: placed(p["lat"], p["lon"])), F.lit(0)))
     at = lambda k: F.nanvl(F.col(f"__{k}"), F.lit(None).cast("double"))
-    whole = {k: (F.rint(at(k)) if k in ("forecast_hour", "age_h") else at(k)).cast("int") for k in FIELDS if k not in ("lat", "lon", "alt_m")} | {k: at(k) for k in ("lat", "lon", "alt_m")}
+    whole = {k: (F.rint(at(k)) if k in ("forecast_hour", "age_h") else at(k)).cast("int") for k in FIELDS if k not in ("lat", "lon", "alt_m")} | {"lat": at("lat"), "lon": at("lon"), "alt_m": F.col("__alt_m")}
     whole["year"] = dump_year(whole["year"])
     stamp = F.try_make_timestamp_ntz(*(whole[k] for k in ("year", "month", "day", "hour", "minute")), F.lit(0))
     good = stamp.isNotNull() & placed(whole["lat"], whole["lon"])

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from aerolith.plans.gold import MASTER_COLUMNS, TRAINING_COLUMNS
 
+#: Columns that tables share.
 DAILY, MONTHLY = ("year", "month", "day"), ("year", "month")
 PARTS = "year INT, month INT, day INT"
 AUDIT = "source STRING, ingest_time TIMESTAMP, spark_processed_at TIMESTAMP"
@@ -35,6 +36,7 @@ def _t(name: str, columns: str, keys: str = "", partition_by: tuple[str, ...] =
     return Table(name, columns, tuple(keys.split()), partition_by)
 
 
+#: Columns, types, keys and partitions of the tables.
 TABLES: dict[str, Table] = {
     t.name: t
     for t in (

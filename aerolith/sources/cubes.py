@@ -19,7 +19,7 @@ from typing import Any, Protocol
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType
 
@@ -324,3 +324,9 @@ def cube_source(decode: Callable[[Any], Cube] = NpzCube, name: str = "cubes") ->
 def register_cubes(spark: SparkSession, decode: Callable[[Any], Cube] = NpzCube, name: str = "cubes") -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(cube_source(decode, name))
+
+
+def cubes(spark: SparkSession, path: str, variables: Mapping[str, Sequence[str]], decode: Callable[[Any], Cube] = NpzCube, name: str = "cubes") -> DataFrame:
+    """The cubes below `path` as rows, by output names and their aliases."""
+    register_cubes(spark, decode, name)
+    return spark.read.format(name).option("path", path).option("variables", json.dumps({k: list(v) for k, v in variables.items()})).load()

@@ -216,6 +216,13 @@ def test_dump_lines(spark):
     assert {str(r["timestamp"]) for r in rows if r["lat"] == 21.5 and r["traj_no"] == 0} == {"2024-01-02 01:02:03"}
 
 
+def test_dump_numbers_are_plain(spark):
+    """Numbers with a type's letter are none; an altitude may be NaN, a place may not."""
+    lines = ["1 1 24 2 3 3 0 0 -1 20.5d 105 5", "2 1 24 2 3 3 0 0 -1 20.5 105.5f 5", "3 1 24 2 3 3 0 0 -1 20 105 nan", "4 1 24 2 3 3 0 0 -1 nan 105 5", "5 1 24 2 3 3 0 0 -1 2.05e1 +105. .5", "6 1 24 2 3 3 0 0 nan 20 105 5", "7 1 24 2 3 3 0 0 -1 20 105 0x1"]
+    rows = parse_dump(spark.createDataFrame([("r", "backward", x) for x in lines], "run_id string, direction string, value string")).orderBy("traj_no").collect()
+    assert [(r["traj_no"], r["lat"]) for r in rows] == [(3, 20.0), (5, 20.5)] and math.isnan(rows[0]["alt_m"]) and rows[1]["alt_m"] == 0.5
+
+
 def test_paths_keep_their_tails(spark):
     rows = [("t", a, T0 + timedelta(hours=a), 21.0, 105.8, "backward") for a in range(0, -73, -6)] + [("u", -6, T0, 1.0, 1.0, "backward")]
     points = spark.createDataFrame(rows, "traj_id string, age_h int, timestamp timestamp_ntz, lat double, lon double, direction string")
