@@ -14,9 +14,9 @@ from aerolith.shared import staged
 
 
 #: Pixels of a cell that is not cut any further, and how often a cell of the radius' width may be cut in four.
-LEAF, DEPTH = 128, 8
+LEAF, DEPTH = 16, 6
 #: Lanes that rows of one cell are dealt out to before its count is known.
-LANES = 32
+LANES = 8
 
 
 def _up(cell: str, level: Column | str, depth: int) -> Column:
@@ -78,14 +78,20 @@ def nearest_within(points: DataFrame, pixels: DataFrame, lat: str, lon: str, pix
         each = asked.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
         near = each.join(stored, [*place, "__part"])
         near = near.withColumn("dist_deg", degrees_between(F.col("__y"), F.col("__x"), F.col("__lat"), F.col("__lon"))).where(F.col("dist_deg") <= radius)
-        return near.groupBy("__id").agg(F.min(F.struct("dist_deg", "__lat", "__lon", *values)).alias("__best"))
+        found = near.groupBy("__id").agg(F.min(F.struct("dist_deg", "__lat", "__lon", *values)).alias("__best"), F.first(F.struct("__l", "__a", "__b")).alias("__leaf"))
+        return found.select("__id", "__best", "__leaf")
 
     named = asks.select("__id", *on, F.col(lat).cast("double").alias("__y"), F.col(lon).cast("double").alias("__x"), "__i", "__j")
     first = staged(best(at_levels(named, "__id", *on, "__y", "__x").join(leaves, place)), "first")
 
     # The second question: the cells of a level at least twice as wide as the reach, four at most, and the leaves in them or around them.
     reach = F.coalesce("__best.dist_deg", F.lit(float(radius))) * (1 + 1e-9) + 1e-12
+    side = F.lit(width) * F.pow(F.lit(2.0), F.lit(depth) - F.col("__l"))
     asked = named.join(first, "__id", "left").withColumn("__reach", reach)
+    # Whose reach ends within the leaf that was asked is done.
+    leaf_side = F.lit(width) * F.pow(F.lit(2.0), F.lit(depth) - F.col("__leaf.__l"))
+    within = lambda c, k: (F.col(c) - F.col(f"__leaf.{k}") * leaf_side > F.col("__reach")) & ((F.col(f"__leaf.{k}") + 1) * leaf_side - F.col(c) > F.col("__reach"))
+    asked = asked.where(~F.coalesce(within("__y", "__a") & within("__x", "__b"), F.lit(False)))
     wide = F.greatest(F.lit(0), F.least(F.lit(depth), F.floor(F.log2(F.lit(float(radius)) / (2 * F.col("__reach")))).cast("int")))
     asked = asked.withColumn("__wide", wide)
     span = lambda c: F.sequence(*(_floor_at(F.col(c) + s * F.col("__reach"), width, F.col("__wide"), depth) for s in (-1, 1)))
@@ -99,12 +105,11 @@ def nearest_within(points: DataFrame, pixels: DataFrame, lat: str, lon: str, pix
     outer = outer.withColumns({"__a": up("__ci"), "__b": up("__cj")}).join(leaves, place)
     columns = ["__id", *place, "__n", "__y", "__x", "__reach"]
     more = inner.select(*columns).unionByName(outer.select(*columns)).distinct()
-    side = F.lit(width) * F.pow(F.lit(2.0), F.lit(depth) - F.col("__l"))
     gap = lambda c, k: F.greatest(F.lit(0.0), F.col(k) * side - F.col(c), F.col(c) - (F.col(k) + 1) * side)
     own = (_floor_at(F.col("__y"), width, F.col("__l"), depth) == F.col("__a")) & (_floor_at(F.col("__x"), width, F.col("__l"), depth) == F.col("__b"))
     near = (gap("__y", "__a") <= F.col("__reach")) & (gap("__x", "__b") <= F.col("__reach"))
     second = best(more.where(near & ~own))
-    found = first.unionByName(second).groupBy("__id").agg(F.min("__best").alias("__best"))
+    found = first.select("__id", "__best").unionByName(second.select("__id", "__best")).groupBy("__id").agg(F.min("__best").alias("__best"))
     return asks.join(found, "__id").select(*target, "__best.dist_deg", *(f"__best.{v}" for v in values))
 
 

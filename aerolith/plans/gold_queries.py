@@ -64,7 +64,9 @@ CALENDAR |= {f"{n}_{f}": f"{f}(2 * pi() * {x} / {p})" for n, x, p in (("hour", "
 
 
 def _sql() -> str:
-    sides = [f"{k} AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS hour, {', '.join(f'{sql} AS {c}' for c, sql in columns.items())} FROM events WHERE event_type = '{k}' GROUP BY 1)".replace("path_no2_mean", "traj_path_no2_mean").replace("path_aer_mean", "traj_path_aer_mean").replace("path_no2_aer_ratio", "traj_path_no2_aer_ratio").replace("source_l", "traj_source_l") for k, columns in SIDES.items()]
+    # The master row names the trajectory's columns so.
+    named = lambda c: f"traj_{c}" if c.startswith(("source_", "path_")) else c
+    sides = [f"{k} AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS hour, {', '.join(f'{sql} AS {named(c)}' for c, sql in columns.items())} FROM events WHERE event_type = '{k}' GROUP BY 1)" for k, columns in SIDES.items()]
     usable = "s.date < grid.hour::DATE OR (s.date = grid.hour::DATE AND s.seen <= grid.hour)"
     swath = [f"s5p_{i} AS (SELECT grid.hour, v AS v{i}, pct AS pct{i} FROM grid LEFT JOIN (SELECT ts::DATE AS date, min(ts) AS seen, avg(value) AS v, avg(event_id) AS pct FROM events WHERE event_id % 5 = {i} GROUP BY 1) s ON {usable} QUALIFY row_number() OVER (PARTITION BY grid.hour ORDER BY s.date DESC NULLS LAST) = 1)" for i in range(5)]
     aerosol = ", ".join(f"{sql} AS {c.replace('valid_pct', 'aod_valid_pct')}" for c, sql in AEROSOL.items())
