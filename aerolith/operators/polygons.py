@@ -16,9 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
+from aerolith.shared import staged
+
 #: Rings of a polygon: arrays of corners, the last joined with the first.
 RINGS = "array<array<struct<lat: double, lon: double>>>"
 EDGES = ArrayType(ArrayType(DoubleType()))
+#: Cells times edges of a row that are looked at together.
+AT_ONCE = 1 << 16
 
 
 def edges_of(rings: list) -> np.ndarray:
@@ -32,16 +36,17 @@ def edges_of(rings: list) -> np.ndarray:
     return np.array(out, float).reshape(-1, 4)
 
 
-def crossings(edges: np.ndarray, lat: float, lon: float) -> int:
-    """Edges that the ray from a place to the east crosses; an edge counts from its lower end up to, but without, its upper end."""
+def crossings(edges: np.ndarray, lat: float, lon: np.ndarray) -> np.ndarray:
+    """Edges that the rays from places of one latitude to the east cross; an edge counts from its lower end up to, but without, its upper end."""
     y1, x1, y2, x2 = edges.T
     spans = (y1 > lat) != (y2 > lat)
-    return int((spans & (lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1)).sum())
+    return (spans & (lon[:, None] < (x2 - x1) * (lat - y1) / (y2 - y1) + x1)).sum(1)
 
 
-def touched(edges: np.ndarray, low: float, left: float, side: float) -> np.ndarray:
-    """Which edges may meet a closed square: boxes overlap, and the square's corners are not all strictly on one side of the edge."""
+def touched(edges: np.ndarray, low: float, left: np.ndarray, side: float) -> np.ndarray:
+    """For closed squares of one row, which edges may meet each: boxes overlap, and the square's corners are not all strictly on one side of the edge."""
     y1, x1, y2, x2 = edges.T
+    left = left[:, None]
     high, right = low + side, left + side
     box = (np.minimum(y1, y2) <= high) & (np.maximum(y1, y2) >= low) & (np.minimum(x1, x2) <= right) & (np.maximum(x1, x2) >= left)
     signs = np.stack([(x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) for y in (low, high) for x in (left, right)])
@@ -54,20 +59,28 @@ def cover(edges: np.ndarray, side: float, depth: int) -> Iterator[tuple[int, int
     if not len(edges):
         return
     y, x = edges[:, [0, 2]], edges[:, [1, 3]]
-    todo = [(0, i, j, edges) for i in range(int(np.floor(y.min() / side)), int(np.floor(y.max() / side)) + 1) for j in range(int(np.floor(x.min() / side)), int(np.floor(x.max() / side)) + 1)]
+    first = np.arange(int(np.floor(x.min() / side)), int(np.floor(x.max() / side)) + 1)
+    todo = [(0, i, first, edges) for i in range(int(np.floor(y.min() / side)), int(np.floor(y.max() / side)) + 1)]
     while todo:
         level, i, j, band = todo.pop()
         width = side / 2**level
-        low, left = i * width, j * width
-        # Only these edges can be crossed by a ray from the cell, which a hair more than its band makes sure of.
+        low = i * width
+        # Only these edges can be crossed by a ray from the row, which a hair more than its band makes sure of.
         band = band[(np.minimum(band[:, 0], band[:, 2]) <= low + width * (1 + 1e-9)) & (np.maximum(band[:, 0], band[:, 2]) >= low - width * 1e-9)]
-        if not touched(band, low - width * 1e-9, left - width * 1e-9, width * (1 + 2e-9)).any():
-            if crossings(band, low + width / 2, left + width / 2) % 2:
-                yield level, i, j, None
-        elif level == depth:
-            yield level, i, j, band
-        else:
-            todo += [(level + 1, 2 * i + a, 2 * j + b, band) for a in (0, 1) for b in (0, 1)]
+        many = max(1, AT_ONCE // max(1, len(band)))
+        if len(j) > many:
+            todo += [(level, i, j[at : at + many], band) for at in range(0, len(j), many)]
+            continue
+        left = j * width
+        edge = touched(band, low - width * 1e-9, left - width * 1e-9, width * (1 + 2e-9)).any(1)
+        for n in j[~edge & (crossings(band, low + width / 2, left + width / 2) % 2 == 1)].tolist():
+            yield level, i, n, None
+        if level == depth:
+            for n in j[edge].tolist():
+                yield level, i, n, band
+        elif edge.any():
+            below = (2 * j[edge][:, None] + np.arange(2)).ravel()
+            todo += [(level + 1, 2 * i + a, below, band) for a in (0, 1)]
 
 
 def covers(polygons: DataFrame, key: Sequence[str], rings: str, side: float, depth: int, lanes: int) -> DataFrame:
@@ -119,3 +132,21 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, lat: str, lon: st
     crossed = lambda e: ((e[0] > y) != (e[2] > y)) & (x < (e[3] - e[1]) * (y - e[0]) / (e[2] - e[0]) + e[1])
     inside = F.col("__edges").isNull() | (F.size(F.filter("__edges", crossed)) % 2 == 1)
     return met.where(inside).select("__row.*", *key)
+
+
+def counts_in_polygons(points: DataFrame, polygons: DataFrame, lat: str, lon: str, key: Sequence[str], rings: str, out: str = "n", side: float = 1.0, depth: int = 5, lanes: int = 4) -> DataFrame:
+    """Columns key and `out`: how many rows of `points` each polygon holds, by the rules of `points_in_polygons`; polygons that hold none are left out.
+
+    Points of one place are one row with their count, and polygons of equal rings one shape, which is covered and tested once: work goes with the different places and
+    shapes, not with the rows that share them.  A key that several polygons have counts the points of each.
+    """
+    names = [f"__key{n}" for n in range(len(key))]
+    owners = polygons.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(key, names, strict=True)), F.col(f"`{rings}`").cast(RINGS).alias("__shape"))
+    # Staged, as numbers that are computed twice would differ.
+    shapes = staged(owners.select("__shape").distinct().withColumn("__id", F.monotonically_increasing_id()), "shapes")
+    # A few shapes are small in bytes but long in work.
+    spread = shapes.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__id")
+    places = points.groupBy(F.col(f"`{lat}`").alias("__lat"), F.col(f"`{lon}`").alias("__lon")).agg(F.count("*").alias("__n"))
+    held = points_in_polygons(places, spread, "__lat", "__lon", ["__id"], "__shape", side, depth, lanes).groupBy("__id").agg(F.sum("__n").alias("__n"))
+    found = owners.join(shapes.join(held, "__id"), "__shape").groupBy(*names).agg(F.sum("__n").alias(out))
+    return found.select(*(F.col(n).alias(c) for c, n in zip(key, names, strict=True)), out)

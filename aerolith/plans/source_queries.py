@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.checks.metrics import ProgressLog, latest_metrics, standard_metrics, write_measured
-from aerolith.operators.polygons import points_in_polygons
+from aerolith.operators.polygons import counts_in_polygons
 from aerolith.operators.programs import run_programs
 from aerolith.operators.series import feature_columns, over_hours, ranked
 from aerolith.plans.incremental import rebuild_late
@@ -191,8 +191,7 @@ def events_in_areas(spark, sf_dir):
     y, x, k = F.lit(20.5) + (F.col("s_suppkey") % 23) * 0.05, F.lit(105.1) + (F.col("s_suppkey") % 29) * 0.04, F.lit(0.5) + (F.col("s_suppkey") % 5) * 0.25
     ring = lambda corners: F.array(*(F.struct((y + k * a).alias("lat"), (x + k * b).alias("lon")) for a, b in corners))
     areas = table(spark, sf_dir, "supplier").select("s_suppkey", F.array(*(ring(c) for c in _CORNERS)).alias("rings"))
-    met = points_in_polygons(events(spark, sf_dir).select("event_id", "lat", "lon"), areas, "lat", "lon", ["s_suppkey"], "rings", side=0.5, depth=4)
-    return met.groupBy("s_suppkey").agg(F.count("*").alias("events"))
+    return counts_in_polygons(events(spark, sf_dir).select("lat", "lon"), areas, "lat", "lon", ["s_suppkey"], "rings", "events", side=0.5, depth=4)
 
 
 @query("SELECT event_id, user_id, event_type, date_trunc('hour', ts)::TIMESTAMP AS hour, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type, date_trunc('hour', ts) ORDER BY ts DESC, event_id DESC) = 1")

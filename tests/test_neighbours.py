@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from aerolith.operators.polygons import RINGS, cover, edges_of, points_in_polygons
+from aerolith.operators import polygons as polygons_module
+from aerolith.operators.polygons import RINGS, counts_in_polygons, cover, edges_of, points_in_polygons
 from aerolith.operators.series import ranked, time_split
 from aerolith.operators.spatial import nearest_within, quadtree
 
@@ -80,6 +81,24 @@ def test_polygons_equal_ray_casting(spark):
     assert points_in_polygons(spark.createDataFrame(points, "i int, y double, x double").limit(0), polygons, "y", "x", ["k"], "rings").count() == 0
 
 
+def test_counts_in_polygons_cover_each_shape_once(spark, monkeypatch):
+    """Many points of few places, and many polygons of few shapes: places and shapes meet, and their counts are those of the pairs."""
+    places = [(0.5, 0.5), (2.0, 2.0), (3.5, 3.5), (9.0, 9.0), (None, 1.0), (float("nan"), 1.0)]
+    points = spark.createDataFrame([(i, *places[i % 6]) for i in range(600)], "i int, y double, x double")
+    shapes = [[SQUARE, HOLE], [HOLE], [], None]
+    polygons = spark.createDataFrame([(k, None if shapes[k % 4] is None else as_rings(shapes[k % 4])) for k in range(40)] + [(0, as_rings([HOLE])), (None, as_rings([HOLE]))], f"k int, rings {RINGS}")
+    seen = []
+    whole = polygons_module.covers
+    monkeypatch.setattr(polygons_module, "covers", lambda shapes, *rest: seen.append(shapes.count()) or whole(shapes, *rest))
+    got = {r["k"]: r["n"] for r in counts_in_polygons(points, polygons, "y", "x", ["k"], "rings", side=1.0, depth=3).collect()}
+    want = {}
+    for r in points_in_polygons(points, polygons, "y", "x", ["k"], "rings", side=1.0, depth=3).collect():
+        want[r["k"]] = want.get(r["k"], 0) + 1
+    assert got == want and got[0] == 300 and got[1] == 100 and len(got) == 21
+    assert seen[0] == 4
+    assert counts_in_polygons(points.limit(0), polygons, "y", "x", ["k"], "rings").count() == 0 == counts_in_polygons(points, polygons.limit(0), "y", "x", ["k"], "rings").count()
+
+
 def test_inner_cells_need_no_crossings():
     cells = list(cover(edges_of(as_rings([SQUARE, HOLE])), 1.0, 5))
     inner = [c for c in cells if c[3] is None]
