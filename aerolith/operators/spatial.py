@@ -42,7 +42,8 @@ def nearest_within(points: DataFrame, pixels: DataFrame, lat: str, lon: str, pix
 
     Cells as wide as the radius are cut in four, and again, where a group has more than `leaf` pixels.  A point asks the leaf that it stands in; the distance that it finds there
     (the radius, if none) is the reach of its second question, to the other leaves within it.  So a point sees a few leaves however dense its
-    surroundings are.  A leaf of the last level that still holds more is dealt out in lanes of about `leaf` pixels.  Points and pixels are staged and read once.  Equal
+    surroundings are.  A leaf of the last level that still holds more is dealt out in lanes of about `leaf` pixels.  Points and pixels are staged and read once.  Of the
+    pixels of one place and group only the smallest values are kept, and points of one place ask once, whatever their keys.  Equal
     distances go to the smallest pixel place, then values.  Null places and those that are not finite have no neighbour; null groups match nothing.
     Columns: key, place of the point, on, dist_deg, values; points without a pixel are left out.
     """
@@ -50,16 +51,18 @@ def nearest_within(points: DataFrame, pixels: DataFrame, lat: str, lon: str, pix
     width = radius / 2**depth
     cell = lambda c: F.floor(F.col(c) / width).cast("long")
     held = pixels.select(*on, F.col(pixel_lat).cast("double").alias("__lat"), F.col(pixel_lon).cast("double").alias("__lon"), *values).where(finite(F.col("__lat")) & finite(F.col("__lon")))
+    held = held.groupBy(*on, "__lat", "__lon").agg(F.min(F.struct(*values)).alias("__least")).select(*on, "__lat", "__lon", "__least.*") if values else held.distinct()
     lane = F.pmod(F.xxhash64("__lat", "__lon", *values, F.monotonically_increasing_id()), F.lit(LANES)).cast("int")
     held = staged(held.withColumns({"__i": cell("__lat"), "__j": cell("__lon"), "__lane": lane}), "pixels")
-    asks = points.select(*key, lat, lon, *shared).distinct()
+    asks = staged(points.select(*key, lat, lon, *shared).where(finite(F.col(lat)) & finite(F.col(lon))).distinct(), "asks")
+    places = asks.select(lat, lon, *shared).distinct()
     if len(shared) < len(on):
         if not shared:
             raise ValueError(f"points must have one of the columns {', '.join(on)}")
-        asks = asks.join(held.select(*on).distinct(), shared)
+        places = places.join(held.select(*on).distinct(), shared)
     target = list(dict.fromkeys([*key, lat, lon, *on]))
-    asks = asks.where(finite(F.col(lat)) & finite(F.col(lon))).withColumns({"__i": cell(lat), "__j": cell(lon)})
-    asks = staged(asks.withColumn("__id", F.monotonically_increasing_id()), "asks")
+    places = places.withColumns({"__i": cell(lat), "__j": cell(lon)})
+    places = staged(places.withColumn("__id", F.monotonically_increasing_id()), "places")
 
     # Counts by lane, so that a cell with most of the pixels is no hot key, here and in the join that tells pixels their leaf.
     lanes = staged(held.groupBy(*on, "__i", "__j", "__lane").agg(F.count("*").alias("__n")), "lanes")
@@ -81,7 +84,7 @@ def nearest_within(points: DataFrame, pixels: DataFrame, lat: str, lon: str, pix
         found = near.groupBy("__id").agg(F.min(F.struct("dist_deg", "__lat", "__lon", *values)).alias("__best"), F.first(F.struct("__l", "__a", "__b")).alias("__leaf"))
         return found.select("__id", "__best", "__leaf")
 
-    named = asks.select("__id", *on, F.col(lat).cast("double").alias("__y"), F.col(lon).cast("double").alias("__x"), "__i", "__j")
+    named = places.select("__id", *on, F.col(lat).cast("double").alias("__y"), F.col(lon).cast("double").alias("__x"), "__i", "__j")
     first = staged(best(at_levels(named, "__id", *on, "__y", "__x").join(leaves, place)), "first")
 
     # The second question: the cells of a level at least twice as wide as the reach, four at most, and the leaves in them or around them.
@@ -110,7 +113,8 @@ def nearest_within(points: DataFrame, pixels: DataFrame, lat: str, lon: str, pix
     near = (gap("__y", "__a") <= F.col("__reach")) & (gap("__x", "__b") <= F.col("__reach"))
     second = best(more.where(near & ~own))
     found = first.select("__id", "__best").unionByName(second.select("__id", "__best")).groupBy("__id").agg(F.min("__best").alias("__best"))
-    return asks.join(found, "__id").select(*target, "__best.dist_deg", *(f"__best.{v}" for v in values))
+    met = places.select("__id", lat, lon, *on).join(found, "__id").drop("__id")
+    return asks.join(met, list(dict.fromkeys([lat, lon, *shared]))).select(*target, "__best.dist_deg", *(f"__best.{v}" for v in values))
 
 
 def _floor_at(x: Column, width: float, level: Column, depth: int) -> Column:

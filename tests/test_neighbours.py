@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from aerolith.operators import polygons as polygons_module
+from aerolith.operators import polygons as polygons_module, spatial
 from aerolith.operators.polygons import RINGS, counts_in_polygons, cover, edges_of, points_in_polygons
 from aerolith.operators.series import ranked, time_split
 from aerolith.operators.spatial import nearest_within, quadtree
@@ -37,6 +37,19 @@ def test_nearest_equals_brute_force(spark, spread):
     assert nearest_within(p.limit(0), x, "lat", "lon", "y", "x", ["g"], 0.5, ["v"], ["i"]).count() == 0 == nearest_within(p, x.limit(0), "lat", "lon", "y", "x", ["g"], 0.5, ["v"], ["i"]).count()
 
 
+def test_places_ask_once_and_keep_one_pixel(spark, monkeypatch):
+    """Many keys and pixels of few places: a place is one question and one pixel with its smallest values, and every key gets its answer."""
+    points = [(i, 21.0 + i % 3 * 0.1, 105.0) for i in range(300)]
+    pixels = [(g, 21.01 + i % 2 * 0.1, 105.0, None if g == "b" and i == 7 else float(i % 50)) for i in range(200) for g in "ab"]
+    p, x = spark.createDataFrame(points, "i int, lat double, lon double").withColumn("d", F.lit(1)), spark.createDataFrame(pixels, "g string, y double, x double, v double").withColumn("d", F.lit(1))
+    sizes, whole = {}, spatial.staged
+    monkeypatch.setattr(spatial, "staged", lambda df, name: sizes.setdefault(name, whole(df, name)))
+    got = {(r["i"], r["g"]): (round(r["dist_deg"], 9), r["v"]) for r in nearest_within(p, x, "lat", "lon", "y", "x", ["d", "g"], 0.5, ["v"], ["i"]).collect()}
+    least = {("a", 0): 0.0, ("a", 1): 1.0, ("b", 0): 0.0, ("b", 1): None}
+    assert got == {(i, g): ((0.01, 0.01, 0.09)[i % 3], least[g, (0, 1, 1)[i % 3]]) for i in range(300) for g in "ab"}
+    assert sizes["pixels"].count() == 4 and sizes["places"].count() == 6
+
+
 def test_leaves_hold_few_pixels(spark):
     rng = np.random.default_rng(2)
     xy = np.concatenate([rng.integers(0, 64, (500, 2)), np.full((900, 2), 13), rng.integers(8, 10, (500, 2))])
