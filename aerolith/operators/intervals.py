@@ -15,7 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, DoubleType, FloatType, IntegerType, StructField, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BooleanType, DateType, DoubleType, FloatType, IntegerType, LongType, StructField, StructType, TimestampNTZType, TimestampType
+
+from aerolith.shared import staged
 
 #: Rows of output in a batch.
 CHUNK = 1 << 15
@@ -205,3 +207,59 @@ def overlap_join(a: DataFrame, b: DataFrame, start: str, end: str, other_start:
     many = ranges or 4 * int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = _swept(_dealt(sides, Deal(*cut_points(sides, many)).measure(sides, many)))
     return met.select(*(F.col(f"l.`{c}`").alias(c) for c in a.columns), *(F.col(f"r.`{c}`").alias(c) for c in b.columns))
+
+
+def overlap_counts(a: DataFrame, b: DataFrame, start: str, end: str, other_start: str, other_end: str, out: str = "n", ranges: int | None = None) -> DataFrame:
+    """`a` with the column `out`: how many rows of `b` its closed interval meets, by the rules of `overlap_join`, 0 if none.
+
+    No pair is made.  An interval meets all that start up to its end, but for those that end before its start: two numbers that grow along the line.  The different
+    places of both sides, with the starts and ends of `b` at each, are dealt out in `ranges` of the line and added up in order; the driver learns the bounds and two sums a range.
+    """
+    kinds = {f.name: f.dataType for f in a.schema}
+    lo, hi = (position(F.col(f"`{c}`"), kinds[c]) for c in (start, end))
+    rows = a.select(F.struct(*(F.col(f"`{c}`") for c in a.columns)).alias("l"), lo.alias("lo"), hi.alias("hi"))
+    kinds = {f.name: f.dataType for f in b.schema}
+    other = b.select(position(F.col(f"`{other_start}`"), kinds[other_start]).alias("lo"), position(F.col(f"`{other_end}`"), kinds[other_end]).alias("hi")).where("lo <= hi")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    ends = lambda df, s, e: df.select(F.inline(F.array(F.struct(F.col("lo").alias("x"), s.alias("starts"), zero.alias("ends")), F.struct(F.col("hi").alias("x"), zero.alias("starts"), e.alias("ends")))))
+    marks = ends(rows.where("lo <= hi"), zero, zero).unionByName(ends(other, one, one)).groupBy("x").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
+    marks = staged(marks, "marks")
+
+    many = ranges or 4 * int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / many for i in range(1, many)]
+    found = marks.agg(F.percentile_approx("x", shares, 50 * many)).first()[0] if shares else None
+    bounds = np.unique(np.array(found or [], float if dict(marks.dtypes)["x"] == "double" else np.int64))
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = np.searchsorted(bounds, batch.column("x").to_numpy(zero_copy_only=False), "right")
+            yield pa.RecordBatch.from_arrays([pa.array(number, pa.int32()), *batch.columns], ["part", *batch.schema.names])
+
+    dealt = marks.mapInArrow(part, StructType([StructField("part", IntegerType()), *marks.schema.fields]))
+    before = np.zeros((len(bounds) + 2, 2), np.int64)  # starts and ends in the ranges before each
+    for r in dealt.groupBy("part").agg(F.sum("starts").alias("s"), F.sum("ends").alias("e")).collect():  # two numbers a range
+        before[r["part"] + 1] = r["s"], r["e"]
+    before = np.cumsum(before, axis=0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = -1, np.zeros(2, np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            number = batch.column("part").to_numpy()
+            counts = np.stack([batch.column(c).to_numpy() for c in ("starts", "ends")], 1)
+            sums = np.cumsum(counts, axis=0)
+            first = np.flatnonzero(np.r_[number[0] != last, number[1:] != number[:-1]])
+            # What comes before each row's range, or before the batch in the first one's, less the batch's sums up to there.
+            base = np.repeat(held[None], len(number), 0)
+            for at, stop in zip(first, [*first[1:], len(number)], strict=True):
+                base[at:stop] = before[number[at]] - (sums[at] - counts[at])
+            total = sums + base
+            last, held = number[-1], total[-1]
+            yield pa.RecordBatch.from_arrays([batch.column("x"), pa.array(total[:, 0]), pa.array(total[:, 1] - counts[:, 1])], ["x", "begun", "over"])
+
+    shape = StructType([*(f for f in marks.schema.fields if f.name == "x"), StructField("begun", LongType()), StructField("over", LongType())])
+    line = dealt.repartition("part").sortWithinPartitions("part", "x").mapInArrow(run, shape)
+    met = rows.join(line.select(F.col("x").alias("hi"), "begun"), "hi", "left").join(line.select(F.col("x").alias("lo"), "over"), "lo", "left")
+    n = F.when(F.col("lo") <= F.col("hi"), F.col("begun") - F.col("over"))
+    return met.select("l.*", F.coalesce(n, zero).alias(out))

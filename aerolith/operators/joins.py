@@ -25,6 +25,19 @@ def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "
     return a.join(renamed, condition, how).drop(*(f"__{k}" for k in keys))
 
 
+def null_safe_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], value_a: str, value_b: str) -> DataFrame:
+    """Columns keys, pairs, total: for each key that both sides have (null with null) the pairs of `null_safe_join` and the sum of both values over them.
+
+    Each side is counted by key before the join, so no pair is made: a pair's sum adds each value once for every row of the other side.  A null value adds nothing with
+    any row, as its pair's sum is null; a key none of whose pairs has both values has the total null.
+    """
+    side = lambda df, value: df.groupBy(*keys).agg(F.count("*").alias("__n"), F.count(value).alias("__known"), F.sum(value).alias("__sum"))
+    right = side(b, value_b).withColumnsRenamed({c: f"{c}_b" for c in ("__n", "__known", "__sum")})
+    both = null_safe_join(side(a, value_a), right, keys)
+    total = F.col("__sum") * F.col("__known_b") + F.col("__sum_b") * F.col("__known")
+    return both.select(*keys, (F.col("__n") * F.col("__n_b")).alias("pairs"), total.alias("total"))
+
+
 def filled_from(a: DataFrame, b: DataFrame, key_a: str, key_b: str, columns: Sequence[str]) -> DataFrame:
     """`a` with its null columns filled from the row of `b` whose key has another name."""
     side = b.select(F.col(key_b).alias("__key"), *(F.col(c).alias(f"__{c}") for c in columns))
