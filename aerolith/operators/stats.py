@@ -7,14 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.operators.joins import null_safe_join
+
 
 def series_stats(df: DataFrame, by: Sequence[str], value: str, station: Sequence[str], prefix: str, coverage: str | None = None) -> DataFrame:
     """Median (an actual value), mean, min, max, sample deviation of a value; distinct stations; mean coverage.
 
-    A station's parts are joined by a colon, nulls left out.
+    A station's parts are joined by a colon, nulls left out.  The median is exact and has a pass of its own, as its
+    counts of values would be sent once a station beside the distinct stations; a task holds a count for each different value of a group.
     """
     aggregates = [
-        F.percentile_approx(value, 0.5).alias(f"{prefix}_median"),
         F.avg(value).alias(f"{prefix}_mean"),
         F.min(value).alias(f"{prefix}_min"),
         F.max(value).alias(f"{prefix}_max"),
@@ -23,7 +25,8 @@ def series_stats(df: DataFrame, by: Sequence[str], value: str, station: Sequence
     ]
     if coverage:
         aggregates.append(F.avg(coverage).alias("coverage_avg"))
-    return df.groupBy(*by).agg(*aggregates)
+    median = df.groupBy(*by).agg(F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}`)").alias(f"{prefix}_median"))
+    return null_safe_join(median, df.groupBy(*by).agg(*aggregates), by)
 
 
 def quality_report(df: DataFrame, columns: Sequence[str], bounds: Sequence[str] = (), conditions: Mapping[str, Column] | None = None) -> DataFrame:
