@@ -23,6 +23,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from aerolith.operators.series import ranked
+from aerolith.shared import staged
 
 #: Columns that tell where a record comes from; a schema may name them.
 WINDOW, PAGE = "window", "page"
@@ -31,15 +32,17 @@ DONE = "_SUCCESS"
 
 @dataclass
 class Pages(InputPartition):
-    """Pages first to last of a window."""
+    """Pages of a window, by their numbers from first to last: a task fetches them and lists no folder of the window again."""
 
     window: str
     first: int
     last: int
+    numbers: tuple[int, ...]
 
-    def __init__(self, window: str, first: int, last: int):
-        super().__init__((window, first, last))
-        self.window, self.first, self.last = window, first, last
+    def __init__(self, window: str, numbers: Sequence[int] = ()):
+        super().__init__((window, tuple(numbers)))
+        self.window, self.numbers = window, tuple(numbers)
+        self.first, self.last = (self.numbers[0], self.numbers[-1]) if self.numbers else (0, -1)
 
 
 class PageStore:
@@ -95,17 +98,16 @@ def page_ranges(store: PageStore, windows: Sequence[str], size: int) -> list[Pag
     out = []
     for window in windows:
         pages = store.pages(window)
-        out += [Pages(window, pages[i], pages[min(i + size, len(pages)) - 1]) for i in range(0, len(pages), size)]
+        out += [Pages(window, pages[i : i + size]) for i in range(0, len(pages), size)]
     return out
 
 
 def _batches(store: PageStore, part: Pages, schema: StructType) -> Iterator[pa.RecordBatch]:
     """One Arrow batch a page; fields that a record lacks are null, values of a wrong kind are an error of the task."""
     shape = to_arrow_schema(schema)
-    for page in store.pages(part.window):
-        if part.first <= page <= part.last:
-            rows = [r | {WINDOW: part.window, PAGE: page} for r in store.fetch(part.window, page)]
-            yield pa.RecordBatch.from_pydict({f.name: pa.array([r.get(f.name) for r in rows], f.type) for f in shape}, schema=shape)
+    for page in part.numbers:
+        rows = [r | {WINDOW: part.window, PAGE: page} for r in store.fetch(part.window, page)]
+        yield pa.RecordBatch.from_pydict({f.name: pa.array([r.get(f.name) for r in rows], f.type) for f in shape}, schema=shape)
 
 
 class PagedReader(DataSourceReader):
@@ -127,7 +129,7 @@ class PagedReader(DataSourceReader):
         return [w for w in self.store.windows() if (self.start is None or w >= self.start) and (self.end is None or w < self.end) and all(holds[k](w, v) for k, v in self.tests)]
 
     def partitions(self) -> Sequence[InputPartition]:
-        return page_ranges(self.store, self.windows(), self.size) or [Pages("", 0, -1)]
+        return page_ranges(self.store, self.windows(), self.size) or [Pages("")]
 
     def read(self, partition: Pages) -> Iterator[pa.RecordBatch]:
         if partition.last >= 0:
@@ -177,17 +179,18 @@ class PagedSource(DataSource):
 def write_pages(rows: DataFrame, path: str, window: str, order: Sequence[str], size: int) -> None:
     """Write rows as pages of at most `size` records, as a collector of those windows would: `window` names each row's (text), `order` puts rows in order within it.
 
-    Pages are numbered from 1 in each window.  Each page is a folder with one line of JSON, {"results": [...]}; the marks of the windows come last.
+    Pages are numbered from 1 in each window.  Each page is a folder with one line of JSON, {"results": [...]}; the marks of the windows come last.  So tasks may put
+    their pages in place themselves, each file under its task's name, and the driver does not rename page by page.
     """
     spark = rows.sparkSession
     numbered = ranked(rows, [window, *order], "__rank", "__total")
-    firsts = numbered.groupBy(window).agg(F.min("__rank").alias("__first"))  # one row a window
+    firsts = staged(numbered.groupBy(window).agg(F.min("__rank").alias("__first")), "windows")  # one row a window
     paged = numbered.join(firsts, window).withColumn("__page", F.floor((F.col("__rank") - F.col("__first")) / size).cast("int") + 1)
     record = F.struct("__rank", F.struct(*(c for c in rows.columns if c != window)).alias("x"))
     pages = paged.groupBy(F.col(window).alias(WINDOW), F.col("__page").alias(PAGE)).agg(F.sort_array(F.collect_list(record)).alias("rows"))
     lines = pages.select(WINDOW, PAGE, F.to_json(F.struct(F.transform("rows", lambda r: r["x"]).alias("results"))).alias("value"))
-    lines.write.mode("append").partitionBy(WINDOW, PAGE).text(path)
-    for row in firsts.select(window).distinct().toLocalIterator():
+    lines.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(WINDOW, PAGE).text(path)
+    for row in firsts.select(window).toLocalIterator():
         mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{WINDOW}={row[0]}/{DONE}")
         mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True).close()
 

@@ -6,6 +6,7 @@ from datetime import datetime
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from aerolith.sources.cubes import MONTHS, Axes, Bounds, CubeReader, NpzCube, Variable, axes_of, decode_times, east, find_variable, real_values, register_cubes
 from aerolith.sources.paged import PagedReader, PageStore, page_ranges, register_pages, write_pages
@@ -93,6 +94,18 @@ def test_written_pages_are_full(spark, tmp_path):
     assert [r["id"] for p in store.pages("a") for r in store.fetch("a", p)] == list(range(13)) and len(store.fetch("a", 3)) == 3
 
 
+def test_tasks_list_no_window(tmp_path, monkeypatch):
+    """A window is listed once, when its pages are dealt out; a task that listed it again would look at all pages for each few."""
+    for n in range(1, 8):
+        put(tmp_path, "w", n, json.dumps([{"id": n}]))
+    reader = PagedReader(PageStore(str(tmp_path)), StructType([StructField("id", LongType()), StructField("page", LongType())]), None, None, 2)
+    listed, whole = [], PageStore.pages
+    monkeypatch.setattr(PageStore, "pages", lambda self, window: listed.append(window) or whole(self, window))
+    parts = reader.partitions()
+    got = [r["id"] for p in parts for batch in reader.read(p) for r in batch.to_pylist()]
+    assert got == list(range(1, 8)) and len(parts) == 4 and listed == ["w"]
+
+
 def test_times_of_calendars():
     us = lambda *t: np.datetime64(datetime(*t), "us")
     assert decode_times([0, 1.5], "hours since 1900-01-01 00:00:0.0").tolist() == [datetime(1900, 1, 1), datetime(1900, 1, 1, 1, 30)]
