@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolith.operators.joins import null_safe_join
 from aerolith.sinks.upsert import replace_partitions
 
 
@@ -54,12 +55,22 @@ def split_report(df: DataFrame, time: str, targets: Sequence[str]) -> DataFrame:
 
 
 def compact(spark: SparkSession, path: str, partition_by: Sequence[str] = (), target_mb: int = 256) -> dict:
-    """Rewrite a Parquet table in files of about `target_mb`; gives files before and after."""
+    """Rewrite a Parquet table in files of about `target_mb`; gives files before and after.
+
+    A partition has a task of its own, and one more for each `target_mb` beyond, so no task grows with the table.
+    """
     df = spark.read.parquet(path)
     before = len(df.inputFiles())
     size = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).agg(F.sum("length")).first()[0] or 0
     parts = max(1, round(size / (target_mb * 1e6)))
-    replace_partitions(df.repartition(parts, *partition_by) if partition_by else df.repartition(parts), path, partition_by)
+    dealt = df.repartition(parts)
+    if partition_by:
+        share = size / (target_mb * 1e6 * max(1, df.count()))
+        lanes = df.groupBy(*partition_by).agg(F.greatest(F.ceil(F.count("*") * F.lit(share)), F.lit(1)).alias("__lanes"))  # one row a partition
+        parts = int(lanes.agg(F.sum("__lanes")).first()[0] or 1)
+        rows = null_safe_join(df, lanes, partition_by).withColumn("__lane", F.pmod(F.monotonically_increasing_id(), F.col("__lanes")))
+        dealt = rows.repartition(parts, *partition_by, "__lane").select(*df.columns)
+    replace_partitions(dealt, path, partition_by)
     return {"path": path, "files_before": before, "files_after": len(spark.read.parquet(path).inputFiles())}
 
 

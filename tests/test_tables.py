@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from aerolith.checks import checks
 from aerolith.checks.checks import compact, freshness, maintain, null_ratio_check, reconcile, schema_hash
 from aerolith.ml.cluster import clusters, cost_by_k
 from aerolith.ml.forecast import fit_horizon, importance, newest_model, predicted, run_record, train_horizons
@@ -288,3 +289,17 @@ def test_compact_sums_lengths_in_spark(spark, tmp_path, monkeypatch):
     spark.range(100).repartition(20).write.parquet(f"{tmp_path}/small")
     monkeypatch.setattr(type(spark.range(1)), "toLocalIterator", lambda *_, **__: pytest.fail("rows come to the driver"))
     assert compact(spark, f"{tmp_path}/small")["files_after"] == 1 and spark.read.parquet(f"{tmp_path}/small").count() == 100
+
+
+def test_compact_gives_each_partition_its_tasks(spark, tmp_path, monkeypatch):
+    """Partitions, one of them null, do not share one task because all of them together are small, and a large one has several."""
+    path = f"{tmp_path}/parts"
+    rows = spark.range(8000).select("id", F.when(F.col("id") >= 4000, 0).when(F.col("id") >= 1000, (F.col("id") % 5 + 1).cast("int")).alias("y"))
+    rows.repartition(8).write.partitionBy("y").parquet(path)
+    dealt, whole = [], checks.replace_partitions
+    monkeypatch.setattr(checks, "replace_partitions", lambda df, *rest: dealt.append(df.rdd.getNumPartitions()) or whole(df, *rest))
+    report = compact(spark, path, ["y"])
+    assert dealt == [7] and report["files_after"] <= 14 < report["files_before"]
+    assert {(r["id"], r["y"]) for r in spark.read.parquet(path).collect()} == {tuple(r) for r in rows.collect()} and spark.read.parquet(path).count() == 8000
+    compact(spark, path, ["y"], target_mb=0.005)
+    assert dealt[1] > 8 and spark.read.parquet(path).count() == 8000
