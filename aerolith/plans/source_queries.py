@@ -205,7 +205,8 @@ def stateful_latest(spark, sf_dir):
     keys = ["user_id", "event_type", "hour"]
     for k in range(3):
         rows.where(third == k).write.mode("append").parquet(f"{folder}/in")
-        changes = latest_changes(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"), keys, "ts", ["ts", "event_id"], "2 hours", keep_ms=3_600_000)
+        # Two hours late, and the hour that an event's time may lie behind the start of its own.
+        changes = latest_changes(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"), keys, "hour", ["ts", "event_id"], "3 hours")
         upsert_changes(changes, f"{folder}/out", f"{folder}/state", keys).awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("event_id", "user_id", "event_type", F.col("hour").cast("timestamp_ntz").alias("hour"), "value")
 

@@ -11,7 +11,9 @@ from aerolith.checks.metrics import LOG, ProgressLog, latest_metrics, standard_m
 from aerolith.operators.programs import Program, attempted, pending, run_programs
 from aerolith.operators.series import feature_columns, over_hours
 from aerolith.plans.incremental import Mark, rebuild_late
+from aerolith.plans.source_queries import stateful_latest
 from aerolith.sinks.upsert import upsert
+from aerolith.streaming import latest
 from aerolith.streaming.latest import latest_changes, state_rows, upsert_changes, use_state_store
 
 T0 = datetime(2024, 1, 1)
@@ -154,6 +156,32 @@ def test_state_sends_changes_and_is_dropped(spark, tmp_path):
     assert {r["k"]: r["v"] for r in spark.read.parquet(str(tmp_path / "table")).collect()} == {1: "behind the watermark", 2: "d", 5: "e", 6: "f"}
 
 
+def test_keys_with_their_hour_need_no_python(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(latest, "LatestRow", None)  # no call for each key
+    use_state_store(spark)
+    schema = "k int, hour timestamp, ts timestamp, id int, v string"
+    row = lambda k, h, minute, i, v: (k, T0 + timedelta(hours=h), None if minute is None else T0 + timedelta(hours=h, minutes=minute), i, v)
+    batches = [
+        [row(1, 0, 10, 1, "a"), row(1, 0, 20, 2, "b"), row(2, 0, 10, 3, "c"), row(None, 0, 1, 4, "x"), (3, None, T0, 5, "x")],
+        [row(1, 0, 20, 2, "again"), row(2, 0, 5, 9, "older"), row(2, 0, 10, 4, "d"), row(1, 1, 0, 5, "e"), row(1, 0, None, 9, "no time"), row(4, 1, None, 1, "first")],
+        [row(5, 90, 0, 6, "f")],
+        [row(6, 91, 0, 7, "g"), row(1, 0, 50, 8, "behind the watermark")],
+    ]
+    sent, states = [], []
+    for rows in batches:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(str(tmp_path / "in"))
+        changes = latest_changes(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), ["k", "hour"], "hour", ["ts", "id"], "2 hours")
+        assert changes.columns == ["k", "hour", "ts", "id", "v"]
+        kept = tmp_path / f"sent{len(sent)}"
+        query = changes.writeStream.outputMode("update").foreachBatch(lambda df, n, kept=kept: df.write.mode("append").parquet(str(kept))).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        sent.append(sorted(r["v"] for r in spark.read.schema(schema).parquet(str(kept)).collect()))
+        states += state_rows(query)
+    assert sent == [["b", "c"], ["d", "e", "first"], ["f"], ["g"]]
+    assert states[-1][0] <= 2  # the keys of the first day are gone
+    assert stateful_latest(spark, "/root/testdata/sf0.001").count() > 900
+
+
 ECHO = """
 import json, sys, time, os
 for line in sys.stdin:
