@@ -39,7 +39,7 @@ def _breaks(text: Column) -> Column:
 
 def _count(text: Column) -> Column:
     """How many lines :func:`_lines` gives."""
-    return F.octet_length(_marked(text)) - F.octet_length(F.replace(_marked(text), F.lit("\n"), F.lit(""))) + 1
+    return F.size(_breaks(text))
 
 
 def _part(array: Column | str, start: Column, n: Column) -> Column:
@@ -60,58 +60,48 @@ def _windows(docs: DataFrame, least_words: int, lone_words: int) -> DataFrame:
     # What the split leaves after the last line's end is no line.  Blank lines at a run's edge are taken by windows that also hold the blank lines before or after their last line.
     whole = F.when(F.element_at("lines", -1) == "", F.slice("lines", F.lit(1), F.size("lines") - 1)).otherwise(F.col("lines"))
     lines = docs.select("d", "k", _bare(whole).alias("b"))
-    # The line of each word: so many entries on or back stands the line that so many words reach.
-    line_of = F.flatten(F.transform("b", lambda x, i: F.array_repeat(i.cast("long"), _words(x))))
-    lines = lines.select("d", "k", F.transform("b", lambda x: F.xxhash64(x)).alias("h"), line_of.alias("line_of"))
-    at = lambda p: F.get("line_of", p)
-    # First and last line in one number, as only numbers are made distinct by hashing.
+    # The line of each word, with that line's words in the lower half: so many entries on or back stands the line that so many words reach.
+    word_of = F.flatten(F.transform("b", lambda x, i: F.transform(F.array(_words(x)), lambda w: F.array_repeat(i.cast("long") * 2**32 + w, w))[0]))
+    lines = lines.select("d", "k", F.transform("b", lambda x: F.xxhash64(x)).alias("h"), word_of.alias("word_of"))
+    # A row for each line with words, by its first word p.  What follows has no lambdas, so that it is compiled.  Without `outer`, a filter on the
+    # array's size would be put below, where it computes all of it again.
+    lines = lines.select("d", "k", "h", "word_of", F.posexplode_outer("word_of").alias("p", "of"))
+    line = lambda of: F.shiftright(of, 32)
+    size = lambda of: of.bitwiseAND(F.lit(2**32 - 1)).cast("int")
+    of = lambda p: F.get("word_of", p)
+    at = lambda p: line(of(p))
+    # First and last line in one number.
     span = lambda lo, hi: lo * 2**32 + hi
-
-    # The first and last word of each line with words.
-    none, last = F.array().cast("array<int>"), F.size("h") - 1
-    starts = F.filter(F.sequence(F.lit(0), F.size("line_of") - 1), lambda p: ~at(p - 1).eqNullSafe(at(p)))
-    lines = lines.withColumn("starts", F.when(F.size("line_of") > 0, starts).otherwise(none))
-    lines = lines.withColumn("ends", F.transform("starts", lambda p, j: F.coalesce(F.get("starts", j + 1), F.size("line_of")) - 1))
-
-    # Most lines hold too few words to be a window or half of one; they are told by one comparison.
-    least, lone = least_words - 1, lone_words - 1
-    few = min(least, lone)
-
-    def ahead(p: Column) -> Column:
-        """The window that goes on from the line that starts at word p."""
-        i, j = at(p), at(p + least)
-        alone = F.when(at(p + lone) == i, span(i, i)).when(j == i, F.when(i < last, span(i, i + 1))).otherwise(span(i, j))
-        return F.when(at(p + few) == i, alone).otherwise(span(i, j))
-
-    def back(q: Column) -> Column:
-        """The window that goes back from the line that ends at word q."""
-        i, j = at(q), at(q - least)
-        alone = F.when(~j.eqNullSafe(i), span(j, i)).when(~at(q - lone).eqNullSafe(i) & (i > 0), span(i - 1, i))
-        return F.when(at(q - few) == i, alone).otherwise(span(j, i))
-
-    def after_blanks(p: Column) -> Column:
-        before = F.coalesce(at(p - 1) + 1, F.lit(0))
-        return F.when(before < at(p), span(before, at(p + least)))
-
-    def with_blanks(q: Column) -> Column:
-        after = F.coalesce(at(q + 1) - 1, last)
-        return F.when(after > at(q), span(at(q - least), after))
-
-    blanks = F.concat(F.transform("starts", after_blanks), F.transform("ends", with_blanks))
-    blanks = F.when(F.size("starts") < F.size("h"), blanks).otherwise(F.array().cast("array<bigint>"))
-    found = F.concat(F.transform("starts", ahead), F.transform("ends", back), blanks)
-    lines = lines.select("d", "k", "h", F.array_compact(F.array_distinct(found)).alias("found"))
-    a = lambda s: F.shiftright(s, 32).cast("int")
-    n = lambda s: (s.bitwiseAND(F.lit(2**31 - 1)) - F.shiftright(s, 32) + 1).cast("int")
-    made = F.transform("found", lambda s: F.struct(a(s).alias("a"), n(s).alias("n"), F.xxhash64(n(s), _part("h", a(s), n(s))).alias("ch")))
-    return lines.select("d", "k", F.inline(made))
+    lines = lines.where(F.col("p").isNotNull() & ~of(F.col("p") - 1).eqNullSafe(F.col("of")))
+    lines = lines.select("d", "k", "h", "word_of", "p", line(F.col("of")).alias("i"), size(F.col("of")).alias("w"), F.size("h").alias("all"))
+    i, p, w = F.col("i"), F.col("p"), F.col("w")
+    q, last = p + w - 1, F.col("all") - 1
+    # Words that reach from the line's first word on, and from its last word back; the line with words before.
+    ahead_to, back_to, before = at(p + least_words - 1), at(q - least_words + 1), of(p - 1)
+
+    alone = (w >= least_words) & (w < lone_words)  # needs one more line
+    ahead = F.when(w >= lone_words, span(i, i)).when(alone, F.when(i < last, span(i, i + 1))).otherwise(span(i, ahead_to))
+    # Windows are listed once: the line of itself is among those ahead, and so is a window back from whose first line no shorter one goes on.
+    first = size(of(q - least_words + 1))
+    next_to = (line(before) == i - 1) & (size(before) < lone_words)
+    blank = F.coalesce(line(before), F.lit(-1)) == i - 2
+    same = (first < lone_words) & (((first >= least_words) & (back_to == i - 1)) | (F.coalesce(at(p - least_words), F.lit(-1)) < back_to))
+    back = F.when(w >= lone_words, None).when(alone, F.when((i > 0) & ~F.coalesce(next_to, F.lit(False)) & ~blank, span(i - 1, i))).when(~same, span(back_to, i))
+    # Blank lines before the line, and after it.
+    gap, on = F.coalesce(line(before) + 1, F.lit(0)), F.coalesce(at(q + 1) - 1, last)
+    after_blanks = F.when(gap < i, span(gap, ahead_to))
+    with_blanks = F.when((on > i) & ~(alone & (on == i + 1)), span(back_to, on))
+    found = lines.select("d", "k", "h", F.explode(F.array(ahead, back, after_blanks, with_blanks)).alias("s")).where(F.col("s").isNotNull())
+    s = F.col("s")
+    found = found.select("d", "k", "h", F.shiftright(s, 32).cast("int").alias("a"), (s.bitwiseAND(F.lit(2**31 - 1)) - F.shiftright(s, 32) + 1).cast("int").alias("n"))
+    return found.select("d", "k", "a", "n", F.xxhash64("n", F.slice("h", F.col("a") + 1, F.col("n"))).alias("ch"))
 
 
 def _runs(windows: DataFrame) -> DataFrame:
     """Columns d, k, a, n, and kd, kk, ka: runs of lines with the place where their windows occur first."""
     # A table of its own, so that a common window's rows in the join can be split among tasks.
     first = written(windows.groupBy("ch").agg(F.min(F.struct("d", "k", "a")).alias("p"), F.count("*").alias("times")).where("times > 1").select("ch", "p"))
-    hits = windows.join(first, "ch").where(F.struct("d", "k", "a") != F.col("p"))
+    hits = windows.join(first.hint("shuffle_hash"), "ch").where(F.struct("d", "k", "a") != F.col("p"))
     # A document's hits by the distance to their first occurrence, in order; a hit goes on its predecessor's run where both
     # documents go on.
     hit = F.struct(F.col("p.d").alias("kd"), F.col("p.k").alias("kk"), (F.col("a") - F.col("p.a")).alias("off"), "a", "n")
@@ -141,7 +131,8 @@ def _runs(windows: DataFrame) -> DataFrame:
         n = F.size(kept)
         return F.concat(F.when((n >= 2) & (end(F.get(kept, n - 2)) >= r["a"]), F.slice(kept, F.lit(1), n - 1)).otherwise(kept), F.array(r))
 
-    return runs.select("d", "k", F.inline(F.aggregate("out", F.array().cast(kind), cover)))
+    # No array is empty here; a plain `inline` would ask so in a filter below, which computes all of it again.
+    return runs.select("d", "k", F.inline_outer(F.aggregate("out", F.array().cast(kind), cover)))
 
 
 def _words(line: Column) -> Column:
@@ -178,7 +169,7 @@ def _deduped(rows: DataFrame, least_words: int, lone_words: int) -> DataFrame:
     asked = rows.join(ranges.hint("shuffle_hash"), ["d", "k"]).select("d", "k", "ranges", _bare(_breaks(F.col("text"))).alias("f"))
 
     same = lambda r: F.struct(r["ka"].alias("ka"), r["n"].alias("n"), _part("f", r["ka"], r["n"]).alias("same"))
-    slices = asked.select(F.col("d").alias("kd"), F.col("k").alias("kk"), "f", "ranges").select("kd", "kk", F.inline(F.transform("ranges", same)))
+    slices = asked.select(F.col("d").alias("kd"), F.col("k").alias("kk"), "f", "ranges").select("kd", "kk", F.inline_outer(F.transform("ranges", same)))
     lists = runs.join(slices, ["kd", "kk", "ka", "n"]).groupBy("d", "k").agg(F.collect_set(F.struct("a", "n", "same")).alias("runs"))
     joined = rows.join(lists.hint("shuffle_hash"), ["d", "k"], "left")
     joined = joined.withColumn("lines", F.when(F.col("runs").isNotNull(), _lines(F.col("text")))).withColumn("b", _bare("lines"))
@@ -189,7 +180,8 @@ def _deduped(rows: DataFrame, least_words: int, lone_words: int) -> DataFrame:
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone), lambda i: F.get("lines", i))
     joined = joined.withColumn("left", F.when(F.size("spans") > 0, left))
     n = F.when(F.col("text").isNull(), 0).otherwise(_count(F.col("text"))).cast("long")
-    joined = joined.withColumn("n_lines", n).withColumn("n_removed", F.when(F.col("left").isNull(), 0).otherwise(n - F.size("left")).cast("long"))
+    gone = F.when(F.col("left").isNull(), 0).otherwise(F.size("lines") - F.size("left")).cast("long")  # without n, which would be counted twice
+    joined = joined.withColumn("n_lines", n).withColumn("n_removed", gone)
     joined = joined.withColumn("text", F.when(F.col("left").isNull(), F.col("text")).otherwise(F.array_join("left", "")))
     # A filter on the new columns must not be pushed below, where it would evaluate their expressions once for each use.
     return joined.select(F.inline(F.array(F.struct(*(c for c in joined.columns if c not in ("runs", "lines", "b", "spans", "left"))))))
