@@ -37,6 +37,22 @@ def _breaks(text: Column) -> Column:
     return F.split(_marked(text), "\n")
 
 
+def _signed(text: Column) -> Column:
+    """The lines of :func:`_lines`, each with one more letter that says how it ends: n (newline), b (blank) or x (the last one)."""
+    text = F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit("n\n"))
+    for end in ".!?":
+        text = F.replace(text, F.lit(f"{end} "), F.lit(f"{end}b\n"))
+    return F.split(F.concat(text, F.lit("x")), "\n")
+
+
+def _unsigned(lines: Column) -> Column:
+    """The text of lines of :func:`_signed`.  Each newline here ends a line, so the letter before it is its sign; newlines of the text come last."""
+    text = F.concat(F.array_join(lines, "\n"), F.lit("\n"))
+    for sign, end in ("b", " "), ("x", ""), ("n", "\n"):
+        text = F.replace(text, F.lit(f"{sign}\n"), F.lit(end))
+    return F.when(F.size(lines) > 0, text).otherwise("")
+
+
 def _count(text: Column) -> Column:
     """How many lines :func:`_lines` gives."""
     return F.size(_breaks(text))
@@ -102,10 +118,10 @@ def _runs(windows: DataFrame) -> DataFrame:
     # A table of its own, so that a common window's rows in the join can be split among tasks.
     first = written(windows.groupBy("ch").agg(F.min(F.struct("d", "k", "a")).alias("p"), F.count("*").alias("times")).where("times > 1").select("ch", "p"))
     hits = windows.join(first.hint("shuffle_hash"), "ch").where(F.struct("d", "k", "a") != F.col("p"))
-    # A document's hits by the distance to their first occurrence, in order; a hit goes on its predecessor's run where both
-    # documents go on.
+    # A document's hits by the distance to their first occurrence, in order (`array_sort` would compare by a lambda); a hit goes on its
+    # predecessor's run where both documents go on.
     hit = F.struct(F.col("p.d").alias("kd"), F.col("p.k").alias("kk"), (F.col("a") - F.col("p.a")).alias("off"), "a", "n")
-    per = hits.groupBy("d", "k").agg(F.array_sort(F.collect_set(hit)).alias("hits"))
+    per = hits.groupBy("d", "k").agg(F.sort_array(F.collect_set(hit)).alias("hits"))
 
     def follows(x: Column, i: Column) -> Column:
         y = F.get("hits", i - 1)
@@ -119,7 +135,7 @@ def _runs(windows: DataFrame) -> DataFrame:
         end = F.array_max(F.transform(members, lambda y: y["a"] + y["n"]))
         return F.struct(x["a"].alias("a"), (end - x["a"]).alias("n"), x["kd"].alias("kd"), x["kk"].alias("kk"), (x["a"] - x["off"]).alias("ka"))
 
-    runs = per.select("d", "k", F.array_sort(F.transform("heads", run)).alias("runs"))
+    runs = per.select("d", "k", F.sort_array(F.transform("heads", run)).alias("runs"))
     # A run inside another one says nothing more.  Of runs with one first line, the longest comes last.
     end = lambda r: r["a"] + r["n"]
     runs = runs.withColumn("out", F.filter("runs", lambda r, i: (i == F.size("runs") - 1) | (F.get("runs", i + 1)["a"] != r["a"])))
@@ -172,17 +188,18 @@ def _deduped(rows: DataFrame, least_words: int, lone_words: int) -> DataFrame:
     slices = asked.select(F.col("d").alias("kd"), F.col("k").alias("kk"), "f", "ranges").select("kd", "kk", F.inline_outer(F.transform("ranges", same)))
     lists = runs.join(slices, ["kd", "kk", "ka", "n"]).groupBy("d", "k").agg(F.collect_set(F.struct("a", "n", "same")).alias("runs"))
     joined = rows.join(lists.hint("shuffle_hash"), ["d", "k"], "left")
-    joined = joined.withColumn("lines", F.when(F.col("runs").isNotNull(), _lines(F.col("text")))).withColumn("b", _bare("lines"))
+    joined = joined.withColumn("lines", F.when(F.col("runs").isNotNull(), _signed(F.col("text"))))
+    joined = joined.withColumn("b", F.when(F.col("runs").isNotNull(), _bare(_breaks(F.col("text")))))
     # As a variable, lest the optimizer put the expression of b into the lambda, to be evaluated for each run.
     true = F.transform(F.array("b"), lambda b: F.filter("runs", lambda r: _part(b, r["a"], r["n"]) == r["same"]))[0]
     joined = joined.withColumn("spans", F.transform(true, lambda r: F.struct(r["a"].alias("lo"), (r["a"] + r["n"] - 1).alias("hi"))))
     gone = F.flatten(F.transform("spans", lambda s: F.sequence(s["lo"], s["hi"])))
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone), lambda i: F.get("lines", i))
     joined = joined.withColumn("left", F.when(F.size("spans") > 0, left))
-    n = F.when(F.col("text").isNull(), 0).otherwise(_count(F.col("text"))).cast("long")
+    n = F.when(F.col("text").isNull(), 0).when(F.col("lines").isNotNull(), F.size("lines")).otherwise(_count(F.col("text"))).cast("long")
     gone = F.when(F.col("left").isNull(), 0).otherwise(F.size("lines") - F.size("left")).cast("long")  # without n, which would be counted twice
     joined = joined.withColumn("n_lines", n).withColumn("n_removed", gone)
-    joined = joined.withColumn("text", F.when(F.col("left").isNull(), F.col("text")).otherwise(F.array_join("left", "")))
+    joined = joined.withColumn("text", F.when(F.col("left").isNull(), F.col("text")).otherwise(_unsigned(F.col("left"))))
     # A filter on the new columns must not be pushed below, where it would evaluate their expressions once for each use.
     return joined.select(F.inline(F.array(F.struct(*(c for c in joined.columns if c not in ("runs", "lines", "b", "spans", "left"))))))
 

@@ -2,6 +2,9 @@ import random
 import re
 from itertools import pairwise
 
+from pyspark.sql import functions as F
+
+from aerolith.llm import line_dedup
 from aerolith.llm.line_dedup import dedup_lines, without_repeated_lines
 from aerolith.llm.queries import op9_line_dedup
 from tests.llm.fixtures import ROWS, empty, odd
@@ -155,3 +158,36 @@ def test_pairs_of_lines_go_whose_lines_stood_alone_before(spark):
     got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
     assert all(p in got[1000 + i] and p not in got[1100 + i] for i, p in enumerate(passages))
     assert all(got[d] == t for d, t in docs if d < 1000)
+
+
+def test_windows_are_compiled_distinct_and_whole(spark):
+    """Each line's least windows, listed once, from rows of lines: no lambda stands above them, nor a filter that makes the arrays again."""
+    rng = random.Random(9)
+    texts = [[rng.choice([1, 2, 3, 5, 11, 13, 24, 25, 26, 49, 50, 51, 0, 0]) for _ in range(rng.randint(1, 12))] for _ in range(300)]
+    docs = spark.createDataFrame([(d, d, [" ".join("w" * n) for n in text]) for d, text in enumerate(texts)], "d long, k long, lines array<string>")
+    for least, lone in (25, 50), (3, 6), (10, 10):
+        found = line_dedup._windows(docs, least, lone)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Generate posexplode" in plan and "lambda" not in plan.split("Generate posexplode")[0] and "Filter (size" not in plan
+        want = []
+        for d, text in enumerate(texts):
+            text, spans = text[:-1] if text[-1] == 0 else text, set()
+            long = lambda i, j, text=text: sum(text[i : j + 1]) >= (least if j > i else lone)
+            for i in (i for i, n in enumerate(text) if n):
+                ends, starts = [j for j in range(i, len(text)) if long(i, j)], [j for j in range(i + 1) if long(j, i)]
+                spans |= {(i, j) for j in ends[:1]} | {(j, i) for j in starts[-1:]}
+            want.append(spans)
+        got = [(r["d"], r["a"], r["a"] + r["n"] - 1) for r in found.collect()]
+        assert len(got) == len(set(got))
+        assert all((d, *s) in set(got) for d, spans in enumerate(want) for s in spans)
+
+
+def test_signed_lines_are_the_lines(spark):
+    rng = random.Random(4)
+    texts = ["", "x", "n\n", "b. x", *("".join(rng.choice(["a", "b", "n", "x", " ", "\n", ". ", "! ", "?", "\r", "é"]) for _ in range(rng.randint(0, 30))) for _ in range(500))]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    signed = line_dedup._signed(F.col("text"))
+    odd_lines = F.filter(signed, lambda x, i: i % 2 == 1)
+    got = rows.select("text", F.size(signed).alias("n"), line_dedup._unsigned(signed).alias("all"), line_dedup._unsigned(odd_lines).alias("odd")).collect()
+    for r in got:
+        assert (r["n"], r["all"], r["odd"]) == (len(lines(r["text"])), r["text"], "".join(lines(r["text"])[1::2]))
