@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 import time
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -83,10 +84,21 @@ class PageStore:
                 time.sleep(self.wait_s * (self.attempts - left))
         return []
 
+    def put(self, window: str, page: int, name: str, records: Sequence[str]) -> None:
+        """Put a page of JSON records in place, under a name that readers pass over until all of it is written; one that is there already stays."""
+        files, root = self._opened()
+        folder = f"{root}/{WINDOW}={window}/{PAGE}={page}"
+        if files.get_file_info(f"{folder}/{name}").type == pafs.FileType.NotFound:
+            files.create_dir(folder, recursive=True)
+            hidden = f"{folder}/.{uuid.uuid4().hex}"
+            with files.open_output_stream(hidden) as out:
+                out.write(f'{{"results":[{",".join(records)}]}}\n'.encode())
+            files.move(hidden, f"{folder}/{name}")
+
 
 def _records(text: str) -> list[dict]:
     out = []
-    for line in [text] if text.lstrip().startswith("[") else text.splitlines():
+    for line in [text] if text.lstrip().startswith("[") else text.split("\n"):  # JSON may hold other line ends as they are
         if line.strip():
             got = json.loads(line)
             out += got if isinstance(got, list) else got["results"] if "results" in got else [got]
@@ -179,17 +191,23 @@ class PagedSource(DataSource):
 def write_pages(rows: DataFrame, path: str, window: str, order: Sequence[str], size: int) -> None:
     """Write rows as pages of at most `size` records, as a collector of those windows would: `window` names each row's (text), `order` puts rows in order within it.
 
-    Pages are numbered from 1 in each window.  Each page is a folder with one line of JSON, {"results": [...]}; the marks of the windows come last.  So tasks may put
-    their pages in place themselves, each file under its task's name, and the driver does not rename page by page.
+    Pages are numbered from 1 in each window.  Each page is a folder with one line of JSON, {"results": [...]}; the marks of the windows come last.  Tasks put
+    their pages in place through Arrow's file systems, one page in memory at a time; a page shows once it is whole, so a task that is tried again changes none.
     """
     spark = rows.sparkSession
     numbered = ranked(rows, [window, *order], "__rank", "__total")
     firsts = staged(numbered.groupBy(window).agg(F.min("__rank").alias("__first")), "windows")  # one row a window
     paged = numbered.join(firsts, window).withColumn("__page", F.floor((F.col("__rank") - F.col("__first")) / size).cast("int") + 1)
-    record = F.struct("__rank", F.struct(*(c for c in rows.columns if c != window)).alias("x"))
-    pages = paged.groupBy(F.col(window).alias(WINDOW), F.col("__page").alias(PAGE)).agg(F.sort_array(F.collect_list(record)).alias("rows"))
-    lines = pages.select(WINDOW, PAGE, F.to_json(F.struct(F.transform("rows", lambda r: r["x"]).alias("results"))).alias("value"))
-    lines.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(WINDOW, PAGE).text(path)
+    record = F.to_json(F.struct(*(c for c in rows.columns if c != window)))
+    store, name = PageStore(path), f"part-{uuid.uuid4().hex}.json"
+
+    def put(key: tuple[pa.Scalar, ...], page: pa.Table) -> pa.Table:
+        names = [k.as_py() for k in key]
+        store.put(*names, name, page.sort_by("rank")["record"].to_pylist())
+        return pa.table({WINDOW: [names[0]], PAGE: pa.array([names[1]], pa.int32())})
+
+    pages = paged.select(F.col(window).alias(WINDOW), F.col("__page").alias(PAGE), F.col("__rank").alias("rank"), record.alias("record")).groupBy(WINDOW, PAGE)
+    pages.applyInArrow(put, f"{WINDOW} string, {PAGE} int").count()  # at most `size` records a page
     for row in firsts.select(window).toLocalIterator():
         mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{WINDOW}={row[0]}/{DONE}")
         mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True).close()

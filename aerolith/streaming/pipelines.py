@@ -55,8 +55,9 @@ def triggered(writer: DataStreamWriter, once: bool, interval: str) -> DataStream
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
 
 
-def append_to(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (), once: bool = True, interval: str = "30 seconds") -> StreamingQuery:
-    writer = df.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+def append_to(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (), once: bool = True, interval: str = "30 seconds", files: int | None = None) -> StreamingQuery:
+    """Append each batch to the table; with `files`, its partitions are read by so many tasks at most, and each task writes one file (a value of `partition_by`)."""
+    writer = (df.coalesce(files) if files else df).writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     return triggered(writer.partitionBy(*partition_by) if partition_by else writer, once, interval).start()
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from aerolith.plans import source_queries
 from aerolith.sources.cubes import MONTHS, Axes, Bounds, CubeReader, NpzCube, Variable, axes_of, decode_times, east, find_variable, real_values, register_cubes
 from aerolith.sources.paged import PagedReader, PageStore, page_ranges, register_pages, write_pages
 from aerolith.streaming.pipelines import append_to
@@ -106,6 +107,42 @@ def test_tasks_list_no_window(tmp_path, monkeypatch):
     assert got == list(range(1, 8)) and len(parts) == 4 and listed == ["w"]
 
 
+def test_stream_goes_on_with_half_of_the_days(spark, sf_dir, tmp_path, monkeypatch):
+    """Copies with shifted keys come on the same days, so a half by keys leaves nothing for the second part (and its exact median held all keys in one task)."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    copies = rows.unionByName(rows.withColumn("event_id", F.col("event_id") + 1_000_000))
+    copies.write.parquet(str(tmp_path / "events.parquet"))
+    counts, write = [], source_queries.write_pages
+    monkeypatch.setattr(source_queries, "write_pages", lambda part, *more: counts.append(part.count()) or write(part, *more))
+    got = source_queries.paged_stream(spark, str(tmp_path))
+    ids = sorted(r[0] for r in copies.select("event_id").collect())
+    assert sorted(r[0] for r in got.select("event_id").collect()) == ids
+    assert sum(counts) == len(ids) and 0.4 < counts[0] / len(ids) < 0.6
+
+
+def test_few_tasks_read_many_ranges(spark, tmp_path):
+    for n in range(1, 9):
+        put(tmp_path / "store", "w", n, json.dumps([{"id": n}]))
+    register_pages(spark)
+    stream = spark.readStream.format("pages").schema(SCHEMA).option("path", str(tmp_path / "store")).option("pages_per_task", 1).load()
+    append_to(stream, str(tmp_path / "table"), str(tmp_path / "state"), files=3).awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "table")).collect()) == list(range(1, 9))
+    assert len(list((tmp_path / "table").glob("*.parquet"))) == 3  # of eight ranges
+
+
+def test_pages_show_when_they_are_whole(tmp_path):
+    """A task that is tried again leaves a page that is in place; what a task did not finish is no page's record."""
+    store = PageStore(str(tmp_path))
+    store.put("w", 1, "part-a.json", ['{"id":1}', '{"id":2}'])
+    (tmp_path / "window=w" / "page=1" / ".left").write_text('{"results":[{"id"')
+    store.put("w", 1, "part-a.json", ['{"id":1}', '{"id":2}'])
+    assert store.fetch("w", 1) == [{"id": 1}, {"id": 2}] and store.pages("w") == [1]
+    store.put("w", 1, "part-b.json", ['{"id":3}'])
+    assert [r["id"] for r in store.fetch("w", 1)] == [1, 2, 3]
+    store.put("w", 2, "part-a.json", ['{"id":"a\u2028b\x85c"}'])
+    assert store.fetch("w", 2) == [{"id": "a\u2028b\x85c"}]
+
+
 def test_times_of_calendars():
     us = lambda *t: np.datetime64(datetime(*t), "us")
     assert decode_times([0, 1.5], "hours since 1900-01-01 00:00:0.0").tolist() == [datetime(1900, 1, 1), datetime(1900, 1, 1, 1, 30)]
